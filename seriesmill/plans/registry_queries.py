@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.functions.values import normal_address, socket_address
 from seriesmill.operators import addresses, registry
-from seriesmill.operators.slicing import SlicePolicy
+from seriesmill.operators.slicing import Ordered, SlicePolicy
 from seriesmill.plans.driver_tables import address_log, channel_requests, events, table
 from seriesmill.plans.registered import query
 from seriesmill.schemas import DAY
@@ -117,23 +117,10 @@ def series_of_channel(spark, sf_dir):
 FROM r JOIN ids USING (backend, channel, scalar_type, dims) WHERE registered""",
 )
 def ordered_requests(spark, sf_dir):
-    """Found requests in request order; the place of a row is its partition's start plus its number there."""
+    """Found requests in request order. The place is counted in slices, as for any large key."""
     found = registry.lookup(requests(spark, sf_dir), half_registered(spark, sf_dir)).filter("series is not null")
-    ordered = found.select("request_id", "series").orderBy("request_id")
-    return with_place(ordered)
-
-
-def with_place(ordered):
-    """Number the rows of an ordered table without bringing them into one task."""
-    from pyspark.sql import Window
-
-    numbered = ordered.select("*", F.monotonically_increasing_id().alias("_id"))
-    part, inside = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
-    sizes = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("_part", before.alias("_start"))
-    rows = numbered.withColumn("_part", part).join(starts, "_part")
-    return rows.select(*ordered.columns, (F.col("_start") + inside).alias("place"))
+    rows = Ordered(found.select("request_id", "series").withColumn("_all", F.lit(0)), ["_all"], ("request_id",))
+    return rows.position("place").done().drop("_all").orderBy("request_id")
 
 
 # Address history.
