@@ -39,7 +39,7 @@ class Kernel:
     """One fold. `run` takes the state and a run of rows of one key, and gives the new state.
 
     `inputs` are the columns it reads, as numpy arrays; `outputs` the columns it adds. An output
-    is a numpy array, or a pair of array and null mask.
+    is a numpy array, a pair of array and null mask, or an Arrow array.
     """
 
     inputs: tuple[str, ...] = ()
@@ -106,6 +106,8 @@ def _segments(kernel: Kernel, keys: Sequence[str], batches: Iterator[pa.RecordBa
 
 def _column(parts: list, name: str, arrow_type: pa.DataType) -> pa.Array:
     values = [p[name] for p in parts]
+    if isinstance(values[0], pa.Array):
+        return pa.concat_arrays(values).cast(arrow_type)
     pairs = [v if isinstance(v, tuple) else (v, np.zeros(len(v), dtype=bool)) for v in values]
     data = np.concatenate([v for v, _ in pairs])
     mask = np.concatenate([m for _, m in pairs])

@@ -246,3 +246,22 @@ class Throttle(Kernel):
             emitted[i], last = True, t[i]
             i = bisect_left(t, last + self.every, i + 1)
         return (last,), {"emitted": emitted}
+
+
+class GridChange(Kernel):
+    """The grid cell of a row where it differs from the one before, for streams; tables use a window."""
+
+    state = struct(cell=LONG)
+    outputs = struct(ts_msp_grid=LONG)
+    inputs = ("ts_ns",)
+
+    def __init__(self, unit: int = 10 * SECOND, spacing: int = 30):
+        self.unit, self.spacing = unit, spacing
+
+    def fresh(self):
+        return (0,)
+
+    def run(self, state, cols):
+        cells = cols["ts_ns"] // self.unit // self.spacing * self.spacing
+        before = np.concatenate((state, cells[:-1]))
+        return (int(cells[-1]),), {"ts_msp_grid": (cells, cells == before)}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill.functions.binary import decode_values, strip_terminator
-from seriesmill.functions.times import bucket, global_time_ns
+from seriesmill.functions.times import global_time_ns
 from seriesmill.functions.values import bool_bytes, pulse_id
 from seriesmill.operators.quality import (
     frame_count_ok,
@@ -38,11 +38,13 @@ def read_captures(spark: SparkSession, path: str, stream: bool = False, **option
 
 def decode_headers(captures: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Messages with both headers, and the rejected ones with a reason."""
-    parsed = (
-        captures.withColumn("_main", F.from_json(F.try_element_at("frames", F.lit(1)).cast("string"), MAIN_HEADER))
-        .withColumn("_dh", F.from_json(F.try_element_at("frames", F.lit(2)).cast("string"), DATA_HEADER))
-        .withColumn("header_md5", F.md5(F.try_element_at("frames", F.lit(2))))
+    headers = F.struct(
+        F.from_json(F.try_element_at("frames", F.lit(1)).cast("string"), MAIN_HEADER).alias("_main"),
+        F.from_json(F.try_element_at("frames", F.lit(2)).cast("string"), DATA_HEADER).alias("_dh"),
+        F.md5(F.try_element_at("frames", F.lit(2))).alias("header_md5"),
     )
+    # a generator is not merged into later projections, so each header is parsed once
+    parsed = captures.select("*", F.inline(F.array(headers)))
     reason = (
         F.when(F.size("frames") < 2, "too few frames")
         .when(F.col("_main.hash").isNull(), "bad main header")
@@ -77,7 +79,8 @@ def channel_frames(messages: DataFrame, most: int = 4000) -> tuple[DataFrame, Da
     carried = [c for c in messages.columns if c not in ("frames", "channels")]
     rows = messages.select(*carried, "frames", F.posexplode(limit_channels(most=most)).alias("pos", "_desc"))
     kind = F.coalesce(F.col("_desc.type"), F.lit("float64"))
-    named = F.coalesce(*[F.when(kind == name, F.lit(t)) for name, t in HEADER_TYPES.items()])
+    types = F.create_map(*[F.lit(x) for pair in HEADER_TYPES.items() for x in pair])
+    named = F.try_element_at(types, kind)
     compression = F.nullif(F.col("_desc.compression"), F.lit("none"))
     rows = rows.select(
         *carried,
@@ -128,6 +131,3 @@ def frame_times(frames: DataFrame) -> DataFrame:
     ts = F.element_at(part, 1).cast("long") * 1_000_000_000 + F.element_at(part, 2).cast("long")
     return frames.withColumn("frame_ts_ns", F.when(whole, ts))
 
-
-def message_seconds(messages: DataFrame) -> DataFrame:
-    return messages.withColumn("second", bucket("ts_ns", 1_000_000_000))
