@@ -268,7 +268,7 @@ _STAY = f"CASE st WHEN 'wait_status_series' THEN {5 * HOUR} WHEN 'unknown_addres
 LIFECYCLE_SQL = f"""WITH RECURSIVE ev AS (SELECT user_id::VARCHAR AS channel, epoch_ns(ts) AS ts_ns, event_id AS seq, event_type FROM events
   UNION ALL SELECT DISTINCT user_id::VARCHAR, {END}, 4611686018427387904, 'tick' FROM events),
 o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY ts_ns, seq) AS i FROM ev),
-f AS (SELECT channel, 0::BIGINT AS i, 'none' AS st, 0::BIGINT AS since, NULL::BIGINT AS at, NULL AS was FROM (SELECT DISTINCT channel FROM ev)
+f AS (SELECT channel, 0::BIGINT AS i, 'none' AS st, 0::BIGINT AS since, NULL::BIGINT AS moved, NULL::VARCHAR AS was FROM (SELECT DISTINCT channel FROM ev)
  UNION ALL SELECT channel, CASE WHEN due <= nts THEN i ELSE i + 1 END,
   CASE WHEN due <= nts THEN CASE st WHEN 'wait_status_series' THEN 'init' WHEN 'unknown_address' THEN 'search_pending'
     WHEN 'search_pending' THEN 'no_address' ELSE 'unknown_address' END ELSE nst END,
@@ -286,7 +286,7 @@ f AS (SELECT channel, 0::BIGINT AS i, 'none' AS st, 0::BIGINT AS since, NULL::BI
 
 @query(
     "x5_lifecycle",
-    LIFECYCLE_SQL + ' SELECT channel, at AS ts_ns, was AS before, st AS after FROM f WHERE at IS NOT NULL',
+    LIFECYCLE_SQL + ' SELECT channel, moved AS ts_ns, was AS "before", st AS "after" FROM f WHERE moved IS NOT NULL',
 )
 def lifecycle_transitions(spark, sf_dir):
     log = lifecycle.with_end(lifecycle_log(events(spark, sf_dir)), END)
@@ -295,7 +295,7 @@ def lifecycle_transitions(spark, sf_dir):
 
 @query(
     "x5_lifecycle_states",
-    LIFECYCLE_SQL + " SELECT st AS state, count(*) AS n FROM (SELECT channel, arg_max(st, at) AS st FROM f WHERE at IS NOT NULL GROUP BY channel) GROUP BY st",
+    LIFECYCLE_SQL + " SELECT st AS state, count(*) AS n FROM (SELECT channel, arg_max(st, moved) AS st FROM f WHERE moved IS NOT NULL GROUP BY channel) GROUP BY st",
 )
 def lifecycle_state_counts(spark, sf_dir):
     log = lifecycle.with_end(lifecycle_log(events(spark, sf_dir)), END)
@@ -306,7 +306,7 @@ def lifecycle_state_counts(spark, sf_dir):
 @query(
     "x5_stream_lifecycle",
     LIFECYCLE_SQL.replace(str(END), "(SELECT max(epoch_ns(ts)) // 1000000 * 1000000 FROM events)")
-    + " SELECT channel, at AS ts_ns, was AS before, st AS after FROM f WHERE at IS NOT NULL",
+    + ' SELECT channel, moved AS ts_ns, was AS "before", st AS "after" FROM f WHERE moved IS NOT NULL',
 )
 def stream_lifecycle(spark, sf_dir):
     root = scratch(spark)
@@ -318,7 +318,7 @@ def stream_lifecycle(spark, sf_dir):
 @query(
     "x7_status_items",
     LIFECYCLE_SQL
-    + """ SELECT 'channel' AS item, channel AS name, at AS ts_ns, 24 AS kind FROM f WHERE st = 'assigned' AND at IS NOT NULL
+    + """ SELECT 'channel' AS item, channel AS name, moved AS ts_ns, 24 AS kind FROM f WHERE st = 'assigned' AND moved IS NOT NULL
 UNION ALL SELECT 'connection', '10.0.0.1:5064', epoch_ns(ts), 6 FROM events WHERE event_type = 'purchase'""",
 )
 def status_item_rows(spark, sf_dir):
