@@ -18,6 +18,7 @@ from seriesmill.schemas import (
     STRING,
     struct,
 )
+from seriesmill.session import small_table
 
 
 def truncate_array(value: Column | str, n: int) -> Column:
@@ -82,11 +83,11 @@ def typed_value(value: Column | str, actual: Column | str, wanted: str) -> Colum
 
 
 def connection_status_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CONNECTION_STATUS, struct(kind=INT, status=STRING))
+    return small_table(spark, CONNECTION_STATUS, struct(kind=INT, status=STRING))
 
 
 def channel_status_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CHANNEL_STATUS, struct(kind=INT, status=STRING, reason=STRING))
+    return small_table(spark, CHANNEL_STATUS, struct(kind=INT, status=STRING, reason=STRING))
 
 
 def ca_type_dim(spark: SparkSession) -> DataFrame:
@@ -95,8 +96,8 @@ def ca_type_dim(spark: SparkSession) -> DataFrame:
     for code in range(len(CA_META) * len(CA_SCALAR_TYPES)):
         meta, scalar = CA_META[code // 7], CA_SCALAR_TYPES[code % 7]
         rows.append((code, meta, scalar, CA_TIME_PADDING[scalar], meta == "time"))
-    return spark.createDataFrame(
-        rows, struct(data_type=INT, meta=STRING, ca_scalar_type=STRING, padding=INT, is_time=BOOL)
+    return small_table(
+        spark, rows, struct(data_type=INT, meta=STRING, ca_scalar_type=STRING, padding=INT, is_time=BOOL)
     )
 
 

@@ -57,7 +57,9 @@ def time_weighted_bins(
         F.max("value").alias("max"),
         F.sum(F.col("value") * F.col("overlap")).alias("_weighted"),
         F.sum("overlap").alias("_weight"),
-        F.max_by("value", F.struct("ts_ns", "seq")).alias("_last"),
+        # a bin without weight holds the last event of its series; no struct is compared, so the
+        # aggregation can hash
+        F.max(F.when(F.col("next_ts").isNull(), F.col("value"))).alias("_last"),
     )
     avg = F.when(F.col("_weight") > 0, F.col("_weighted") / F.col("_weight")).otherwise(F.col("_last"))
     kind = "float" if single_precision else "double"

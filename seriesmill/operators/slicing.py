@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesmill.session import small_table
+
 SLICE = "_slice"
 
 
@@ -36,14 +38,6 @@ class SlicePolicy:
 DEFAULT_POLICY = SlicePolicy()
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of the key columns, as grouping treats nulls."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Null-safe join to a table whose size is bounded by the slice policy."""
     renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in small.columns if c not in keys])
@@ -61,7 +55,6 @@ class HotKeys:
     ts: str
     table: DataFrame | None = None
     n_slices: int = 0
-    schema: T.StructType | None = field(default=None, repr=False)
 
     def __bool__(self) -> bool:
         return self.table is not None
@@ -72,13 +65,13 @@ class HotKeys:
         return F.element_at("_cells", F.least(F.greatest(cell, F.lit(0)), last).cast("int") + 1)
 
     def tag(self, df: DataFrame) -> DataFrame:
-        """Add the slice number: 0 for every key of ordinary size."""
+        """Add the slice number: 0 for every key of ordinary size, else 1 and up."""
         joined = join_small(df, self.table, self.keys)
         return joined.withColumn(SLICE, F.coalesce(self._slice_of(), F.lit(0))).drop("_t0", "_width", "_cells")
 
-    def only(self, df: DataFrame) -> DataFrame:
+    def only(self, tagged: DataFrame) -> DataFrame:
         """Rows of the keys that are cut up."""
-        return join_small(df, self.table.select(*self.keys), self.keys, "inner")
+        return tagged.filter(F.col(SLICE) > 0)
 
 
 def find_hot(
@@ -112,7 +105,8 @@ def find_hot(
     for r in large:
         cells = math.ceil(r["_n"] / limit) * policy.cells_per_slice
         plan[tuple(r[k] for k in keys)] = (r["_lo"], (r["_hi"] - r["_lo"]) // cells + 1, cells)
-    ranges = spark.createDataFrame(
+    ranges = small_table(
+        spark,
         [(*k, lo, width) for k, (lo, width, _) in plan.items()],
         T.StructType([*key_fields, T.StructField("_t0", T.LongType()), T.StructField("_width", T.LongType())]),
     )
@@ -127,14 +121,14 @@ def find_hot(
         per_key[tuple(r[k] for k in keys)][r["_cell"]] = r["count"]
     table, n_slices = [], 0
     for k, (lo, width, cells) in plan.items():
-        slice_no, rows_in, of_cell = 0, 0, []
+        slice_no, rows_in, of_cell = 1, 0, []
         for c in range(cells):
             n = per_key[k].get(c, 0)
             if rows_in and rows_in + n > limit:
                 slice_no, rows_in = slice_no + 1, 0
             rows_in += n
             of_cell.append(slice_no)
-        n_slices += slice_no + 1
+        n_slices += slice_no
         table.append((*k, lo, width, of_cell))
     schema = T.StructType(
         [
@@ -144,7 +138,7 @@ def find_hot(
             T.StructField("_cells", T.ArrayType(T.IntegerType())),
         ]
     )
-    return HotKeys(keys, ts, spark.createDataFrame(table, schema), n_slices, schema)
+    return HotKeys(keys, ts, small_table(spark, table, schema), n_slices)
 
 
 class Ordered:
@@ -179,29 +173,33 @@ class Ordered:
         carried = per_slice.select(*self.part, carry(F.col("_sum"), self._across()).alias("_carry"))
         return join_small(self.df, carried, self.part)
 
-    def _boxed(self, value: Column) -> Column:
-        return F.struct(value.alias("v"))
+    def _boxed(self, value: Column | str) -> Column:
+        return F.struct((F.col(value) if isinstance(value, str) else value).alias("v"))
+
+    def _edge(self, value: Column | str, extreme, extreme_by) -> Column:
+        """Value at the first or last row of a slice; for the time itself a plain minimum or maximum."""
+        if isinstance(value, str) and value == self.order[0]:
+            return self._boxed(extreme(value))
+        return extreme_by(self._boxed(value), F.struct(*self.order))
 
     def lag(self, into: str, value: Column | str) -> Ordered:
         """Value of the previous row of the key, null on its first row."""
-        value = F.col(value) if isinstance(value, str) else value
         if not self.hot:
             self.df = self.df.withColumn(into, F.lag(value).over(self._window()))
             return self
         box = self._boxed(value)
-        df = self._with_carry(F.max_by(box, F.struct(*self.order)), lambda s, w: F.lag(s).over(w))
+        df = self._with_carry(self._edge(value, F.max, F.max_by), lambda s, w: F.lag(s).over(w))
         inside = F.lag(box).over(self._window())
         self.df = df.withColumn(into, F.coalesce(inside, F.col("_carry"))["v"]).drop("_carry")
         return self
 
     def lead(self, into: str, value: Column | str) -> Ordered:
         """Value of the next row of the key, null on its last row."""
-        value = F.col(value) if isinstance(value, str) else value
         if not self.hot:
             self.df = self.df.withColumn(into, F.lead(value).over(self._window()))
             return self
         box = self._boxed(value)
-        df = self._with_carry(F.min_by(box, F.struct(*self.order)), lambda s, w: F.lead(s).over(w))
+        df = self._with_carry(self._edge(value, F.min, F.min_by), lambda s, w: F.lead(s).over(w))
         inside = F.lead(box).over(self._window())
         self.df = df.withColumn(into, F.coalesce(inside, F.col("_carry"))["v"]).drop("_carry")
         return self

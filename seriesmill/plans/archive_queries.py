@@ -37,8 +37,7 @@ def scalar_sink(spark, sf_dir):
 )
 def array_sink(spark, sf_dir):
     root = scratch(spark)
-    rows = layout.roll_partitions(waves(spark, sf_dir))
-    tables.write(tables.array_rows(rows), root, "events_array")
+    tables.write_events(layout.roll_partitions(waves(spark, sf_dir)), root)
     total = F.aggregate("fvalues", F.lit(0.0), lambda a, x: a + x)
     back = tables.read(spark, root, "events_array")
     return back.select("series", "seq", F.size("fvalues").alias("n"), rounded(total, 6, "total"))

@@ -9,7 +9,8 @@ from seriesmill.operators import addresses, registry
 from seriesmill.operators.slicing import Ordered, SlicePolicy
 from seriesmill.plans.driver_tables import address_log, channel_requests, events, table
 from seriesmill.plans.registered import query
-from seriesmill.schemas import DAY
+from seriesmill.schemas import DAY, REGISTRY
+from seriesmill.session import small_table
 
 DIMS = "CASE WHEN event_type = 'click' THEN '[5, 3]' ELSE '[]' END"
 REQUESTS = f"""r AS (SELECT event_id AS request_id, 'lab' AS backend, 'CH:' || user_id || ':' || event_type AS channel,
@@ -44,9 +45,7 @@ def half_registered(spark, sf_dir):
 
 
 def no_registry(spark):
-    from seriesmill.schemas import REGISTRY
-
-    return spark.createDataFrame([], REGISTRY)
+    return small_table(spark, [], REGISTRY)
 
 
 @query("r1_series_ids", f"WITH {REQUESTS}, {ALL_IDS} SELECT backend, channel, scalar_type, dims, series FROM ids")

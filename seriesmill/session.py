@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -46,3 +50,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write `df` to the checkpoint folder and go on from the written copy."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A table of a few rows that is part of the plan itself, so that using it starts no job."""
+    columns = list(zip(*rows)) if rows else [[] for _ in schema]
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)

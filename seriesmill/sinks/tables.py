@@ -21,26 +21,36 @@ from seriesmill.schemas import BOOL, DOUBLE, HOUR, INT, INTS, LONG, STRING, stru
 
 @dataclass(frozen=True)
 class Table:
-    """Columns, partition columns, primary key and retention class of one table."""
+    """Columns, partition columns, primary key and retention class of one table.
+
+    Scalar and array events share a folder: one pass over a batch writes both, and a partition
+    column tells them apart.
+    """
 
     name: str
     columns: T.StructType
     partition: tuple[str, ...]
     key: tuple[str, ...]
     retention: str
+    folder: str | None = None
+    where: str | None = None
 
 
 FLOATS = T.ArrayType(T.FloatType())
-_EVENT = dict(series=LONG, ts_msp=LONG, ts_lsp=LONG, ts_ns=LONG, seq=LONG, pulse=LONG, shape_dims=INTS)
-_DATED = dict(scalar_type=STRING, date=T.DateType())
+_EVENT = dict(
+    series=LONG, ts_msp=LONG, ts_lsp=LONG, ts_ns=LONG, seq=LONG, pulse=LONG, shape_dims=INTS, msp_bump=BOOL, ts_msp_grid=LONG
+)
+_SCALAR = dict(ivalue=LONG, fvalue=DOUBLE, svalue=STRING, bvalue=BOOL)
+_ARRAY = dict(ivalues=T.ArrayType(LONG), fvalues=T.ArrayType(DOUBLE), svalues=T.ArrayType(STRING))
+_PLACE = dict(rank=INT, scalar_type=STRING, date=T.DateType())
+_EVENT_KEY = ("series", "ts_msp", "ts_lsp")
 
 TABLES = {
     t.name: t
     for t in (
-        Table("events_scalar", struct(**_EVENT, ivalue=LONG, fvalue=DOUBLE, svalue=STRING, bvalue=BOOL, **_DATED),
-              ("scalar_type", "date"), ("series", "ts_msp", "ts_lsp"), "scalar"),
-        Table("events_array", struct(**_EVENT, ivalues=T.ArrayType(LONG), fvalues=T.ArrayType(DOUBLE), **_DATED),
-              ("scalar_type", "date"), ("series", "ts_msp", "ts_lsp"), "array"),
+        Table("events", struct(**_EVENT, **_SCALAR, **_ARRAY, **_PLACE), tuple(_PLACE), _EVENT_KEY, "scalar"),
+        Table("events_scalar", struct(**_EVENT, **_SCALAR, **_PLACE), tuple(_PLACE), _EVENT_KEY, "scalar", "events", "rank = 0"),
+        Table("events_array", struct(**_EVENT, **_ARRAY, **_PLACE), tuple(_PLACE), _EVENT_KEY, "array", "events", "rank = 1"),
         Table("ts_msp", struct(series=LONG, ts_msp=LONG, date=T.DateType()), ("date",), ("series", "ts_msp"), "index"),
         Table("series_by_ts_msp", struct(part=INT, ts_msp_grid=LONG, shape_kind=INT, scalar_type=STRING, series=LONG),
               (), ("part", "ts_msp_grid", "shape_kind", "scalar_type", "series"), "index"),
@@ -92,36 +102,31 @@ def write(df: DataFrame, root: str, table: str, batch_id: int = 0, sort: tuple[s
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
     spec = TABLES[table]
     schema = T.StructType([*spec.columns.fields, T.StructField("batch", LONG)])
-    return spark.read.schema(schema).parquet(f"{root}/{table}")
+    rows = spark.read.schema(schema).parquet(f"{root}/{spec.folder or table}")
+    return rows.filter(spec.where) if spec.where else rows
 
 
-def _typed_scalars(events: DataFrame) -> DataFrame:
-    cols = {}
-    for column, kinds in TYPED.items():
-        if column in events.columns:
-            cols[column] = F.when(F.col("scalar_type").isin(*kinds), F.col(column))
-        elif "value" in events.columns:
-            to = {"ivalue": "long", "fvalue": "double", "svalue": "string", "bvalue": "boolean"}[column]
+def event_rows(events: DataFrame) -> DataFrame:
+    """Events with their place in the table, a plain `value` in the column of its type."""
+    cols = {"rank": F.least(F.size("shape_dims"), F.lit(1)), "date": utc_date()}
+    if "value" in events.columns:
+        for column, kinds in TYPED.items():
+            to = {f.name: f.dataType for f in TABLES["events"].columns}[column]
             cols[column] = F.when(F.col("scalar_type").isin(*kinds), F.col("value").cast(to))
     return events.withColumns(cols)
 
 
-def scalar_rows(events: DataFrame) -> DataFrame:
-    return _typed_scalars(events.filter(F.size("shape_dims") == 0)).withColumn("date", utc_date())
-
-
-def array_rows(events: DataFrame) -> DataFrame:
-    return events.filter(F.size("shape_dims") > 0).withColumn("date", utc_date())
-
-
 def write_events(laid_out: DataFrame, root: str, batch_id: int = 0) -> None:
-    """Events with their layout columns to the event and index tables."""
-    write(scalar_rows(laid_out), root, "events_scalar", batch_id)
-    write(array_rows(laid_out), root, "events_array", batch_id)
+    """Events with their layout columns to the event table, and the indexes from what was written.
+
+    The layout is computed once; the indexes read three columns of the stored batch.
+    """
+    write(event_rows(laid_out), root, "events", batch_id)
+    stored = read(laid_out.sparkSession, root, "events").filter(F.col("batch") == batch_id)
     if "msp_bump" in laid_out.columns:
-        write(partition_index(laid_out).withColumn("date", utc_date("ts_msp")), root, "ts_msp", batch_id)
+        write(partition_index(stored).withColumn("date", utc_date("ts_msp")), root, "ts_msp", batch_id)
     if "ts_msp_grid" in laid_out.columns:
-        write(grid_index(laid_out), root, "series_by_ts_msp", batch_id)
+        write(grid_index(stored), root, "series_by_ts_msp", batch_id)
 
 
 def status_rows(items: DataFrame, div_ns: int = HOUR) -> DataFrame:

@@ -38,33 +38,45 @@ def _series(value: Any) -> Any:
     return value
 
 
-def run_kernel(kernel: Kernel, store: Any, rows: pd.DataFrame) -> pd.DataFrame:
-    """Run a kernel from its stored state and store the new one."""
-    before = tuple(store.get()) if store.exists() else kernel.fresh()
-    after, out = kernel.run(before, {c: rows[c].to_numpy() for c in kernel.inputs})
-    store.update(after)
-    return rows.assign(**{name: _series(v) for name, v in out.items()})
+def run_kernel(kernel: Kernel, before: tuple | None, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
+    """Run a kernel from a stored state, or a fresh one; gives the new state and the rows with its outputs."""
+    cols = {c: rows[c].to_numpy() for c in kernel.inputs}
+    after, out = kernel.run(kernel.fresh() if before is None else before, cols)
+    return after, rows.assign(**{name: _series(v) for name, v in out.items()})
 
 
 class IngestProcessor(StatefulProcessor):
-    """Gate, partition roll and grid flag of one series; dropped rows leave only their reports."""
+    """Gate, partition roll and grid flag of one series; dropped rows leave only their reports.
+
+    The states of the three lie in one value, read and written once per series and micro-batch.
+    """
 
     def __init__(self, gate: IntervalGate, roll: PartitionRoll, grid: GridChange, columns: list[str]):
-        self.gate, self.roll, self.grid, self.columns = gate, roll, grid, columns
+        self.kernels, self.columns = (gate, roll, grid), columns
+        self.sizes = [len(k.state) for k in self.kernels]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.gate_state = handle.getValueState("gate", self.gate.state)
-        self.roll_state = handle.getValueState("roll", self.roll.state)
-        self.grid_state = handle.getValueState("grid", self.grid.state)
+        fields = [
+            T.StructField(f"{type(k).__name__}_{f.name}", f.dataType) for k in self.kernels for f in k.state.fields
+        ]
+        self.store = handle.getValueState("layout", T.StructType(fields))
 
     def handleInputRows(self, key, rows, timerValues):
-        gated = run_kernel(self.gate, self.gate_state, _ordered(rows))
+        stored = self.store.get()
+        gate, roll, grid = self.kernels
+        a, b = self.sizes[0], self.sizes[0] + self.sizes[1]
+        parts = [None, None, None] if stored is None else [tuple(stored[:a]), tuple(stored[a:b]), tuple(stored[b:])]
+        parts[0], gated = run_kernel(gate, parts[0], _ordered(rows))
+        # the first row of a series is always admitted, so all three have a state from then on
         admitted, dropped = gated[gated["admitted"]], gated[gated["report"]]
         if len(admitted):
-            placed = run_kernel(self.grid, self.grid_state, run_kernel(self.roll, self.roll_state, admitted))
-            yield placed[self.columns]
+            parts[1], admitted = run_kernel(roll, parts[1], admitted)
+            parts[2], admitted = run_kernel(grid, parts[2], admitted)
+            yield admitted[self.columns]
+        self.store.update(tuple(v for p in parts for v in p))
         if len(dropped):
-            yield dropped.reindex(columns=self.columns).astype({"msp_bump": "boolean", "late": "boolean", "ts_msp": "Int64", "ts_msp_grid": "Int64"})
+            kinds = {"msp_bump": "boolean", "late": "boolean", "ts_msp": "Int64", "ts_msp_grid": "Int64"}
+            yield dropped.reindex(columns=self.columns).astype(kinds)
 
     def close(self) -> None:
         pass
