@@ -53,6 +53,54 @@ class Kernel:
         raise NotImplementedError
 
 
+def _spread(value: Any, kept: np.ndarray) -> Any:
+    """An output of the kept rows as an output of all rows, null elsewhere."""
+    data, mask = value if isinstance(value, tuple) else (value, np.zeros(len(value), dtype=bool))
+    full, unset = np.zeros(len(kept), dtype=data.dtype), np.ones(len(kept), dtype=bool)
+    full[kept], unset[kept] = data, mask
+    return full, unset
+
+
+class Chain(Kernel):
+    """Several kernels in one pass over the same rows.
+
+    With `keep`, a boolean output of the first kernel, the others see only the rows where it is
+    true, and their outputs are null on the rest.
+    """
+
+    def __init__(self, *steps: Kernel, keep: str | None = None):
+        self.steps, self.keep = steps, keep
+        self.inputs = tuple(dict.fromkeys(c for k in steps for c in k.inputs))
+        self.outputs = T.StructType([f for k in steps for f in k.outputs.fields])
+        self.state = T.StructType(
+            [T.StructField(f"{f.name}_{i}", f.dataType) for i, k in enumerate(steps) for f in k.state.fields]
+        )
+
+    def _parts(self, state: tuple) -> list[tuple]:
+        parts, at = [], 0
+        for k in self.steps:
+            parts.append(state[at : at + len(k.state)])
+            at += len(k.state)
+        return parts
+
+    def fresh(self):
+        return tuple(v for k in self.steps for v in k.fresh())
+
+    def run(self, state, cols):
+        parts = self._parts(state)
+        parts[0], out = self.steps[0].run(parts[0], cols)
+        kept = out[self.keep] if self.keep else None
+        if kept is not None:
+            cols = {c: a[kept] for c, a in cols.items()}
+        for i, kernel in enumerate(self.steps[1:], 1):
+            if kept is None or kept.any():
+                parts[i], more = kernel.run(parts[i], cols)
+            else:
+                more = {f.name: np.zeros(0, dtype=to_arrow_type(f.dataType).to_pandas_dtype()) for f in kernel.outputs}
+            out |= {n: v if kept is None else _spread(v, kept) for n, v in more.items()}
+        return tuple(v for p in parts for v in p), out
+
+
 def _starts(batch: pa.RecordBatch, keys: Sequence[str]) -> np.ndarray:
     """Row numbers at which a new key begins, the first row included."""
     n = batch.num_rows

@@ -249,7 +249,7 @@ class Throttle(Kernel):
 
 
 class GridChange(Kernel):
-    """The grid cell of a row where it differs from the one before, for streams; tables use a window."""
+    """The grid cell of a row where it differs from the one before."""
 
     state = struct(cell=LONG)
     outputs = struct(ts_msp_grid=LONG)

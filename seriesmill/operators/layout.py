@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from seriesmill.functions.times import grid_cell, offset_in_partition
 from seriesmill.functions.values import hash_bucket, shape_kind
-from seriesmill.operators.fold import fold
-from seriesmill.operators.kernels import PartitionRoll
+from seriesmill.operators.fold import Chain, fold
+from seriesmill.operators.kernels import GridChange, IntervalGate, PartitionRoll
 from seriesmill.operators.slicing import DEFAULT_POLICY, HotKeys, Ordered, SlicePolicy
 from seriesmill.schemas import DAY, HOUR, SECOND
 
@@ -29,6 +29,24 @@ def roll_partitions(
     return rolled.withColumn("ts_lsp", offset_in_partition())
 
 
+def lay_out(
+    events: DataFrame,
+    roll: PartitionRoll | None = None,
+    grid: GridChange | None = None,
+    gate: IntervalGate | None = None,
+    keys: Sequence[str] = ("series",),
+    hot: HotKeys | None = None,
+    policy: SlicePolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Partition, grid flag and, with a gate, admission of every event in one pass and one shuffle.
+
+    Dropped rows stay in the result with `admitted` false and no layout.
+    """
+    steps = [roll or PartitionRoll(), grid or GridChange()]
+    chain = Chain(gate, *steps, keep="admitted") if gate else Chain(*steps)
+    return fold(events, keys, chain, hot=hot, policy=policy).withColumn("ts_lsp", offset_in_partition())
+
+
 def mark_grid_changes(
     events: DataFrame,
     keys: Sequence[str] = ("series",),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seriesmill.operators import bins, layout, lifecycle, registry, statistics
 from seriesmill.operators.kernels import GridChange, IntervalGate, PartitionRoll
 from seriesmill.plans.driver_tables import as_events, events, nanos, scratch, table, waves
-from seriesmill.plans.ordered_queries import GATE_SQL, GRID_SQL, IVL, REPORT, ROLL_SQL, SPACING, UNIT, bins_sql, gated, rolled
+from seriesmill.plans.ordered_queries import GATE_SQL, GRID_SQL, IVL, REPORT, ROLL_SQL, SPACING, UNIT, bins_sql, gated
 from seriesmill.plans.registered import query, rounded, user_events
 from seriesmill.plans.registry_queries import ALL_IDS, REQUESTS, no_registry, requests
 from seriesmill.schemas import DAY, HOUR
@@ -18,7 +18,7 @@ from seriesmill.streaming import folds, jobs
 
 
 def _laid_out(spark, sf_dir):
-    return layout.mark_grid_changes(rolled(spark, sf_dir), unit=UNIT, spacing=SPACING)
+    return layout.lay_out(events(spark, sf_dir), PartitionRoll(5, DAY, HOUR), GridChange(UNIT, SPACING))
 
 
 @query(

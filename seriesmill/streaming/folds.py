@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from seriesmill.functions.times import timestamp_of
-from seriesmill.operators.fold import Kernel
+from seriesmill.operators.fold import Chain
 from seriesmill.operators.kernels import GridChange, IntervalGate, PartitionRoll
 from seriesmill.operators.lifecycle import TRANSITION, Lifecycle, Timeouts
 from seriesmill.schemas import DOUBLE, INT, LONG, MINUTE, SECOND, STRING, struct
@@ -34,49 +34,32 @@ def _series(value: Any) -> Any:
         data, mask = value
         if data.dtype.kind == "i":
             return pd.arrays.IntegerArray(data, mask)
+        if data.dtype.kind == "b":
+            return pd.arrays.BooleanArray(data, mask)
         return np.where(mask, np.nan, data)
     return value
 
 
-def run_kernel(kernel: Kernel, before: tuple | None, rows: pd.DataFrame) -> tuple[tuple, pd.DataFrame]:
-    """Run a kernel from a stored state, or a fresh one; gives the new state and the rows with its outputs."""
-    cols = {c: rows[c].to_numpy() for c in kernel.inputs}
-    after, out = kernel.run(kernel.fresh() if before is None else before, cols)
-    return after, rows.assign(**{name: _series(v) for name, v in out.items()})
-
-
 class IngestProcessor(StatefulProcessor):
     """Gate, partition roll and grid flag of one series; dropped rows leave only their reports.
 
-    The states of the three lie in one value, read and written once per series and micro-batch.
+    The state of all three is one value, read and written once per series and micro-batch.
     """
 
-    def __init__(self, gate: IntervalGate, roll: PartitionRoll, grid: GridChange, columns: list[str]):
-        self.kernels, self.columns = (gate, roll, grid), columns
-        self.sizes = [len(k.state) for k in self.kernels]
+    def __init__(self, chain: Chain, columns: list[str]):
+        self.chain, self.columns = chain, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        fields = [
-            T.StructField(f"{type(k).__name__}_{f.name}", f.dataType) for k in self.kernels for f in k.state.fields
-        ]
-        self.store = handle.getValueState("layout", T.StructType(fields))
+        self.store = handle.getValueState("layout", self.chain.state)
 
     def handleInputRows(self, key, rows, timerValues):
         stored = self.store.get()
-        gate, roll, grid = self.kernels
-        a, b = self.sizes[0], self.sizes[0] + self.sizes[1]
-        parts = [None, None, None] if stored is None else [tuple(stored[:a]), tuple(stored[a:b]), tuple(stored[b:])]
-        parts[0], gated = run_kernel(gate, parts[0], _ordered(rows))
-        # the first row of a series is always admitted, so all three have a state from then on
-        admitted, dropped = gated[gated["admitted"]], gated[gated["report"]]
-        if len(admitted):
-            parts[1], admitted = run_kernel(roll, parts[1], admitted)
-            parts[2], admitted = run_kernel(grid, parts[2], admitted)
-            yield admitted[self.columns]
-        self.store.update(tuple(v for p in parts for v in p))
-        if len(dropped):
-            kinds = {"msp_bump": "boolean", "late": "boolean", "ts_msp": "Int64", "ts_msp_grid": "Int64"}
-            yield dropped.reindex(columns=self.columns).astype(kinds)
+        events = _ordered(rows)
+        cols = {c: events[c].to_numpy() for c in self.chain.inputs}
+        state, out = self.chain.run(self.chain.fresh() if stored is None else tuple(stored), cols)
+        self.store.update(state)
+        events = events.assign(**{n: _series(v) for n, v in out.items()})
+        yield events.loc[out["admitted"] | out["report"], self.columns]
 
     def close(self) -> None:
         pass
@@ -89,15 +72,10 @@ def lay_out_stream(
     grid: GridChange | None = None,
 ) -> DataFrame:
     """Admitted events with their layout, and the interval reports of dropped ones (`admitted` false)."""
-    gate, roll, grid = gate or IntervalGate(), roll or PartitionRoll(), grid or GridChange()
-    added = [
-        f
-        for f in (*gate.outputs.fields, *roll.outputs.fields, *grid.outputs.fields)
-        if f.name not in ("report", "ivl_ema")
-    ]
-    schema = T.StructType([*events.schema.fields, *added])
+    chain = Chain(gate or IntervalGate(), roll or PartitionRoll(), grid or GridChange(), keep="admitted")
+    schema = T.StructType([*events.schema.fields, *chain.outputs.fields])
     return events.groupBy("series").transformWithStateInPandas(
-        IngestProcessor(gate, roll, grid, schema.names), schema, "append", "none"
+        IngestProcessor(chain, schema.names), schema, "append", "none"
     )
 
 
