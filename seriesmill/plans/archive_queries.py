@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from seriesmill.operators import bins, layout, lifecycle, registry, statistics
 from seriesmill.operators.kernels import GridChange, IntervalGate, PartitionRoll
-from seriesmill.plans.driver_tables import as_events, events, nanos, scratch, table, waves
+from seriesmill.plans import ingest
+from seriesmill.plans.driver_tables import as_events, events, messages, nanos, scratch, table, waves
 from seriesmill.plans.ordered_queries import GATE_SQL, GRID_SQL, IVL, REPORT, ROLL_SQL, SPACING, UNIT, bins_sql, gated
 from seriesmill.plans.registered import query, rounded, user_events
-from seriesmill.plans.registry_queries import ALL_IDS, REQUESTS, no_registry, requests
+from seriesmill.plans.registry_queries import MATCH_SQL, no_registry, requests
 from seriesmill.schemas import DAY, HOUR
 from seriesmill.session import ROCKSDB
 from seriesmill.sinks import tables
-from seriesmill.sources import archive
+from seriesmill.sources import archive, captures
 from seriesmill.streaming import folds, jobs
 
 
@@ -183,6 +184,31 @@ def active_series(spark, sf_dir):
     return archive.active_series(index, 473600, 473650)
 
 
+GOOD = "event_id % 17 <> 0 AND event_id % 13 <> 0"
+
+
+@query("s1_capture_source", "SELECT event_id AS msg_id, CASE WHEN event_id % 17 = 0 THEN 1 WHEN event_id % 7 = 0 THEN 8 ELSE 6 END AS frames FROM events")
+def capture_source(spark, sf_dir):
+    root = scratch(spark)
+    messages(spark, sf_dir).write.parquet(root)
+    return captures.read_captures(spark, root).select("msg_id", F.size("frames").alias("frames"))
+
+
+@query(
+    "x1_ingest_captures",
+    f"""SELECT event_id AS seq, 'F64' AS scalar_type, value AS fvalue, NULL::BIGINT AS ivalue, NULL AS svalue, ts_ns FROM e WHERE {GOOD}
+UNION ALL SELECT event_id, 'I32', NULL, event_id, NULL, ts_ns FROM e WHERE {GOOD}
+UNION ALL SELECT event_id, 'STRING', NULL, NULL, event_type, ts_ns FROM e WHERE {GOOD} AND event_id % 7 = 0""".replace(
+        "SELECT event_id AS seq", "WITH e AS (SELECT *, epoch_ns(ts) AS ts_ns FROM events) SELECT event_id AS seq", 1
+    ),
+)
+def ingest_captured(spark, sf_dir):
+    """From captured messages to stored events; two series hold two fifths of the rows each."""
+    root = scratch(spark)
+    ingest.ingest_captures(messages(spark, sf_dir), no_registry(spark), "lab", root)
+    return tables.read(spark, root, "events_scalar").select("seq", "scalar_type", "fvalue", "ivalue", "svalue", "ts_ns")
+
+
 # Streams over the events file, read to its end.
 
 
@@ -252,6 +278,22 @@ def stream_silences(spark, sf_dir):
     return spark.read.schema(alarms.schema).parquet(f"{root}/alarms")
 
 
+@query(
+    "j6_stream_answers",
+    MATCH_SQL + f" WHERE ts_ns + {DAY} < least((SELECT max(ts_ns) FROM q), (SELECT max(ts_ns) FROM a)) // 1000000 * 1000000 - {HOUR}",
+)
+def stream_answers(spark, sf_dir):
+    """Requests whose limit the final watermark has passed."""
+    rows = stream(spark, sf_dir).withColumnRenamed("series", "channel")
+    asked = rows.filter("kind = 'signup'").select("channel", "ts_ns", "seq")
+    tag = lambda p: F.concat(F.lit(p), F.col("seq").cast("string"))
+    answered = rows.filter("kind = 'purchase'").select("channel", "ts_ns", "seq", tag("r").alias("response_addr"), tag("a").alias("addr"))
+    root = scratch(spark)
+    matched = jobs.answer_stream(asked, answered, "channel", DAY, "1 hour")
+    jobs.to_files(matched, f"{root}/found", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(matched.schema).parquet(f"{root}/found")
+
+
 LIMITS = lifecycle.Timeouts(5 * HOUR, 2 * HOUR, 30 * HOUR, 20 * HOUR)
 
 

@@ -55,6 +55,12 @@ LIFECYCLE = struct(channel=STRING, ts_ns=LONG, event=STRING, addr=STRING)
 # Sentinel scalar type of a channel's status series.
 STATUS_SCALAR_TYPE = -(2**31) + 1
 
+# Numbers of the scalar types in registry keys.
+SCALAR_TYPE_CODES = {
+    "U8": 0, "U16": 1, "U32": 2, "U64": 3, "I8": 4, "I16": 5, "I32": 6, "I64": 7,
+    "F32": 8, "F64": 9, "BOOL": 10, "STRING": 11, "ENUM": 12,
+}
+
 # Connection status codes.
 CONNECTION_STATUS = [
     (1, "ConnectError"),

@@ -69,3 +69,34 @@ def report_activity(events: DataFrame, path: str, checkpoint: str, n: int = 6, a
 
     writer = activity_stream(events, **windows).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).foreachBatch(store).start()
+
+
+def answer_stream(requests: DataFrame, answers: DataFrame, key: str, limit_ns: int, delay: str = "1 second") -> DataFrame:
+    """First answer to every request of a stream within the limit, given once the watermark has passed it.
+
+    The time bound lets Spark drop old rows of both sides; a request meets only answers of its
+    own key and limit.
+    """
+    bound = F.expr(f"interval {limit_ns // 1000} microseconds")
+    asked = requests.select(key, "ts_ns", "seq", timestamp_of().alias("asked_at")).withWatermark("asked_at", delay)
+    answered = answers.select(
+        F.col(key).alias("_key"),
+        F.struct("ts_ns", "seq", "response_addr", "addr").alias("_answer"),
+        timestamp_of().alias("answered_at"),
+    ).withWatermark("answered_at", delay)
+    near = (
+        (F.col(key) == F.col("_key"))
+        & (F.col("answered_at") >= F.col("asked_at"))
+        & (F.col("answered_at") <= F.col("asked_at") + bound)
+    )
+    first = asked.join(answered, near, "leftOuter").groupBy(key, "ts_ns", "seq", "asked_at").agg(F.min("_answer").alias("_first"))
+    hit = F.col("_first").isNotNull()
+    return first.select(
+        key,
+        "ts_ns",
+        "seq",
+        "_first.response_addr",
+        "_first.addr",
+        F.coalesce(F.col("_first.ts_ns") - F.col("ts_ns"), F.lit(limit_ns)).alias("dt"),
+        hit.alias("answered"),
+    )
