@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seriesmill.operators.joins import join_sized
 from seriesmill.operators.slicing import DEFAULT_POLICY, HotKeys, Ordered, SlicePolicy
 from seriesmill.schemas import SECOND
 
@@ -110,7 +111,7 @@ def drop_gateways(
     """Drop results whose response or resolved address is a gateway; null passes."""
     for c in columns:
         listed = gateways.select(F.col(gateway).alias(c)).distinct()
-        found = found.join(listed, c, "left_anti")
+        found = join_sized(found, listed, [c], "left_anti")
     return found
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesmill.operators.joins import join_sized
 from seriesmill.schemas import CHANNEL_KEY, STATUS_SCALAR_TYPE
 from seriesmill.session import cut_lineage
 
@@ -46,7 +47,7 @@ def first_valid(from_salt: Column) -> Column:
 def lookup(requests: DataFrame, registry: DataFrame) -> DataFrame:
     """Every request with its series id, null where the key is not registered."""
     known = registry.filter("agg_kind = 0").select("series", *KEY)
-    return requests.join(known, KEY, "left")
+    return join_sized(requests, known, KEY, "left")
 
 
 def missing(requests: DataFrame, registry: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def get_or_create(requests: DataFrame, registry: DataFrame) -> tuple[DataFrame,
     created = assign_ids(missing(requests, registry), registry)
     known = registry.filter("agg_kind = 0").select("series", *KEY, F.lit(False).alias("is_new"))
     every = known.unionByName(created.select("series", *KEY, F.lit(True).alias("is_new")))
-    return requests.join(every, KEY, "left"), created
+    return join_sized(requests, every, KEY, "left"), created
 
 
 def append_absent(registry: DataFrame, rows: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesmill.operators import addresses, bins, layout, registry
+from seriesmill.operators.joins import join_sized
 from seriesmill.operators.kernels import GridChange, IntervalGate, PartitionRoll
 from seriesmill.operators.slicing import DEFAULT_POLICY, SlicePolicy, find_hot
 from seriesmill.schemas import MINUTE, REGISTRY, SCALAR_TYPE_CODES, SECOND
@@ -96,7 +97,8 @@ def ingest_device_events(
     `subscriptions` names the channel of every `subid`. Only admitted events are stored and binned.
     """
     good, bad = device_events.decode_events(frames)
-    values = typed_columns(good.join(subscriptions.select("subid", "channel"), "subid"))
+    named = join_sized(good, subscriptions.select("subid", "channel"), ["subid"], "inner")
+    values = typed_columns(named)
     timed, untimed = values.filter("ts_ns is not null"), values.filter("ts_ns is null")
     rows, created = with_series(timed.withColumn("pulse", F.lit(0).cast("long")), known, backend)
     hot = find_hot(rows, ["series"], "ts_ns", policy)

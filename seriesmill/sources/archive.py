@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesmill.operators.joins import join_sized
 from seriesmill.operators.layout import last_write_wins
 from seriesmill.operators.registry import series_of_channel
 from seriesmill.schemas import DAY
@@ -12,8 +15,6 @@ from seriesmill.sinks.tables import TABLES, read
 
 
 def day_text(ns: int) -> str:
-    import datetime
-
     return (datetime.date(1970, 1, 1) + datetime.timedelta(days=ns // DAY)).isoformat()
 
 
@@ -47,7 +48,7 @@ def read_range(
     series = series_of_channel(registry, backend, channel)
     partitions = candidate_partitions(read(spark, root, "ts_msp"), series, from_ns, to_ns, span_ns)
     events = in_range(read(spark, root, table), from_ns, to_ns)
-    found = events.join(partitions, ["series", "ts_msp"], "left_semi")
+    found = join_sized(events, partitions, ["series", "ts_msp"], "left_semi")
     return last_write_wins(found, TABLES[table].key, ("batch", "seq"))
 
 
