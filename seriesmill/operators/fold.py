@@ -5,8 +5,11 @@ memory does not grow with the key. Keys too large for one task are cut into time
 `slicing`). Slices are folded in parallel from a guessed state; then every slice whose guess
 differs from the state its predecessor really ended in is folded again from that state, until
 none is left. The result is exactly that of one sequential pass. Gates, rolls and averages
-forget their past, so a few repairs settle them; a kernel that never forgets still ends, after
-as many repairs as the key has slices.
+forget their past, so a few repairs settle them.
+
+Partition rolls and throttles need not forget. They say instead, for every state a slice can be
+entered with, which state it is left in (`Transfer`): the slices are summed up in parallel, and
+one short pass per key goes from summary to summary.
 """
 
 from __future__ import annotations
@@ -53,6 +56,34 @@ class Kernel:
         raise NotImplementedError
 
 
+class Transfer(Kernel):
+    """A kernel that can sum up a slice as a map from entry state to exit state.
+
+    After its first change of state within a slice, such a kernel depends only on the row at which
+    that happened. Only the rows near the start of the slice can be that row, so the summary
+    holds those rows and the state each of them leads to.
+    """
+
+    summary: T.StructType
+
+    def paths(self) -> Paths:
+        raise NotImplementedError
+
+    def cross(self, state: tuple, summary: dict[str, np.ndarray]) -> tuple:
+        """State after a slice entered with `state`."""
+        raise NotImplementedError
+
+
+class Paths:
+    """Collects the summary of one slice from its batches."""
+
+    def add(self, cols: dict[str, np.ndarray]) -> None:
+        raise NotImplementedError
+
+    def result(self) -> dict[str, Any]:
+        raise NotImplementedError
+
+
 def _spread(value: Any, kept: np.ndarray) -> Any:
     """An output of the kept rows as an output of all rows, null elsewhere."""
     data, mask = value if isinstance(value, tuple) else (value, np.zeros(len(value), dtype=bool))
@@ -204,13 +235,75 @@ def _arrange(df: DataFrame, part: Sequence[str], order: Sequence[str]) -> DataFr
     return df.repartition(*part).sortWithinPartitions(*part, *order)
 
 
-def _settle(tagged: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str]) -> DataFrame:
-    """The true entry state of every slice of the large keys, by repairing guesses."""
+def _summary_pass(kernel: Transfer, keys: Sequence[str], schema: T.StructType):
+    """Task function: the summary of every slice, one row each."""
+    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
+
+    def row(key, paths):
+        return pa.RecordBatch.from_pylist([{**dict(zip(keys, key)), **paths.result()}], schema=arrow)
+
+    def run(batches):
+        key, paths = None, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            cols = {c: _numpy(batch.column(c)) for c in kernel.inputs}
+            starts = _starts(batch, keys).tolist()
+            for s, e in zip(starts, [*starts[1:], batch.num_rows]):
+                here = _key_at(batch, keys, s)
+                if paths is not None and here != key:
+                    yield row(key, paths)
+                    paths = None
+                if paths is None:
+                    key, paths = here, kernel.paths()
+                paths.add({c: a[s:e] for c, a in cols.items()})
+        if paths is not None:
+            yield row(key, paths)
+
+    return run
+
+
+def _cross_pass(kernel: Transfer, keys: Sequence[str], schema: T.StructType):
+    """Task function: the entry state of every slice, going from summary to summary of a key."""
+    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
+
+    def run(batches):
+        key, state = None, None
+        for batch in batches:
+            rows = []
+            for i in range(batch.num_rows):
+                here = _key_at(batch, keys, i)
+                if state is None or here != key:
+                    key, state = here, kernel.fresh()
+                entry = dict(zip(kernel.state.names, state))
+                rows.append({**dict(zip(keys, key)), SLICE: batch.column(SLICE)[i].as_py(), ENTRY: entry})
+                parts = {}
+                for f in kernel.summary.names:
+                    value = batch.column(f)[i]
+                    parts[f] = value.values.to_numpy() if isinstance(value, pa.ListScalar) else value.as_py()
+                state = kernel.cross(state, parts)
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    return run
+
+
+def _cross(rows: DataFrame, kernel: Transfer, hot: HotKeys, order: Sequence[str]) -> DataFrame:
+    """The entry states of a kernel with summaries: two passes, whatever the number of slices."""
+    part = (*hot.keys, SLICE)
+    placed = [rows.schema[k] for k in part]
+    summed = T.StructType([*placed, *kernel.summary.fields])
+    summaries = _arrange(rows, part, order).mapInArrow(_summary_pass(kernel, part, summed), summed)
+    entered = T.StructType([*placed, T.StructField(ENTRY, kernel.state)])
+    along = summaries.repartition(*hot.keys).sortWithinPartitions(*part)
+    return cut_lineage(along.mapInArrow(_cross_pass(kernel, hot.keys, entered), entered))
+
+
+def _repair(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str]) -> DataFrame:
+    """The entry states of any kernel, by repairing guesses."""
     part = (*hot.keys, SLICE)
-    needed = dict.fromkeys((*part, *order, *kernel.inputs))
-    rows = hot.only(tagged).select(*needed)
     schema = T.StructType(
-        [tagged.schema[k] for k in part] + [T.StructField(ENTRY, kernel.state), T.StructField(EXIT, kernel.state)]
+        [rows.schema[k] for k in part] + [T.StructField(ENTRY, kernel.state), T.StructField(EXIT, kernel.state)]
     )
     exit_pass = _exit_pass(kernel, part, schema)
 
@@ -231,6 +324,22 @@ def _settle(tagged: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str
     return states.select(*part, ENTRY)
 
 
+def _settle(tagged: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str]) -> DataFrame:
+    """The true entry state of every slice of the large keys."""
+    part = (*hot.keys, SLICE)
+    if isinstance(kernel, Chain) and kernel.keep is None:
+        # independent kernels settle one by one
+        every = None
+        for i, step in enumerate(kernel.steps):
+            one = _settle(tagged, step, hot, order).withColumnRenamed(ENTRY, f"_entry_{i}")
+            every = one if every is None else join_small(every, one, part)
+        fields = [F.col(f"_entry_{i}")[f.name].alias(f"{f.name}_{i}") for i, k in enumerate(kernel.steps) for f in k.state]
+        return every.select(*part, F.struct(*fields).alias(ENTRY))
+    rows = hot.only(tagged).select(*dict.fromkeys((*part, *order, *kernel.inputs)))
+    settle = _cross if isinstance(kernel, Transfer) else _repair
+    return settle(rows, kernel, hot, order)
+
+
 def fold(
     df: DataFrame,
     keys: Sequence[str],

@@ -6,8 +6,8 @@ from bisect import bisect_left
 
 import numpy as np
 
-from seriesmill.operators.fold import Kernel
-from seriesmill.schemas import BOOL, DOUBLE, HOUR, LONG, SECOND, struct
+from seriesmill.operators.fold import Kernel, Paths, Transfer
+from seriesmill.schemas import BOOL, DOUBLE, HOUR, INTS, LONG, LONGS, SECOND, struct
 
 
 def decay_scan(start: float, keep: float, added: np.ndarray) -> np.ndarray:
@@ -83,7 +83,63 @@ class IntervalEma(Kernel):
         return (float(emas[-1]), float(emvs[-1]), int(counts[-1]), int(ts[-1])), out
 
 
-class PartitionRoll(Kernel):
+class StartRows(Paths):
+    """Rows of a slice at which a kernel can first change state, and where each of them leads.
+
+    A kernel gives three rules: which rows can be first, the state right after one, and how a set
+    of states moves through a batch. Rows that lead to the same state share a path.
+    """
+
+    # paths that are sorted after every batch to find equal ones; more are sorted now and then
+    FEW = 2000
+
+    def __init__(self, kernel):
+        self.kernel = kernel
+        self.size, self.open, self.batches = 0, True, 0
+        self.first_ts = None
+        self.ts: list[np.ndarray] = []
+        self.path = np.zeros(0, dtype=np.int64)
+        self.states = np.zeros((kernel.width, 0), dtype=np.int64)
+
+    def add(self, cols):
+        ts = cols[self.kernel.ts_column]
+        if self.first_ts is None:
+            self.first_ts = int(ts[0])
+        if self.states.shape[1]:
+            self.kernel.move(self.states, np.zeros(self.states.shape[1], dtype=np.int64), ts)
+        if self.open:
+            n = self.kernel.can_be_first(self, ts)
+            self.open = n == len(ts)
+            if n:
+                new = self.kernel.after_first(ts[:n])
+                self.kernel.move(new, np.arange(1, n + 1), ts)
+                self.path = np.append(self.path, self.states.shape[1] + np.arange(n))
+                self.states = np.hstack((self.states, new))
+                self.ts.append(ts[:n])
+        self.size += len(ts)
+        self.batches += 1
+        if self.states.shape[1] <= self.FEW or self.batches % 16 == 0:
+            self._merge()
+
+    def _merge(self):
+        """Give rows with equal states one path."""
+        if self.states.shape[1] < 2:
+            return
+        order = np.lexsort(self.states)
+        ranked = self.states[:, order]
+        new = np.concatenate(([True], (ranked[:, 1:] != ranked[:, :-1]).any(axis=0)))
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = np.cumsum(new) - 1
+        self.states, self.path = ranked[:, new], number[self.path]
+
+    def result(self):
+        self._merge()
+        ts = np.concatenate(self.ts)
+        named = {n: self.states[i].tolist() for i, n in enumerate(self.kernel.exit_names)}
+        return {"size": self.size, "ts": ts.tolist(), "path": self.path.tolist(), **named}
+
+
+class PartitionRoll(Transfer):
     """Partition timestamp of every row: a new one after `max_rows` rows or `span` of time.
 
     Jumps from roll to roll by binary search, so the work in Python grows with the number of
@@ -92,7 +148,9 @@ class PartitionRoll(Kernel):
 
     state = struct(msp=LONG, n=LONG)
     outputs = struct(ts_msp=LONG, msp_bump=BOOL, late=BOOL)
+    summary = struct(size=LONG, ts=LONGS, path=INTS, exit_msp=LONGS, exit_n=LONGS)
     inputs = ("ts_ns",)
+    ts_column, width, exit_names = "ts_ns", 2, ("exit_msp", "exit_n")
 
     def __init__(self, max_rows: int = 64_000, span_ns: int = HOUR, floor_ns: int = 10 * SECOND):
         self.max_rows, self.span, self.floor = max_rows, span_ns, floor_ns
@@ -100,6 +158,47 @@ class PartitionRoll(Kernel):
     def fresh(self):
         return None, 0
 
+    def paths(self):
+        return StartRows(self)
+
+    def can_be_first(self, rows: StartRows, ts: np.ndarray) -> int:
+        """How many more rows can be the first roll: none later than a state entered just before would roll."""
+        new_cell = np.searchsorted(ts, rows.first_ts + self.floor)
+        in_time = np.searchsorted(ts, rows.first_ts + max(self.span, self.floor)) + 1
+        by_count = max(self.max_rows - rows.size, int(new_cell)) + 1
+        return int(max(0, min(by_count, in_time, len(ts))))
+
+    def after_first(self, ts: np.ndarray) -> np.ndarray:
+        return np.vstack((ts - ts % self.floor, np.ones(len(ts), dtype=np.int64)))
+
+    def move(self, states: np.ndarray, at: np.ndarray, ts: np.ndarray) -> None:
+        """Move states through a batch, each from its own position."""
+        msp, n = states
+        size = len(ts)
+        live = np.flatnonzero(at < size)
+        while len(live):
+            m, c, i = msp[live], n[live], at[live]
+            full = np.maximum(i + np.maximum(0, self.max_rows - c), np.searchsorted(ts, m + self.floor))
+            old = np.searchsorted(ts, m + max(self.span, self.floor))
+            roll = np.minimum(np.maximum(i, np.minimum(full, old)), size)
+            n[live] = np.maximum(c, np.minimum(c + roll - i, self.max_rows))
+            at[live] = roll + 1
+            rolls, where = live[roll < size], roll[roll < size]
+            msp[rolls], n[rolls] = ts[where] - ts[where] % self.floor, 1
+            live = live[at[live] < size]
+
+    def cross(self, state, summary):
+        msp, n = state
+        ts = summary["ts"]
+        first = 0
+        if msp is not None:
+            full = max(0, self.max_rows - n, int(np.searchsorted(ts, msp + self.floor)))
+            first = min(full, int(np.searchsorted(ts, msp + max(self.span, self.floor))))
+        if first >= len(ts):
+            return msp, max(n, min(n + summary["size"], self.max_rows))
+        path = summary["path"][first]
+        return int(summary["exit_msp"][path]), int(summary["exit_n"][path])
+
     def run(self, state, cols):
         msp, n = state
         ts = cols["ts_ns"]
@@ -224,22 +323,49 @@ class RateLimiter(Kernel):
         return (ema, last), {"forwarded": np.array(forwarded, dtype=bool), "forward_ema": np.array(emas)}
 
 
-class Throttle(Kernel):
+class Throttle(Transfer):
     """Emit the first row of a key, then at most one row per `every_ns`."""
 
     state = struct(last=LONG)
     outputs = struct(emitted=BOOL)
+    summary = struct(size=LONG, ts=LONGS, path=INTS, exit_last=LONGS)
+    width, exit_names = 1, ("exit_last",)
 
     def __init__(self, every_ns: int = 10 * SECOND, ts: str = "ts_ns"):
-        self.every, self.ts = every_ns, ts
+        self.every, self.ts_column = every_ns, ts
         self.inputs = (ts,)
 
     def fresh(self):
         return (None,)
 
+    def paths(self):
+        return StartRows(self)
+
+    def can_be_first(self, rows: StartRows, ts: np.ndarray) -> int:
+        return int(min(np.searchsorted(ts, rows.first_ts + self.every) + 1, len(ts)))
+
+    def after_first(self, ts: np.ndarray) -> np.ndarray:
+        return ts.reshape(1, -1).copy()
+
+    def move(self, states: np.ndarray, at: np.ndarray, ts: np.ndarray) -> None:
+        last = states[0]
+        live = np.flatnonzero(at < len(ts))
+        while len(live):
+            at[live] = np.maximum(at[live], np.searchsorted(ts, last[live] + self.every))
+            live = live[at[live] < len(ts)]
+            last[live] = ts[at[live]]
+            at[live] += 1
+
+    def cross(self, state, summary):
+        (last,) = state
+        first = 0 if last is None else int(np.searchsorted(summary["ts"], last + self.every))
+        if first >= len(summary["ts"]):
+            return state
+        return (int(summary["exit_last"][summary["path"][first]]),)
+
     def run(self, state, cols):
         (last,) = state
-        t = cols[self.ts].tolist()
+        t = cols[self.ts_column].tolist()
         emitted = np.zeros(len(t), dtype=bool)
         i = 0 if last is None else bisect_left(t, last + self.every)
         while i < len(t):

@@ -15,7 +15,7 @@ DAY = 24 * HOUR
 
 BOOL, INT, LONG, DOUBLE = T.BooleanType(), T.IntegerType(), T.LongType(), T.DoubleType()
 STRING, BINARY = T.StringType(), T.BinaryType()
-INTS = T.ArrayType(INT)
+INTS, LONGS = T.ArrayType(INT), T.ArrayType(LONG)
 
 
 def struct(**fields: T.DataType) -> T.StructType:

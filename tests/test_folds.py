@@ -156,6 +156,30 @@ def test_rate_limiter_passes_what_may_not_be_dropped():
     assert sum(g["forwarded"] for g in got) < 30
 
 
+def crossed(kernel, ts, cuts, batch):
+    """State after all slices, from their summaries alone."""
+    state = kernel.fresh()
+    edges = [0, *sorted({c for c in cuts if 0 < c < len(ts)}), len(ts)]
+    states = []
+    for a, b in zip(edges, edges[1:]):
+        paths = kernel.paths()
+        for i in range(a, b, batch):
+            paths.add({"ts_ns": ts[i : min(i + batch, b)]})
+        summary = {k: np.array(v) if isinstance(v, list) else v for k, v in paths.result().items()}
+        state = kernel.cross(state, summary)
+        states.append(state)
+    return edges[1:], states
+
+
+@settings(max_examples=150, deadline=None)
+@given(times, cuts, st.integers(1, 50), st.sampled_from([1, 5, 60]), st.sampled_from([1, 10, 40]), st.sampled_from([20, 120]))
+def test_summaries_lead_to_the_same_states(ts, cuts, batch, max_rows, floor, span):
+    for kernel in (K.PartitionRoll(max_rows, span * 10**9, floor * 10**9), K.Throttle(floor * 10**9)):
+        ends, states = crossed(kernel, ts, cuts, batch)
+        for end, state in zip(ends, states):
+            assert state == kernel.run(kernel.fresh(), {"ts_ns": ts[:end]})[0]
+
+
 def test_late_rows_get_their_own_floor():
     kernel = K.PartitionRoll(100, 3_600_000_000_000, 10)
     state, _ = kernel.run(kernel.fresh(), {"ts_ns": np.array([1005], dtype=np.int64)})
