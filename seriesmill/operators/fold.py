@@ -327,19 +327,30 @@ def _repair(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str])
 def _settle(tagged: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str]) -> DataFrame:
     """The true entry state of every slice of the large keys."""
     part = (*hot.keys, SLICE)
-    if isinstance(kernel, Chain) and kernel.keep is None:
-        # independent kernels settle one by one
-        every = None
-        for i, step in enumerate(kernel.steps):
-            one = _settle(tagged, step, hot, order).withColumnRenamed(ENTRY, f"_entry_{i}")
-            every = one if every is None else join_small(every, one, part)
-        fields = [F.col(f"_entry_{i}")[f.name].alias(f"{f.name}_{i}") for i, k in enumerate(kernel.steps) for f in k.state]
-        return every.select(*part, F.struct(*fields).alias(ENTRY))
+    if isinstance(kernel, Chain):
+        return _settle_chain(tagged, kernel, hot, order)
     rows = hot.only(tagged).select(*dict.fromkeys((*part, *order, *kernel.inputs)))
     settle = _cross if isinstance(kernel, Transfer) else _repair
     return settle(rows, kernel, hot, order)
 
 
+def _settle_chain(tagged: DataFrame, kernel: Chain, hot: HotKeys, order: Sequence[str]) -> DataFrame:
+    """Settle the kernels of a chain one by one; behind a gate, on the rows it really admits."""
+    part = (*hot.keys, SLICE)
+    every = _settle(tagged, kernel.steps[0], hot, order).withColumnRenamed(ENTRY, "_entry_0")
+    rows = tagged
+    if kernel.keep:
+        gate = kernel.steps[0]
+        schema = T.StructType([*tagged.schema.fields, *gate.outputs.fields])
+        entered = join_small(hot.only(tagged), every.withColumnRenamed("_entry_0", ENTRY), part)
+        rows = _arrange(entered, part, order).mapInArrow(_full_pass(gate, part, schema), schema).filter(kernel.keep)
+    for i, step in enumerate(kernel.steps[1:], 1):
+        one = _settle(rows, step, hot, order).withColumnRenamed(ENTRY, f"_entry_{i}")
+        every = join_small(every, one, part)
+    fields = [F.col(f"_entry_{i}")[f.name].alias(f"{f.name}_{i}") for i, k in enumerate(kernel.steps) for f in k.state]
+    return every.select(*part, F.struct(*fields).alias(ENTRY))
+
+
 def fold(
     df: DataFrame,
     keys: Sequence[str],
