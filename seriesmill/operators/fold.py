@@ -306,11 +306,9 @@ def _repair(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str])
         [rows.schema[k] for k in part] + [T.StructField(ENTRY, kernel.state), T.StructField(EXIT, kernel.state)]
     )
     exit_pass = _exit_pass(kernel, part, schema)
-
-    def fold_slices(some: DataFrame) -> DataFrame:
-        return _arrange(some, part, order).mapInArrow(exit_pass, schema)
-
-    states = cut_lineage(fold_slices(rows))
+    # shuffled and sorted once; a broadcast join leaves rows where and in which order they are
+    arranged = cut_lineage(_arrange(rows, part, order))
+    states = cut_lineage(arranged.mapInArrow(exit_pass, schema))
     before = Window.partitionBy(*hot.keys).orderBy(SLICE)
     for _ in range(hot.n_slices):
         wanted = states.withColumn("_want", F.lag(EXIT).over(before))
@@ -318,7 +316,7 @@ def _repair(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str])
         stale = stale.select(*part, F.col("_want").alias(ENTRY))
         if stale.isEmpty():
             break
-        redone = fold_slices(join_small(rows, stale, part, "inner"))
+        redone = join_small(arranged, stale, part, "inner").mapInArrow(exit_pass, schema)
         settled = join_small(states, stale.select(*part, F.lit(True).alias("_redo")), part).filter("_redo is null")
         states = cut_lineage(settled.drop("_redo").unionByName(redone))
     return states.select(*part, ENTRY)

@@ -1,8 +1,12 @@
 """Shapes of physical plans that must hold at scale."""
 
+import os
 import re
+import subprocess
+import sys
 
 import pytest
+from conftest import ROOT
 from test_archive import plan_of
 
 from seriesmill.operators import layout, reports
@@ -44,3 +48,19 @@ def test_aggregations_combine_before_the_shuffle(spark, name):
 def test_headers_are_parsed_once(spark):
     plan = plan_of(report_queries.message_headers(spark, SF_DIR))
     assert plan.count("from_json(") <= 4
+
+
+def test_tasks_need_no_installed_package(tmp_path):
+    """Executors have only PySpark: a session started elsewhere must run folds and decoders."""
+    code = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from seriesmill.session import build_session
+from seriesmill.plans import ordered_queries, report_queries
+spark = build_session("elsewhere", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+assert ordered_queries.partition_roll(spark, {SF_DIR!r}).count() > 0
+assert report_queries.typed_values(spark, {SF_DIR!r}).count() > 0
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
