@@ -540,9 +540,9 @@ def counter_sums(spark, sf_dir):
     return reports.sum_counters(counters(spark, sf_dir))
 
 
-@query("k15_counter_lines", f"WITH {COUNTERS} SELECT 'daq_conn_' || name || ' ' || sum(value)::BIGINT AS value FROM c GROUP BY name")
+@query("k15_counter_lines", f"WITH {COUNTERS} SELECT 'plant_conn_' || name || ' ' || sum(value)::BIGINT AS value FROM c GROUP BY name")
 def counter_lines(spark, sf_dir):
-    return reports.counter_lines(reports.sum_counters(counters(spark, sf_dir)), "daq", "conn")
+    return reports.counter_lines(reports.sum_counters(counters(spark, sf_dir)), "plant", "conn")
 
 
 @query(
