@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import quality
+from seriesmill.llm import licenses, quality, url_rules
 from seriesmill.llm.common import table
+from seriesmill.session import small_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,3 +73,58 @@ FROM measured
 def line_first_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, m = quality.measure_lines(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", f"{m}.*").drop("cleaned")
+
+
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+URL_RULES_SQL = f"""
+WITH rules(host, path, verdict) AS (VALUES {", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)}),
+rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS r FROM pages),
+parts AS (
+  SELECT page_id, r, regexp_extract(r, '^[^/?#]*') AS h FROM rest
+), judged AS (
+  SELECT page_id, coalesce(translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(substr(r, length(h) + 1), '^[^?#]*'), '') AS path FROM parts
+), fits AS (
+  SELECT j.*, u.host || u.path AS rule, u.verdict FROM judged j LEFT JOIN rules u
+  ON (j.host = u.host OR ends_with(j.host, '.' || u.host)) AND starts_with(j.path, u.path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
+"""
+
+
+@query("op3_url_rules", URL_RULES_SQL)
+def url_rules_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = small_table(spark, URL_RULES, url_rules.RULE_SCHEMA)
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+LICENCE_SQL = f"""
+WITH raw AS (
+  SELECT doc_id, unnest(list_distinct(list_concat([text], string_split_regex(text, '\n[\x20\x09]*\n'), string_split(text, chr(10)),
+    string_split(regexp_replace(text, '([.!?])[\x20\x09-\x0D]+', '\\1' || chr(10), 'g'), chr(10))))) AS unit FROM documents WHERE text IS NOT NULL
+), texts AS (
+  SELECT 'u' AS kind, row_number() OVER () AS id, doc_id, NULL AS licence, unit AS t FROM raw
+  UNION ALL
+  SELECT 'l', 0, NULL, licence, t FROM (VALUES {", ".join("(" + quoted(t) + ")" for t in licenses.TEMPLATES)}) v(licence, t)
+), worded AS (
+  SELECT *, regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), paired AS (
+  SELECT kind, id, doc_id, licence, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM worded WHERE len(w) > 1
+), scored AS (
+  SELECT u.doc_id, l.licence, 2.0 * len(list_intersect(u.b, l.b)) / (len(u.b) + len(l.b)) AS dice
+  FROM paired u JOIN paired l ON u.kind = 'u' AND l.kind = 'l' AND len(u.b) BETWEEN len(l.b) * 0.6 AND len(l.b) * 1.6
+), per_doc AS (
+  SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences, min((-round(dice, 4), licence)) AS best, count(*) AS n
+  FROM scored WHERE dice >= 0.8 - 1e-9 GROUP BY doc_id
+)
+SELECT d.doc_id, licences, best[2] AS best_licence, -best[1] AS best_dice, coalesce(n, 0)::BIGINT AS n_matches
+FROM documents d LEFT JOIN per_doc USING (doc_id)
+"""
+
+
+@query("op9_licence_scan", LICENCE_SQL)
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licences(table(spark, sf_dir, "documents"), licenses.template_table(spark))
