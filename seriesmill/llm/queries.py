@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import licenses, quality, url_rules
+from seriesmill.llm import decontaminate, licenses, quality, url_rules
 from seriesmill.llm.common import table
 from seriesmill.session import small_table
 
@@ -128,3 +128,60 @@ FROM documents d LEFT JOIN per_doc USING (doc_id)
 @query("op9_licence_scan", LICENCE_SQL)
 def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licences(table(spark, sf_dir, "documents"), licenses.template_table(spark))
+
+
+BENCHMARK_SQL = """
+WITH low AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), worded AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM low
+), phrases AS (
+  SELECT DISTINCT id AS item, w[i:i + 9] AS p FROM (
+    SELECT id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM worded WHERE kind = 'b' AND len(w) > 0)
+), starts AS (
+  SELECT id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM worded WHERE kind = 'd'
+), lengths AS (SELECT DISTINCT len(p) AS k FROM phrases
+), grams AS (
+  SELECT id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: {'i': i, 'p': w[i:i + k - 1]})) AS g
+  FROM worded, lengths WHERE kind = 'd' AND len(w) >= k
+), found AS (
+  SELECT id, g.i AS i, k, item FROM grams JOIN phrases ON p = g.p
+), hit AS (
+  SELECT id, count(DISTINCT place) AS n_hit FROM (SELECT id, unnest(range(i, i + k)) AS place FROM found) GROUP BY id
+), listed AS (
+  SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item::VARCHAR, ',' ORDER BY item::VARCHAR) AS items FROM found GROUP BY id
+), counts AS (
+  SELECT t, count(*) AS n FROM (SELECT unnest(w) AS t FROM worded WHERE kind = 'd') GROUP BY t
+), item_terms AS (
+  SELECT DISTINCT id AS item, unnest(w) AS t FROM worded WHERE kind = 'b'
+), ranked AS (
+  SELECT item, t, row_number() OVER (PARTITION BY item ORDER BY n, t) AS r, min(coalesce(n, 0)) OVER (PARTITION BY item) AS least
+  FROM item_terms LEFT JOIN counts USING (t)
+), near_terms AS (
+  SELECT item, t, r, max(r) OVER (PARTITION BY item) AS last FROM ranked WHERE r <= 3 AND least > 0
+), places AS (
+  SELECT s.id, s.i, item, r, last FROM starts s JOIN near_terms USING (t)
+), near AS (
+  SELECT id, count(DISTINCT item) AS n_near FROM (
+    SELECT c.id, c.item, c.i FROM places c LEFT JOIN places o ON o.id = c.id AND o.item = c.item AND o.r > 1 AND abs(o.i - c.i) <= 20
+    WHERE c.r = 1 GROUP BY c.id, c.item, c.i, c.last HAVING count(DISTINCT o.r) = c.last - 1) GROUP BY id
+)
+SELECT w.id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM worded w LEFT JOIN hit ON w.id = hit.id LEFT JOIN listed ON w.id = listed.id LEFT JOIN near ON w.id = near.id WHERE kind = 'd'
+"""
+
+
+@query("op2_benchmark_index", BENCHMARK_SQL)
+def benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near"),
+    )
