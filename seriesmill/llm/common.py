@@ -40,6 +40,15 @@ def split_words(text: Column, separators: str = SPACE_RUN) -> Column:
     return F.coalesce(F.array_remove(F.split(text, separators), ""), F.array().cast("array<string>"))
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """`df` with columns that are computed once per row.
+
+    They come out of a generator, through which filters are not pushed. As a plain projection they
+    would be written out again wherever a later filter, join or lambda refers to them.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bound the Arrow batches that Python functions get; texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -56,3 +65,10 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public vocabulary file; executors need the same package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmill.llm.common import NON_TOKEN_RUN, ascii_lower, split_words
+from seriesmill.llm.common import NON_TOKEN_RUN, ascii_lower, computed, split_words
 from seriesmill.operators.joins import join_sized
 from seriesmill.session import small_table
 
@@ -36,13 +36,14 @@ TEMPLATES = (
 LEAST = 0.8
 
 
-def bigrams(text: Column) -> list:
-    """Steps from a text to its distinct word bigrams, as hashes."""
-    return [
-        split_words(ascii_lower(text), NON_TOKEN_RUN),
-        lambda w: F.transform(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1))),
-        F.array_distinct,
-    ]
+def words_of(text: Column) -> Column:
+    return split_words(ascii_lower(text), NON_TOKEN_RUN)
+
+
+def bigrams(words: Column) -> Column:
+    """Distinct word bigrams as hashes. `words` must be a computed column, as each pair looks into it."""
+    firsts = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
+    return F.array_distinct(F.transform(firsts, lambda x, i: F.xxhash64(x, F.get(words, i + 1))))
 
 
 def units(text: Column) -> Column:
@@ -56,6 +57,22 @@ def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]] = T
     return small_table(spark, list(templates), schema)
 
 
+def telling_words(templates: DataFrame, least: float, most: int = 10_000) -> list[str] | None:
+    """Words of which every unit that reaches `least` has one, or None if the templates are too many.
+
+    Such a unit has at least b * least / (2 - least) of a template's b bigrams, so of any set of one
+    bigram more than it may lack it has one, and both its words. The bigrams with the longest words
+    are taken, since long words are rare.
+    """
+    rows = templates.select(words_of(F.col("text")).alias("w")).limit(most + 1).collect()
+    words = set()
+    for (w,) in rows:
+        pairs = sorted(set(zip(w, w[1:])), key=lambda p: (-max(map(len, p)), p))
+        lacking = len(pairs) - math.ceil(len(pairs) * least / (2 - least) - 1e-9)
+        words.update(max(p, key=len) for p in pairs[: lacking + 1])
+    return sorted(words) if len(rows) <= most and 0 < len(words) <= most else None
+
+
 def licence_matches(docs: DataFrame, templates: DataFrame, least: float = LEAST, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for every unit and template whose Dice reaches `least`: key, unit, licence, dice.
 
@@ -64,14 +81,8 @@ def licence_matches(docs: DataFrame, templates: DataFrame, least: float = LEAST,
     """
     if not 0 < least <= 1:
         raise ValueError("least must be above 0 and at most 1")
-    words, pairs, distinct = bigrams(F.col("_text"))
-    known = (
-        templates.select("licence", F.col("text").alias("_text"))
-        .na.drop()
-        .select("licence", words.alias("w"))
-        .select("licence", distinct(pairs(F.col("w"))).alias("of_licence"))
-        .filter(F.size("of_licence") > 0)
-    )
+    known = computed(templates.select("licence", "text").na.drop(), w=words_of(F.col("text")))
+    known = computed(known, of_licence=bigrams(F.col("w"))).select("licence", "of_licence").filter(F.size("of_licence") > 0)
     low = lambda n: F.ceil(n * F.lit(least / (2 - least)) - 1e-9)
     high = lambda n: F.floor(n * F.lit((2 - least) / least) + 1e-9)
     sizes = known.select("licence", F.explode(F.sequence(low(F.size("of_licence")), high(F.size("of_licence")))).alias("n"))
@@ -79,15 +90,14 @@ def licence_matches(docs: DataFrame, templates: DataFrame, least: float = LEAST,
     least_n, most_n = bounds[0] or math.inf, bounds[1] or 0
     if most_n == 0:
         least_n = 1
-    found = (
-        docs.select(F.col(f"`{key}`").alias("_key"), F.explode(units(F.col(f"`{text}`"))).alias("_text"))
-        .select("_key", "_text", words.alias("w"))
-        .filter(F.size("w") > F.lit(int(least_n)))
-        .select("_key", "_text", pairs(F.col("w")).alias("w"))
-        .select("_key", "_text", distinct(F.col("w")).alias("of_unit"))
-        .withColumn("n", F.size("of_unit").cast("long"))
-        .filter((F.col("n") >= int(least_n)) & (F.col("n") <= int(most_n)))
-    )
+    rows = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
+    telling = telling_words(templates, least)
+    if telling is not None:
+        rows = computed(rows, w=words_of(F.col("_text"))).filter(F.arrays_overlap("w", F.array(*map(F.lit, telling))))
+    each = rows.select("_key", F.explode(units(F.col("_text"))).alias("_text"))
+    worded = computed(each, w=words_of(F.col("_text"))).filter(F.size("w") > F.lit(int(least_n)))
+    found = computed(worded, of_unit=bigrams(F.col("w"))).drop("w").withColumn("n", F.size("of_unit").cast("long"))
+    found = found.filter((F.col("n") >= int(least_n)) & (F.col("n") <= int(most_n)))
     both = join_sized(join_sized(found, sizes, ["n"], "inner"), known, ["licence"], "inner")
     common = F.size(F.array_intersect("of_unit", "of_licence"))
     both = both.withColumn("dice", F.lit(2.0) * common / (F.size("of_unit") + F.size("of_licence")))

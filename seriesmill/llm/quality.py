@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import ascii_lower, fresh, split_words
+from seriesmill.llm.common import ascii_lower, computed, fresh, split_words
 
 SENTENCE_MARK = r"[.!?:;…。！？]"
 LINE_SYMBOLS = r"[#*$%&|<>{}=~^_]"
@@ -162,11 +162,9 @@ def measure_lines(docs: DataFrame, text: str = "text", rules: LineRules = LineRu
     m = lambda f: col["measure"][f]
     base = (m("n_words") < rules.min_words) | (m("n_repeat_words") * 100 > m("n_words") * rules.max_repeat_percent)
     too_much = m("chars_lost") * 100 > m("word_chars") * rules.max_lost_percent
-    out = out.withColumn(
-        tmp["measure"],
-        col["measure"].withField("base_failed", base).withField("kept", ~base & ~too_much),
-    )
-    return out.drop(tmp["lines"], tmp["split"], tmp["bad"], tmp["h"]), tmp["measure"]
+    judged = col["measure"].withField("base_failed", base).withField("kept", ~base & ~too_much)
+    last = fresh(out, "_judged")
+    return computed(out.drop(tmp["lines"], tmp["split"], tmp["bad"], tmp["h"]), **{last: judged}).drop(tmp["measure"]), last
 
 
 def clean_documents(docs: DataFrame, text: str = "text", rules: LineRules = LineRules()) -> DataFrame:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import decontaminate, licenses, quality, url_rules
-from seriesmill.llm.common import table
+from seriesmill.llm import decontaminate, licenses, packing, quality, token_files, unigram, url_rules
+from seriesmill.llm.common import table, tokenizer_file
 from seriesmill.session import small_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,18 @@ def benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"),
         F.size("near_items").cast("long").alias("n_near"),
     )
+
+
+@query("op5_sum_of_squares_packing")
+def sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query("op6_trie_token_counts")
+def trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+@query("op8_token_files")
+def token_files_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_corpus(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
