@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import decontaminate, licenses, packing, quality, token_files, unigram, url_rules
+from seriesmill.llm import decontaminate, licenses, near_dedup, packing, quality, token_files, unigram, url_rules
 from seriesmill.llm.common import table, tokenizer_file
 from seriesmill.session import small_table
 
@@ -200,3 +200,8 @@ def trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_token_files")
 def token_files_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_corpus(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query("op10_minhash_stars")
+def minhash_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2).drop("text_hash")
