@@ -22,16 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import small_batches, stored
+from seriesmill.llm.common import fresh, small_batches, stored
 from seriesmill.llm.components import components
 from seriesmill.llm.segments import slices
 from seriesmill.llm.shingles import digest, mix, shingle_sets
+from seriesmill.llm.stars import meet, narrowed
 
 ROWS, BANDS = 6, 40
 BINS = ROWS * BANDS
 STAR_ROUNDS = 4
-MEMBERS_PER_SALT = 500
-BROADCAST_IDS = 200_000
 
 
 def donors(block: int, tries: int) -> np.ndarray:
@@ -96,25 +95,16 @@ def sketch(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
 
 def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int, key: str, text: str) -> DataFrame:
     """`pairs` (a, b) with `linked`, by the full sets of both; pairs of unlike size are refuted unread."""
-    spark = docs.sparkSession
     of = lambda side: classes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"))
     sized = pairs.join(of("a"), "a").join(of("b"), "b")
     near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     sized = stored(sized.withColumn("near", near).select("a", "b", "near"), "pairs")
     asked = sized.filter("near").select("a", "b")
-    salts = asked.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_SALT).cast("int").alias("salts"))
-    asked = asked.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), "salts").cast("int"))
     nodes = asked.select("a").union(asked.select("b")).distinct().toDF("node")
     nodes = stored(nodes.join(classes, "node").select("node", F.col("rep").alias("doc"), "text_hash"), "nodes")
-    few = nodes.count() <= BROADCAST_IDS
     body = F.col(f"`{text}`").cast("string")
     rows = docs.select(F.col(f"`{key}`").alias("doc"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
-    texts = rows.join(F.broadcast(nodes) if few else nodes, ["doc", "text_hash"]).select("node", "text")
-    centres = salts.select(F.col("a").alias("node"), "salts").join(texts, "node")
-    centres = centres.select(F.col("node").alias("a"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "text")
-    members = asked.select("a", "salt", F.col("b").alias("node")).join(texts, "node").select("a", "salt", F.col("node").alias("b"), "text")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    both = centres.union(members).repartition(n, "a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    texts = narrowed(rows, nodes.select("doc", "text_hash"), ["doc", "text_hash"]).join(nodes, ["doc", "text_hash"]).select("node", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre = None
@@ -131,7 +121,7 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int,
                         right.append(b)
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
-    links = both.mapInArrow(compare, "a long, b long").distinct().withColumn("linked", F.lit(True))
+    links = meet(asked, texts).mapInArrow(compare, "a long, b long").distinct().withColumn("linked", F.lit(True))
     return stored(sized.select("a", "b").join(links, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked")), "confirmed")
 
 
@@ -203,5 +193,6 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80
     """
     gone = near_duplicates(docs, shingle, percent, key, text).filter("not kept")
     gone = gone.select(F.col(f"`{key}`").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
-    on = (docs[key] == F.col("_doc")) & (F.xxhash64(docs[text]) == F.col("_hash"))
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, on, "anti")
+    names = [fresh(docs, "_doc"), fresh(docs, "_hash")]
+    wide = docs.withColumns({names[0]: F.col(f"`{key}`"), names[1]: F.xxhash64(F.col(f"`{text}`").cast("string"))})
+    return narrowed(wide, gone.toDF(*names), names, "anti").drop(*names)

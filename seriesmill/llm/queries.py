@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import decontaminate, licenses, near_dedup, packing, quality, token_files, unigram, url_rules
+from seriesmill.llm import decontaminate, licenses, line_dedup, near_dedup, packing, quality, substring_dedup, token_files, unigram, url_rules
 from seriesmill.llm.common import table, tokenizer_file
 from seriesmill.session import small_table
 
@@ -205,3 +205,22 @@ def token_files_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_minhash_stars")
 def minhash_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2).drop("text_hash")
+
+
+@query("op1_line_alignment")
+def line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
+    out, removed = line_dedup.without_shared_lines(docs)
+    return out.select(
+        "doc_id",
+        F.coalesce(F.size(F.split("before", "\n")), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(removed), F.lit(0)).cast("long").alias("n_removed"),
+        (F.length(F.coalesce("before", F.lit(""))) - F.length(F.coalesce("text", F.lit("")))).cast("long").alias("n_chars_removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+@query("op7_super_kmers")
+def super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
