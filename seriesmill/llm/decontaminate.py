@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from seriesmill.llm.common import NON_TOKEN_RUN, ascii_lower, split_words, stored
+from seriesmill.llm.common import NON_TOKEN_RUN, ascii_lower, fresh, split_words, stored
+from seriesmill.llm.stars import narrowed
 from seriesmill.operators.joins import join_sized
 
 ANCHORS = 2
@@ -194,6 +195,8 @@ def benchmark_hits(
 def without_benchmark(docs: DataFrame, items: DataFrame, words: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` in which no phrase of an item occurs; all columns. See `benchmark_hits`."""
     hit = benchmark_hits(docs, items, words, key=key, text=text).filter("n_hit > 0")
-    bad = hit.select(F.col(f"`{key}`").alias("_doc"), F.col("digest").alias("_digest")).distinct()
-    on = docs[key].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs[text]) == F.col("_digest"))
-    return docs.join(F.broadcast(bad) if bad.count() <= 200_000 else bad, on, "anti")
+    names = [fresh(docs, n) for n in ("_doc", "_absent", "_hash")]
+    code = lambda c: [F.coalesce(c.cast("string"), F.lit("")), c.isNull()]  # null equals null
+    bad = hit.select(*code(F.col(f"`{key}`")), "digest").toDF(*names).distinct()
+    wide = docs.withColumns(dict(zip(names, [*code(F.col(f"`{key}`")), F.xxhash64(F.col(f"`{text}`"))])))
+    return narrowed(wide, bad, names, "anti").drop(*names)
