@@ -25,14 +25,16 @@ def time_weighted_bins(
     bin_ns: int = MINUTE,
     keys: Sequence[str] = ("series",),
     value: str = "value",
-    max_carry_ns: int | None = None,
+    *,
+    max_carry_ns: int | None,
     single_precision: bool = False,
     hot: HotKeys | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Count, minimum, maximum and time-weighted mean of every series and bin.
 
-    A value holds until the next event of its series, at most for `max_carry_ns`. Bins reach
+    A value holds until the next event of its series, at most for `max_carry_ns`; None holds it
+    however long the gap, which makes one row for every bin of it. Bins reach
     from the first event to the last; one without events has count 0 while a value is carried.
     """
     keys = tuple(keys)

@@ -2,14 +2,16 @@
 
 Rows are hash-partitioned by key and sorted, and a kernel walks through the Arrow batches, so
 memory does not grow with the key. Keys too large for one task are cut into time slices (see
-`slicing`). Slices are folded in parallel from a guessed state; then every slice whose guess
-differs from the state its predecessor really ended in is folded again from that state, until
-none is left. The result is exactly that of one sequential pass. Gates, rolls and averages
-forget their past, so a few repairs settle them.
-
-Partition rolls and throttles need not forget. They say instead, for every state a slice can be
-entered with, which state it is left in (`Transfer`): the slices are summed up in parallel, and
-one short pass per key goes from summary to summary.
+`slicing`).
+
+Averages, partition rolls and throttles say for every state a slice can be entered with which
+state it is left in (`Transfer`): the slices are summed up in parallel, and one short pass per key
+goes from summary to summary. Averages are summed up as moments, so that a sliced average equals
+one sequential pass but for rounding; all else is exactly equal.
+
+Other kernels are folded in parallel from a guessed state, and slices whose guess differs from the
+state their predecessor really ended in are folded again. Gates forget their past, so that a few
+rounds settle most keys; after `REPAIRS` rounds the keys that are left take one pass along the key.
 """
 
 from __future__ import annotations
@@ -38,6 +40,10 @@ from seriesmill.session import cut_lineage
 ENTRY, EXIT = "_entry", "_exit"
 
 
+# Rounds in which slices whose guessed entry was wrong are folded again, all in parallel.
+REPAIRS = 3
+
+
 class Kernel:
     """One fold. `run` takes the state and a run of rows of one key, and gives the new state.
 
@@ -299,8 +305,39 @@ def _cross(rows: DataFrame, kernel: Transfer, hot: HotKeys, order: Sequence[str]
     return cut_lineage(along.mapInArrow(_cross_pass(kernel, hot.keys, entered), entered))
 
 
+def _walk(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str]) -> DataFrame:
+    """The entry states by one pass along each key, in one task per key and batches of bounded memory."""
+    part = (*hot.keys, SLICE)
+    schema = T.StructType([*[rows.schema[k] for k in part], T.StructField(ENTRY, kernel.state)])
+    arrow = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
+
+    def run(batches):
+        key, here, state = None, None, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            cols = {c: _numpy(batch.column(c)) for c in kernel.inputs}
+            starts, entered = _starts(batch, part).tolist(), []
+            for s, e in zip(starts, [*starts[1:], batch.num_rows]):
+                at = _key_at(batch, part, s)
+                if state is None or at[:-1] != key:
+                    key, state = at[:-1], kernel.fresh()
+                if at != here:
+                    here = at
+                    entered.append({**dict(zip(part, at)), ENTRY: dict(zip(kernel.state.names, state))})
+                state, _ = kernel.run(state, {c: a[s:e] for c, a in cols.items()})
+            if entered:
+                yield pa.RecordBatch.from_pylist(entered, schema=arrow)
+
+    return rows.repartition(*hot.keys).sortWithinPartitions(*part, *order).mapInArrow(run, schema)
+
+
 def _repair(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str]) -> DataFrame:
-    """The entry states of any kernel, by repairing guesses."""
+    """The entry states of any kernel, by repairing guesses.
+
+    Kernels that forget their past settle in a round or two. What is still stale after `REPAIRS`
+    rounds is folded along its key, so the number of jobs does not grow with the slices.
+    """
     part = (*hot.keys, SLICE)
     schema = T.StructType(
         [rows.schema[k] for k in part] + [T.StructField(ENTRY, kernel.state), T.StructField(EXIT, kernel.state)]
@@ -310,12 +347,17 @@ def _repair(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str])
     arranged = cut_lineage(_arrange(rows, part, order))
     states = cut_lineage(arranged.mapInArrow(exit_pass, schema))
     before = Window.partitionBy(*hot.keys).orderBy(SLICE)
-    for _ in range(hot.n_slices):
+    for left in reversed(range(REPAIRS + 1)):
         wanted = states.withColumn("_want", F.lag(EXIT).over(before))
         stale = wanted.filter(F.col("_want").isNotNull() & ~F.col("_want").eqNullSafe(F.col(ENTRY)))
         stale = stale.select(*part, F.col("_want").alias(ENTRY))
         if stale.isEmpty():
             break
+        if not left:
+            unsettled = stale.select(*hot.keys).distinct()
+            walked = _walk(join_small(rows, unsettled, hot.keys, "inner"), kernel, hot, order)
+            done = join_small(states, unsettled.withColumn("_redo", F.lit(True)), hot.keys).filter("_redo is null")
+            return cut_lineage(done.select(*part, ENTRY).unionByName(walked.select(*part, ENTRY)))
         redone = join_small(arranged, stale, part, "inner").mapInArrow(exit_pass, schema)
         settled = join_small(states, stale.select(*part, F.lit(True).alias("_redo")), part).filter("_redo is null")
         states = cut_lineage(settled.drop("_redo").unionByName(redone))

@@ -32,11 +32,63 @@ def ema_update(ema: float, emv: float, k: float, values: np.ndarray) -> tuple[np
     return emas, decay_scan(emv, 1.0 - k, (1.0 - k) * k * dv * dv)
 
 
-class ValueEma(Kernel):
+class Moments(Paths):
+    """How a run of values moves an average and its variance, whatever they were before.
+
+    The average after is `factor * ema + shift`; the variance `factor * emv + a + b * ema + c * ema^2`.
+    Runs compose, so a slice of any length is six numbers.
+    """
+
+    def __init__(self, k: float):
+        self.k, self.size = k, 0
+        self.factor, self.shift, self.a, self.b, self.c = 1.0, 0.0, 0.0, 0.0, 0.0
+
+    def extend(self, values: np.ndarray) -> None:
+        m, keep = len(values), 1.0 - self.k
+        if not m:
+            return
+        emas, emvs = ema_update(0.0, 0.0, self.k, values)
+        fade = keep ** np.arange(m)  # what is left of the average before each value
+        weight = fade[::-1] * keep * self.k  # of each squared difference in the variance after
+        apart = values - np.concatenate(([0.0], emas[:-1]))
+        factor, shift, a = keep**m, float(emas[-1]), float(emvs[-1])
+        b, c = float(-2.0 * (weight * apart * fade).sum()), float((weight * fade * fade).sum())
+        self.a = factor * self.a + a + b * self.shift + c * self.shift**2
+        self.b = factor * self.b + b * self.factor + 2.0 * c * self.shift * self.factor
+        self.c = factor * self.c + c * self.factor**2
+        self.shift = factor * self.shift + shift
+        self.factor *= factor
+        self.size += m
+
+    def numbers(self) -> dict:
+        return {"size": self.size, "factor": self.factor, "shift": self.shift, "a": self.a, "b": self.b, "c": self.c}
+
+
+MOMENTS = dict(size=LONG, factor=DOUBLE, shift=DOUBLE, a=DOUBLE, b=DOUBLE, c=DOUBLE)
+
+
+def moved(ema: float, emv: float, m: dict) -> tuple[float, float]:
+    return m["factor"] * ema + m["shift"], m["factor"] * emv + m["a"] + m["b"] * ema + m["c"] * ema * ema
+
+
+class ValueMoments(Moments):
+    def __init__(self, kernel):
+        super().__init__(kernel.k)
+        self.value = kernel.value
+
+    def add(self, cols):
+        self.extend(cols[self.value].astype(np.float64))
+
+    def result(self):
+        return self.numbers()
+
+
+class ValueEma(Transfer):
     """Moving average and variance of a value column."""
 
     state = struct(ema=DOUBLE, emv=DOUBLE, n=LONG)
     outputs = struct(ema=DOUBLE, emv=DOUBLE, ema_count=LONG)
+    summary = struct(**MOMENTS)
 
     def __init__(self, k: float = 0.05, value: str = "value"):
         self.k, self.value = k, value
@@ -45,6 +97,13 @@ class ValueEma(Kernel):
     def fresh(self):
         return 0.0, 0.0, 0
 
+    def paths(self):
+        return ValueMoments(self)
+
+    def cross(self, state, summary):
+        ema, emv, n = state
+        return *moved(ema, emv, summary), n + summary["size"]
+
     def run(self, state, cols):
         ema, emv, n = state
         values = cols[self.value].astype(np.float64)
@@ -54,11 +113,32 @@ class ValueEma(Kernel):
         return (float(emas[-1]), float(emvs[-1]), int(counts[-1])), out
 
 
-class IntervalEma(Kernel):
+class IntervalMoments(Moments):
+    """Moments of the gaps within a slice, and its first and last time for the gap before it."""
+
+    def __init__(self, kernel):
+        super().__init__(kernel.k)
+        self.ts, self.first, self.last = kernel.ts, None, None
+
+    def add(self, cols):
+        ts = cols[self.ts]
+        if self.first is None:
+            self.first = int(ts[0])
+            self.extend(np.diff(ts) / 1e9)
+        else:
+            self.extend(np.diff(ts, prepend=self.last) / 1e9)
+        self.last = int(ts[-1])
+
+    def result(self):
+        return {**self.numbers(), "first": self.first, "last": self.last}
+
+
+class IntervalEma(Transfer):
     """Moving average and variance of the seconds between rows; the first row of a key updates nothing."""
 
     state = struct(ema=DOUBLE, emv=DOUBLE, n=LONG, last=LONG)
     outputs = struct(ema=DOUBLE, emv=DOUBLE, ema_count=LONG)
+    summary = struct(**MOMENTS, first=LONG, last=LONG)
 
     def __init__(self, k: float = 0.05, ts: str = "ts_ns"):
         self.k, self.ts = k, ts
@@ -67,6 +147,16 @@ class IntervalEma(Kernel):
     def fresh(self):
         return 0.0, 0.0, 0, None
 
+    def paths(self):
+        return IntervalMoments(self)
+
+    def cross(self, state, summary):
+        ema, emv, n, last = state
+        if last is not None:
+            apart = (summary["first"] - last) / 1e9 - ema
+            ema, emv, n = ema + self.k * apart, (1.0 - self.k) * (emv + self.k * apart * apart), n + 1
+        return *moved(ema, emv, summary), n + summary["size"], summary["last"]
+
     def run(self, state, cols):
         ema, emv, n, last = state
         ts = cols[self.ts]
@@ -230,10 +320,12 @@ class PartitionRoll(Transfer):
 class IntervalGate(Kernel):
     """Admit rows at a minimum interval that adapts to the interval really admitted.
 
-    Dropped rows report the interval statistics, at most once per `report_ns` and key.
+    Dropped rows report the interval statistics, at most once per `report_ns` and key. `ts` is the
+    clock: the rows must come in its order, so a gate on the time of arrival lets a row of an
+    earlier device time pass like any other.
     """
 
-    state = struct(ema=DOUBLE, emv=DOUBLE, n=LONG, last=LONG, next=LONG, reported=LONG)
+    state = struct(ema=DOUBLE, emv=DOUBLE, known=BOOL, last=LONG, next=LONG, reported=LONG)
     outputs = struct(admitted=BOOL, ivl_ema=DOUBLE, report=BOOL, report_ema=DOUBLE, report_emd=DOUBLE)
 
     def __init__(self, ivl_ns: int = 6_000_000, k: float = 0.05, report_ns: int = 10 * SECOND, ts: str = "ts_ns"):
@@ -241,10 +333,10 @@ class IntervalGate(Kernel):
         self.inputs = (ts,)
 
     def fresh(self):
-        return 0.0, 0.0, 0, None, None, None
+        return 0.0, 0.0, False, None, None, None
 
     def run(self, state, cols):
-        ema, emv, n, last, nxt, reported = state
+        ema, emv, known, last, nxt, reported = state
         k, ivl = self.k, self.ivl
         t = cols[self.ts].tolist()
         size = len(t)
@@ -263,14 +355,14 @@ class IntervalGate(Kernel):
                     dv = (now - last) / 1e9 - ema
                     ema += k * dv
                     emv = (1.0 - k) * (emv + k * dv * dv)
-                    n += 1
+                    known = True
                 last = now
                 nxt = now + int(max(0.0, ivl - ema) / k * 1e6) * 1000
-                admitted[i], emas[i], unset[i] = True, ema, n == 0
+                admitted[i], emas[i], unset[i] = True, ema, not known
                 i += 1
                 continue
             stop = bisect_left(t, nxt, i)
-            emas[i:stop], unset[i:stop] = ema, n == 0
+            emas[i:stop], unset[i:stop] = ema, not known
             r = bisect_left(t, reported + self.report_ns, i, stop)
             while r < stop:
                 report[r], emd[r], reported = True, emv**0.5, t[r]
@@ -283,7 +375,7 @@ class IntervalGate(Kernel):
             "report_ema": (emas, ~report),
             "report_emd": (emd, ~report),
         }
-        return (ema, emv, n, last, nxt, reported), out
+        return (ema, emv, known, last, nxt, reported), out
 
 
 class RateLimiter(Kernel):
@@ -312,15 +404,26 @@ class RateLimiter(Kernel):
     def run(self, state, cols):
         ema, last = state
         k, cap, least = self.k, self.cap, self.least
-        forwarded, emas = [], []
-        for now, droppable in zip(cols[self.ts].tolist(), cols[self.droppable].tolist()):
-            preview = ema if last is None else ema + k * (min(now - last, cap) / 1e9 - ema)
-            passed = last is None or not (droppable and preview < least)
-            if passed:
-                ema, last = preview, now
-            forwarded.append(passed)
-            emas.append(ema)
-        return (ema, last), {"forwarded": np.array(forwarded, dtype=bool), "forward_ema": np.array(emas)}
+        ts, droppable = cols[self.ts], cols[self.droppable].astype(bool)
+        t, kept = ts.tolist(), np.flatnonzero(~droppable)
+        size = len(t)
+        forwarded, emas = np.zeros(size, dtype=bool), np.zeros(size)
+        preview = lambda now: ema + k * (min(now - last, cap) / 1e9 - ema)
+        i = 0
+        while i < size:
+            if last is not None:
+                # the preview rises with time, so the first row that passes is found by search
+                at = kept.searchsorted(i)
+                stop = int(kept[at]) if at < len(kept) else size
+                passing = bisect_left(t, True, i, stop, key=lambda now: preview(now) >= least)
+                emas[i:passing] = ema
+                if (i := passing) == size:
+                    break
+                ema = preview(t[i])
+            last = t[i]
+            forwarded[i], emas[i] = True, ema
+            i += 1
+        return (ema, last), {"forwarded": forwarded, "forward_ema": emas}
 
 
 class Throttle(Transfer):

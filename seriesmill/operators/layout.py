@@ -63,8 +63,8 @@ def mark_grid_changes(
 
 
 def partition_index(laid_out: DataFrame) -> DataFrame:
-    """Partitions of every series."""
-    return laid_out.filter("msp_bump").select("series", "ts_msp").distinct()
+    """Partitions of every series, those of late rows included."""
+    return laid_out.filter("ts_msp is not null").select("series", "ts_msp").distinct()
 
 
 def grid_index(laid_out: DataFrame) -> DataFrame:

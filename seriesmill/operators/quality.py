@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +30,10 @@ def include_channels(
 
 
 def find_channels(channels: DataFrame, pattern: str, column: str = "channel") -> DataFrame:
-    """Channels that match a pattern; an invalid pattern finds nothing."""
+    """Channels that match a pattern; one that the engine's own compiler refuses finds nothing."""
     try:
-        re.compile(pattern)
-    except re.error:
+        channels.sparkSession.sql("SELECT '' RLIKE :p", {"p": pattern}).collect()
+    except PySparkException:
         return channels.filter(F.lit(False))
     return channels.filter(F.col(column).rlike(pattern))
 
@@ -74,8 +74,9 @@ def header_hash_ok(frames: str = "frames", declared: str = "hash") -> Column:
     return F.md5(F.element_at(frames, 2)) == F.lower(F.col(declared))
 
 
-def limit_channels(channels: str = "channels", most: int = 4000) -> Column:
-    return F.slice(channels, 1, most)
+def within_limit(pos: str = "pos", most: int | None = None) -> Column:
+    """Whether a channel, by its position in the message, is among the first `most`; all are without a limit."""
+    return F.lit(True) if most is None else F.col(pos) < most
 
 
 def pick_channels(values: DataFrame, names: Sequence[str], column: str = "channel") -> DataFrame:

@@ -12,6 +12,11 @@ from seriesmill.operators.slicing import DEFAULT_POLICY, HotKeys, Ordered, Slice
 SOURCE = ("source",)
 
 
+def sample_hashed(items: DataFrame, per_mille: int, keys: Sequence[str] = SOURCE, order: Sequence[str] = ("ts_ns", "seq")) -> DataFrame:
+    """Keep about `per_mille` of a thousand rows, by a hash of the row: the same ones in a stream as in a table."""
+    return items.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(1000)) < per_mille)
+
+
 def sample_fraction(
     items: DataFrame,
     per_mille: int,
@@ -20,12 +25,9 @@ def sample_fraction(
     hot: HotKeys | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Keep the first `per_mille` of every thousand rows of a source.
-
-    Streams have no position; there the hash of the row decides.
-    """
+    """Keep the first `per_mille` of every thousand rows of a source. Streams have no position: see `sample_hashed`."""
     if items.isStreaming:
-        return items.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(1000)) < per_mille)
+        raise ValueError("a stream has no positions; use sample_hashed")
     rows = Ordered(items, keys, order, hot, policy).position("_i").done()
     return rows.filter(F.pmod("_i", F.lit(1000)) < per_mille).drop("_i")
 

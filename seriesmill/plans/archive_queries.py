@@ -11,8 +11,8 @@ from seriesmill.plans.driver_tables import as_events, events, messages, nanos, s
 from seriesmill.plans.ordered_queries import GATE_SQL, GRID_SQL, IVL, REPORT, ROLL_SQL, SPACING, UNIT, bins_sql, gated
 from seriesmill.plans.registered import query, rounded, user_events
 from seriesmill.plans.registry_queries import MATCH_SQL, no_registry, requests
-from seriesmill.schemas import DAY, HOUR
-from seriesmill.session import ROCKSDB
+from seriesmill.schemas import DAY, HOUR, REGISTRY
+from seriesmill.session import ROCKSDB, small_table
 from seriesmill.sinks import tables
 from seriesmill.sources import archive, captures
 from seriesmill.streaming import folds, jobs
@@ -28,7 +28,7 @@ def _laid_out(spark, sf_dir):
 )
 def scalar_sink(spark, sf_dir):
     root = scratch(spark)
-    tables.write_events(_laid_out(spark, sf_dir), root)
+    tables.write_events(_laid_out(spark, sf_dir), root, 0)
     return tables.read(spark, root, "events_scalar").select("series", "seq", "ts_msp", "ts_lsp", "fvalue", "scalar_type")
 
 
@@ -38,7 +38,7 @@ def scalar_sink(spark, sf_dir):
 )
 def array_sink(spark, sf_dir):
     root = scratch(spark)
-    tables.write_events(layout.roll_partitions(waves(spark, sf_dir)), root)
+    tables.write_events(layout.roll_partitions(waves(spark, sf_dir)), root, 0)
     total = F.aggregate("fvalues", F.lit(0.0), lambda a, x: a + x)
     back = tables.read(spark, root, "events_array")
     return back.select("series", "seq", F.size("fvalues").alias("n"), rounded(total, 6, "total"))
@@ -59,14 +59,14 @@ def status_items(spark, sf_dir):
 @query("k5_connection_status_log", f"SELECT addr, ts_msp, ts_lsp, kind FROM ({STATUS})")
 def connection_status_log(spark, sf_dir):
     root = scratch(spark)
-    tables.write(tables.status_rows(status_items(spark, sf_dir)), root, "connection_status")
+    tables.write(tables.status_rows(status_items(spark, sf_dir)), root, "connection_status", 0)
     return tables.read(spark, root, "connection_status").select("addr", "ts_msp", "ts_lsp", "kind")
 
 
 @query("k6_channel_status_log", f"SELECT series, ts_msp, ts_lsp, kind FROM ({STATUS})")
 def channel_status_log(spark, sf_dir):
     root = scratch(spark)
-    tables.write(tables.status_rows(status_items(spark, sf_dir)), root, "channel_status")
+    tables.write(tables.status_rows(status_items(spark, sf_dir)), root, "channel_status", 0)
     return tables.by_time(tables.read(spark, root, "channel_status")).drop("date")
 
 
@@ -77,7 +77,7 @@ FROM events GROUP BY ALL""",
 )
 def channel_ping_sink(spark, sf_dir):
     root = scratch(spark)
-    tables.write(tables.ping_rows(statistics.channel_pings(events(spark, sf_dir))), root, "channel_ping")
+    tables.write(tables.ping_rows(statistics.channel_pings(events(spark, sf_dir))), root, "channel_ping", 0)
     return tables.read(spark, root, "channel_ping").select("part", "minute", "series", "evsize")
 
 
@@ -87,7 +87,7 @@ REPORT_SQL = GATE_SQL + """ SELECT (series & 255)::INTEGER AS part, series, ts_n
 
 def _reports(spark, sf_dir, name):
     root = scratch(spark)
-    tables.write(tables.with_part(statistics.interval_reports(gated(spark, sf_dir))), root, name)
+    tables.write(tables.with_part(statistics.interval_reports(gated(spark, sf_dir))), root, name, 0)
     return tables.read(spark, root, name).select("part", "series", "ts_ns", rounded("ema", 4), rounded("emd", 4))
 
 
@@ -110,13 +110,35 @@ FROM p WHERE n = 4 GROUP BY series, off""",
 )
 def bin_patch_sink(spark, sf_dir):
     root = scratch(spark)
-    binned = bins.time_weighted_bins(events(spark, sf_dir), DAY, single_precision=True)
-    tables.write(bins.bin_patches(binned, DAY, 4), root, "binned_scalar_f32")
+    binned = bins.time_weighted_bins(events(spark, sf_dir), DAY, single_precision=True, max_carry_ns=None)
+    tables.write(bins.bin_patches(binned, DAY, 4), root, "binned_scalar_f32", 0)
     n = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
     back = tables.read(spark, root, "binned_scalar_f32")
     return back.select("series", "bin_len_sec", "off_msp", "off_lsp", n.alias("n"), F.array_max("maxs").alias("top"))
 
 
+@query(
+    "k10_patches_in_batches",
+    bins_sql("user_id", DAY)
+    + """, p AS (SELECT *, bin // 4 AS off, count(*) OVER (PARTITION BY series, bin // 4) AS n FROM b)
+SELECT series, off // 1000 AS off_msp, off % 1000 AS off_lsp, sum("count")::BIGINT AS n, max("max"::FLOAT) AS top, min("min"::FLOAT) AS low,
+  round(sum("avg"::FLOAT::DOUBLE), 2) + 0.0 AS avgs FROM p WHERE n = 4 GROUP BY series, off""",
+)
+def patches_in_batches(spark, sf_dir):
+    """Events stored in three batches, every third one in each; the patches are those of one batch."""
+    root = scratch(spark)
+    for batch in range(3):
+        rows = events(spark, sf_dir).filter(F.col("seq") % 3 == batch)
+        tables.write_events(layout.roll_partitions(rows), root, batch)
+        ingest.update_patches(spark, root, batch, DAY, 4, 60 * DAY)
+    total = lambda c, kind: F.aggregate(c, F.lit(0).cast(kind), lambda a, x: a + x)
+    back = ingest.current_patches(spark, root)
+    return back.select(
+        "series", "off_msp", "off_lsp", total("counts", "long").alias("n"), F.array_max("maxs").alias("top"), F.array_min("mins").alias("low"),
+        rounded(total("avgs", "double"), 2, "avgs"),
+    )
+
+
 @query(
     "k11_item_routing",
     """WITH i AS (SELECT event_id % 7 AS k, event_id FROM events)
@@ -137,7 +159,7 @@ def item_routing(spark, sf_dir):
     )
     items = items.withColumn("kind", F.lit(1)).withColumn("addr", F.lit("10.0.0.1:5064"))
     root = scratch(spark)
-    tables.route_items(items, root)
+    tables.route_items(items, root, 0)
     names = ["events_scalar", *[t for t, _ in tables.ROUTES.values()]]
     counts = [tables.read(spark, root, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("destination"), "n") for t in names]
     every = counts[0]
@@ -170,7 +192,7 @@ def event_range(spark, sf_dir):
     ids = answered.select(F.col("request_id").alias("seq"), F.col("series").alias("_id"))
     rows = events(spark, sf_dir).join(ids, "seq").drop("series").withColumnRenamed("_id", "series")
     root = scratch(spark)
-    tables.write_events(layout.roll_partitions(rows), root)
+    tables.write_events(layout.roll_partitions(rows), root, 0)
     found = archive.read_range(spark, root, created, "lab", "CH:8:click", FROM, TO, span_ns=HOUR)
     return found.select("seq", "ts_ns", "fvalue")
 
@@ -205,7 +227,7 @@ UNION ALL SELECT event_id, 'STRING', NULL, NULL, event_type, ts_ns FROM e WHERE
 def ingest_captured(spark, sf_dir):
     """From captured messages to stored events; two series hold two fifths of the rows each."""
     root = scratch(spark)
-    ingest.ingest_captures(messages(spark, sf_dir), no_registry(spark), "lab", root)
+    ingest.ingest_captures(messages(spark, sf_dir), no_registry(spark), "lab", root, 0)
     return tables.read(spark, root, "events_scalar").select("seq", "scalar_type", "fvalue", "ivalue", "svalue", "ts_ns")
 
 
@@ -231,6 +253,35 @@ def stream_ingest(spark, sf_dir):
     return tables.read(spark, root, "events_scalar").select("series", "seq")
 
 
+def late_ingest(spark, sf_dir):
+    """Two micro-batches, the second with the events between those of the first; gated by arrival."""
+    root = scratch(spark)
+    rows = events(spark, sf_dir).withColumn("recv_ts_ns", (F.col("seq") % 2) * 90 * DAY + F.col("ts_ns"))
+    for half in range(2):
+        rows.filter(F.col("seq") % 2 == half).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    arriving = jobs.follow(spark, f"{root}/in", rows.schema, files_per_trigger=1)
+    gate = IntervalGate(0, 0.05, REPORT, "recv_ts_ns")
+    jobs.ingest(arriving, f"{root}/out", f"{root}/checkpoint", gate=gate, roll=PartitionRoll(5, DAY, HOUR), grid=GridChange(UNIT, SPACING)).awaitTermination()
+    return f"{root}/out"
+
+
+@query("x1_late_events", "SELECT user_id AS series, event_id AS seq, value AS fvalue FROM events")
+def late_events(spark, sf_dir):
+    return tables.read(spark, late_ingest(spark, sf_dir), "events_scalar").select("series", "seq", "fvalue")
+
+
+@query(
+    "s12_late_range",
+    f"SELECT event_id AS seq, epoch_ns(ts) AS ts_ns, value AS fvalue FROM events WHERE user_id = 8 AND epoch_ns(ts) BETWEEN {FROM} AND {TO}",
+)
+def late_range(spark, sf_dir):
+    """One series read back by its partition index, late rows and all."""
+    known = small_table(spark, [(8, "lab", "U8", 10, [], 0)], REGISTRY)
+    found = archive.read_range(spark, late_ingest(spark, sf_dir), known, "lab", "U8", FROM, TO, span_ns=DAY)
+    return found.select("seq", "ts_ns", "fvalue")
+
+
 @query(
     "x2_stream_bins",
     bins_sql("event_type", HOUR, f"least(coalesce(nx, ts_ns), ts_ns + {2 * DAY})")
@@ -240,7 +291,7 @@ WHERE (bin + 1) * 3600000 <= (SELECT max(epoch_ns(ts)) // 1000000 - 86400000 FRO
 def stream_bins(spark, sf_dir):
     """Bins that the final watermark, a day behind the last event, has passed."""
     root = scratch(spark)
-    binned = folds.bin_stream(stream(spark, sf_dir, "event_type"), HOUR, "1 day", 2 * DAY)
+    binned = folds.bin_stream(stream(spark, sf_dir, "event_type"), HOUR, "1 day", max_carry_ns=2 * DAY)
     jobs.to_files(binned, f"{root}/bins", f"{root}/checkpoint").awaitTermination()
     back = spark.read.schema(binned.schema).parquet(f"{root}/bins")
     return back.select("series", "bin", "count", "min", "max", rounded("avg", 6))

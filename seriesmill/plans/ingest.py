@@ -7,12 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesmill.functions.times import bucket
 from seriesmill.operators import addresses, bins, layout, registry
+from seriesmill.operators.fold import fold
 from seriesmill.operators.joins import join_sized
-from seriesmill.operators.kernels import GridChange, IntervalGate, PartitionRoll
-from seriesmill.operators.slicing import DEFAULT_POLICY, SlicePolicy, find_hot
+from seriesmill.operators.kernels import IntervalGate, PartitionRoll
+from seriesmill.operators.layout import last_write_wins
+from seriesmill.operators.slicing import DEFAULT_POLICY, SlicePolicy
 from seriesmill.schemas import MINUTE, REGISTRY, SCALAR_TYPE_CODES, SECOND
-from seriesmill.session import small_table
+from seriesmill.session import cut_lineage, small_table
 from seriesmill.sinks import tables
 from seriesmill.sources import captures, device_events
 
@@ -65,13 +68,14 @@ def ingest_captures(
     known: DataFrame,
     backend: str,
     root: str,
-    batch_id: int = 0,
+    batch_id: int,
     roll: PartitionRoll | None = None,
+    most_channels: int | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
 ) -> Ingested:
     """Captured messages to stored events: headers, frames, values, series, layout, tables."""
     good, bad = captures.decode_headers(messages)
-    frames, unread = captures.channel_frames(good)
+    frames, unread = captures.channel_frames(good, most_channels)
     values = typed_columns(captures.decode_frames(frames)).withColumn("seq", F.col("msg_id"))
     rows, created = with_series(values, known, backend)
     laid_out = layout.lay_out(rows, roll or PartitionRoll(max_rows=6400), policy=policy)
@@ -80,36 +84,74 @@ def ingest_captures(
     return Ingested(created, rejected)
 
 
+def update_patches(
+    spark: SparkSession,
+    root: str,
+    batch_id: int,
+    bin_ns: int,
+    bin_count: int,
+    max_carry_ns: int,
+    policy: SlicePolicy = DEFAULT_POLICY,
+) -> None:
+    """Write the bin patches that a stored batch of events touches, made from all stored events.
+
+    An event can change bins from `max_carry_ns` before it, where the value before it ended, to
+    `max_carry_ns` after it. Those patches are made anew from the events of the batch's series from
+    there on, whichever batch brought them, and replace the earlier ones when read with
+    `current_patches`: however the events are split into batches, the patches are those of one.
+    """
+    every = bins.binnable(tables.read(spark, root, "events_scalar"))
+    new = every.filter(F.col("batch") == batch_id)
+    patch_ns = bin_ns * bin_count
+    touched = new.groupBy("series").agg(
+        bucket(F.min("ts_ns") - max_carry_ns, patch_ns).alias("_first"), bucket(F.max("ts_ns") + max_carry_ns, patch_ns).alias("_last")
+    )
+    touched = cut_lineage(touched)
+    seen = every.join(touched, "series").filter(F.col("ts_ns") >= F.col("_first") * patch_ns - max_carry_ns)
+    numeric = last_write_wins(seen.drop("_first", "_last"), tables.TABLES["events_scalar"].key, ("batch", "seq"))
+    numeric = numeric.withColumn("value", F.coalesce("fvalue", F.col("ivalue").cast("double")))
+    binned = bins.time_weighted_bins(numeric, bin_ns, single_precision=True, max_carry_ns=max_carry_ns, policy=policy)
+    patches = bins.bin_patches(binned, bin_ns, bin_count).join(touched, "series")
+    off = F.col("off_msp") * 1000 + F.col("off_lsp")
+    tables.write(patches.filter(off.between(F.col("_first"), F.col("_last"))), root, "binned_scalar_f32", batch_id)
+
+
+def current_patches(spark: SparkSession, root: str) -> DataFrame:
+    """Bin patches as the last batch that touched them left them."""
+    return last_write_wins(tables.read(spark, root, "binned_scalar_f32"), tables.TABLES["binned_scalar_f32"].key, ("batch",))
+
+
 def ingest_device_events(
     frames: DataFrame,
     subscriptions: DataFrame,
     known: DataFrame,
     backend: str,
     root: str,
-    batch_id: int = 0,
+    batch_id: int,
+    max_carry_ns: int,
     gate: IntervalGate | None = None,
     bin_ns: int = MINUTE,
     bin_count: int = 60,
+    array_truncate: int | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
 ) -> Ingested:
     """Captured device frames to stored events, interval reports and bin patches.
 
-    `subscriptions` names the channel of every `subid`. Only admitted events are stored and binned.
+    `subscriptions` names the channel of every `subid`. Only admitted events are stored and binned;
+    the gate runs on the time of arrival, so that late events pass it like others. Bins are
+    made from what all batches have stored (see `update_patches`).
     """
-    good, bad = device_events.decode_events(frames)
+    good, bad = device_events.decode_events(frames, array_truncate)
     named = join_sized(good, subscriptions.select("subid", "channel"), ["subid"], "inner")
     values = typed_columns(named)
     timed, untimed = values.filter("ts_ns is not null"), values.filter("ts_ns is null")
     rows, created = with_series(timed.withColumn("pulse", F.lit(0).cast("long")), known, backend)
-    hot = find_hot(rows, ["series"], "ts_ns", policy)
-    laid_out = layout.lay_out(rows, gate=gate or IntervalGate(), hot=hot)
-    tables.write_events(laid_out.filter("admitted"), root, batch_id)
-    reports = laid_out.filter("report").withColumn("ema", F.col("report_ema")).withColumn("emd", F.col("report_emd"))
+    gate = gate or IntervalGate(ts="recv_ts_ns")
+    gated = cut_lineage(fold(rows, ["series"], gate, order=(gate.ts, "seq"), policy=policy))
+    tables.write_events(layout.lay_out(gated.filter("admitted"), policy=policy), root, batch_id)
+    reports = gated.filter("report").withColumn("ema", F.col("report_ema")).withColumn("emd", F.col("report_emd"))
     tables.write(tables.with_part(reports), root, "receive_interval", batch_id)
-    stored = tables.read(rows.sparkSession, root, "events_scalar").filter(F.col("batch") == batch_id)
-    numeric = bins.binnable(stored).withColumn("value", F.coalesce("fvalue", F.col("ivalue").cast("double")))
-    binned = bins.time_weighted_bins(numeric, bin_ns, single_precision=True, hot=hot)
-    tables.write(bins.bin_patches(binned, bin_ns, bin_count), root, "binned_scalar_f32", batch_id)
+    update_patches(rows.sparkSession, root, batch_id, bin_ns, bin_count, max_carry_ns, policy)
     rejected = bad.select("seq", "reason").unionByName(untimed.select("seq", F.lit("no time").alias("reason")))
     return Ingested(created, rejected)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from seriesmill.operators import bins, layout, sampling, statistics
 from seriesmill.operators.slicing import SlicePolicy
 from seriesmill.plans.driver_tables import events, waves
-from seriesmill.plans.registered import numbered, query, rounded, user_events
+from seriesmill.plans.registered import SQL, numbered, query, rounded, user_events
 from seriesmill.schemas import DAY, HOUR, SECOND
 
 BINS_SQL = """WITH ev AS (SELECT {by} AS series, epoch_ns(ts) AS ts_ns, event_id AS seq, value FROM events),
@@ -33,12 +33,12 @@ SHOW_BINS = ' SELECT series, bin, bin * {bin} AS bin_ts_ns, "count", "min", "max
 
 @query("a8_time_weighted_bins", bins_sql("event_type", HOUR) + SHOW_BINS.format(bin=HOUR))
 def time_weighted_bins(spark, sf_dir):
-    return _show_bins(bins.time_weighted_bins(bins.binnable(events(spark, sf_dir, "event_type")), HOUR))
+    return _show_bins(bins.time_weighted_bins(bins.binnable(events(spark, sf_dir, "event_type")), HOUR, max_carry_ns=None))
 
 
 @query("a8_bins_per_user", bins_sql("user_id", DAY) + SHOW_BINS.format(bin=DAY))
 def bins_per_user(spark, sf_dir):
-    return _show_bins(bins.time_weighted_bins(events(spark, sf_dir), DAY))
+    return _show_bins(bins.time_weighted_bins(events(spark, sf_dir), DAY, max_carry_ns=None))
 
 
 CARRY = 2 * HOUR
@@ -56,7 +56,7 @@ def bins_limited_carry(spark, sf_dir):
 def bins_sliced_series(spark, sf_dir):
     """The same bins with every series above a thousandth of this table's size cut into time slices."""
     rows = events(spark, sf_dir, "event_type")
-    return _show_bins(bins.time_weighted_bins(rows, HOUR, policy=SlicePolicy(max_rows=1000)))
+    return _show_bins(bins.time_weighted_bins(rows, HOUR, max_carry_ns=None, policy=SlicePolicy(max_rows=1000)))
 
 
 PATCHES_SQL = (
@@ -69,7 +69,7 @@ SELECT series, 3600::BIGINT AS bin_len_sec, 4 AS bin_count, off // 1000 AS off_m
 
 @query("a9_bin_patches", PATCHES_SQL)
 def bin_patches(spark, sf_dir):
-    binned = bins.time_weighted_bins(events(spark, sf_dir, "event_type"), HOUR)
+    binned = bins.time_weighted_bins(events(spark, sf_dir, "event_type"), HOUR, max_carry_ns=None)
     patches = bins.bin_patches(binned, HOUR, 4).withColumn("bin_len_sec", F.col("bin_len_sec").cast("long"))
     arrays = F.arrays_zip("counts", "mins", "maxs", "avgs")
     head = ["series", "bin_len_sec", "bin_count", "off_msp", "off_lsp"]
@@ -288,6 +288,30 @@ def partition_roll_sliced(spark, sf_dir):
     return rolled(spark, sf_dir, policy=SMALL).select("series", "seq", "ts_msp", "ts_lsp", "msp_bump")
 
 
+@query("w1_value_ema_sliced", SQL["w1_value_ema"])
+def value_ema_sliced(spark, sf_dir):
+    out = statistics.value_ema(events(spark, sf_dir), policy=SMALL)
+    return out.select("series", "seq", "ema_count", rounded(F.col("ema") + OFF_TIES, 6, "ema"), rounded(F.col("emv") + OFF_TIES, 4, "emv"))
+
+
+@query("w2_interval_ema_sliced", SQL["w2_interval_ema"])
+def interval_ema_sliced(spark, sf_dir):
+    out = statistics.interval_ema(events(spark, sf_dir), policy=SMALL)
+    return out.select("series", "seq", "ema_count", rounded("ema", 4), rounded(F.sqrt("emv"), 4, "emd"))
+
+
+@query("w6_interval_gate_sliced", SQL["w6_interval_gate"])
+def interval_gate_sliced(spark, sf_dir):
+    return gated(spark, sf_dir, policy=SMALL).select("series", "seq", "admitted", rounded("ivl_ema", 4))
+
+
+@query("w8_rate_limiter_sliced", LIMIT_SQL)
+def rate_limiter_sliced(spark, sf_dir):
+    items = events(spark, sf_dir).withColumn("droppable", F.col("kind") != "error")
+    out = statistics.limit_rate(items, ("series",), 1 / 21600.0, k=0.1, cap_ns=12 * HOUR, policy=SMALL)
+    return out.select("series", "seq", "forwarded", rounded("forward_ema", 4))
+
+
 # Sampling, copies, batches, upsert and retention.
 
 

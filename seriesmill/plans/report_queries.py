@@ -10,7 +10,9 @@ from seriesmill.operators import quality, reports, statistics
 from seriesmill.plans.driver_tables import (
     big_endian,
     device_frames,
+    double_bytes,
     events,
+    little_endian,
     messages,
     nanos,
     table,
@@ -136,6 +138,27 @@ def channel_frames(spark, sf_dir):
     return captures.frame_times(rows).select("msg_id", "channel", F.octet_length("payload").alias("bytes"), "frame_ts_ns")
 
 
+@query(
+    "s4_wide_messages",
+    "SELECT event_id // 1000 AS msg_id, 'c' || event_id || '.' || j AS channel, event_id AS i FROM events, range(5) r(j)",
+)
+def wide_messages(spark, sf_dir):
+    """Messages of up to 5000 channels, five for each of a thousand events; every channel is read."""
+    n = F.col("event_id")
+    channels = table(spark, sf_dir, "events").select(F.floor(n / 1000).alias("msg_id"), n, F.explode(F.sequence(F.lit(0), F.lit(4))).alias("j"))
+    name = F.concat(F.lit("c"), n.cast("string"), F.lit("."), F.col("j").cast("string"))
+    one = F.struct(n, "j", F.concat(F.lit('{"name":"'), name, F.lit('","type":"int32"}')).alias("head"), little_endian(n, 4).alias("value"))
+    packed = channels.groupBy("msg_id").agg(F.array_sort(F.collect_list(one)).alias("c"))
+    head = F.concat(F.lit('{"htype":"bsr_d-1.1","channels":['), F.array_join(F.col("c.head"), ","), F.lit("]}"))
+    packed = packed.withColumn("head", head)
+    main = F.concat(F.lit('{"htype":"bsr_m-1.1","pulse_id":1,"hash":"'), F.md5("head"), F.lit('","global_timestamp":{"sec":1,"ns":0}}'))
+    stamp = F.lit(bytearray(16))
+    body = F.flatten(F.transform("c", lambda x: F.array(x["value"], stamp)))
+    messages = packed.select("msg_id", F.lit("wide").alias("source"), F.lit(0).cast("long").alias("recv_ts_ns"), F.concat(F.array(main.cast("binary"), F.col("head").cast("binary")), body).alias("frames"))
+    rows, _ = captures.channel_frames(captures.decode_headers(messages)[0])
+    return captures.decode_frames(rows).select("msg_id", "channel", F.element_at("ints", 1).alias("i"))
+
+
 @query(
     "s5_typed_values",
     f"""SELECT event_id AS msg_id, 'value' AS channel, NULL::BIGINT AS i, value AS f, NULL AS text FROM events WHERE {GOOD}
@@ -257,6 +280,24 @@ def device_event_rows(spark, sf_dir):
     )
 
 
+@query(
+    "s6_long_waves",
+    """SELECT event_id // 1000 AS seq, (3 * count(*))::INTEGER AS n, round(3 * sum(value), 2) + 0.0 AS total, false AS truncated FROM events GROUP BY 1""",
+)
+def long_waves(spark, sf_dir):
+    """Waves of up to 3000 elements, three for each of a thousand events; none is cut."""
+    values = table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 1000).alias("seq"), F.hex(double_bytes("value")).alias("v"))
+    waves = values.groupBy("seq").agg(F.array_join(F.collect_list("v"), "").alias("v"), (F.count("*") * 3).cast("int").alias("n"))
+    frames = waves.select(
+        "seq", F.lit(0).cast("long").alias("recv_ts_ns"), F.lit(1).alias("cmdid"), F.lit(20).alias("data_type"), F.col("n").alias("data_count"),
+        F.lit(1).cast("long").alias("param1"), F.lit(0).cast("long").alias("param2"),
+        F.unhex(F.concat(F.lit("00" * 8 + "00000001" + "00" * 4), F.repeat("v", F.lit(3)))).alias("payload"),
+    )
+    good, _ = device_events.decode_events(frames)
+    total = F.aggregate("floats", F.lit(0.0), lambda a, x: a + x)
+    return good.select("seq", F.size("floats").alias("n"), rounded(total, 2, "total"), "truncated")
+
+
 @query("s6_rejected_frames", "SELECT event_id AS seq, 'not a time type' AS reason FROM events WHERE event_id % 8 = 7")
 def rejected_frames(spark, sf_dir):
     return device_events.decode_events(device_frames(spark, sf_dir))[1].select("seq", "reason")

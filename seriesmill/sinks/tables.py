@@ -87,7 +87,7 @@ def shaped(df: DataFrame, table: Table) -> DataFrame:
     )
 
 
-def write(df: DataFrame, root: str, table: str, batch_id: int = 0, sort: tuple[str, ...] | None = None) -> None:
+def write(df: DataFrame, root: str, table: str, batch_id: int, sort: tuple[str, ...] | None = None) -> None:
     """Write one batch of one table, in place of an earlier attempt at the same batch."""
     spec = TABLES[table]
     out = shaped(df, spec)
@@ -116,14 +116,14 @@ def event_rows(events: DataFrame) -> DataFrame:
     return events.withColumns(cols)
 
 
-def write_events(laid_out: DataFrame, root: str, batch_id: int = 0) -> None:
+def write_events(laid_out: DataFrame, root: str, batch_id: int) -> None:
     """Events with their layout columns to the event table, and the indexes from what was written.
 
     The layout is computed once; the indexes read three columns of the stored batch.
     """
     write(event_rows(laid_out), root, "events", batch_id)
     stored = read(laid_out.sparkSession, root, "events").filter(F.col("batch") == batch_id)
-    if "msp_bump" in laid_out.columns:
+    if "ts_msp" in laid_out.columns:
         write(partition_index(stored).withColumn("date", utc_date("ts_msp")), root, "ts_msp", batch_id)
     if "ts_msp_grid" in laid_out.columns:
         write(grid_index(stored), root, "series_by_ts_msp", batch_id)
@@ -155,7 +155,7 @@ ROUTES = {
 }
 
 
-def route_items(items: DataFrame, root: str, batch_id: int = 0) -> None:
+def route_items(items: DataFrame, root: str, batch_id: int) -> None:
     """Write a mixed batch of items: events and six other kinds, told apart by `item`.
 
     The batch is cached because every destination reads it once; losing a cached block only

@@ -57,9 +57,5 @@ def active_series(grid_index: DataFrame, first_cell: int, last_cell: int) -> Dat
     return grid_index.filter(F.col("ts_msp_grid").between(first_cell, last_cell)).select("series").distinct()
 
 
-def semi_by_index(events: DataFrame, series: DataFrame) -> DataFrame:
-    return events.join(series, "series", "left_semi")
-
-
 def list_pulses(pulses: DataFrame) -> DataFrame:
     return pulses.select("tsa", "tsb", "pulse")

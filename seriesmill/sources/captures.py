@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,9 @@ from seriesmill.functions.values import bool_bytes, pulse_id
 from seriesmill.operators.quality import (
     frame_count_ok,
     header_hash_ok,
-    limit_channels,
     pulse_matches_time,
     pulse_out_of_range,
+    within_limit,
 )
 from seriesmill.schemas import CAPTURE, DATA_HEADER, MAIN_HEADER
 
@@ -27,10 +29,6 @@ HEADER_TYPES = {
 # Compression names; the codecs are not available, so such rows are set aside.
 CODECS = ("lz4", "bitshuffle_lz4")
 
-# Channels that carry the pulse number, and the channel of event bits.
-PULSE_CHANNELS = ("SINEG01-RLLE-STA:MASTER-EVRPULSEID", "SAR-CVME-TIFALL4:EvtSet")
-
-
 def read_captures(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
     reader = spark.readStream if stream else spark.read
     return reader.schema(CAPTURE).options(**options).parquet(path)
@@ -74,10 +72,13 @@ def with_quality(messages: DataFrame) -> DataFrame:
     )
 
 
-def channel_frames(messages: DataFrame, most: int = 4000) -> tuple[DataFrame, DataFrame]:
-    """One row per channel of a message with its value and timestamp frames, and the rejected rows."""
+def channel_frames(messages: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """One row per channel of a message with its value and timestamp frames, and the rejected rows.
+
+    With a limit, the channels of a message beyond the first `most` are among the rejected.
+    """
     carried = [c for c in messages.columns if c not in ("frames", "channels")]
-    rows = messages.select(*carried, "frames", F.posexplode(limit_channels(most=most)).alias("pos", "_desc"))
+    rows = messages.select(*carried, "frames", F.posexplode("channels").alias("pos", "_desc"))
     kind = F.coalesce(F.col("_desc.type"), F.lit("float64"))
     types = F.create_map(*[F.lit(x) for pair in HEADER_TYPES.items() for x in pair])
     named = F.try_element_at(types, kind)
@@ -94,7 +95,8 @@ def channel_frames(messages: DataFrame, most: int = 4000) -> tuple[DataFrame, Da
         F.try_element_at("frames", F.col("pos") * 2 + 4).alias("ts_payload"),
     )
     reason = (
-        F.when(F.col("scalar_type").isNull(), "unknown type")
+        F.when(~within_limit(most=most), "beyond the channel limit")
+        .when(F.col("scalar_type").isNull(), "unknown type")
         .when(F.col("compression").isin(*CODECS), "compressed value")
         .when(F.col("compression").isNotNull(), "unknown compression")
         .when(F.col("payload").isNull(), "message too short")
@@ -112,7 +114,7 @@ def decode_frames(frames: DataFrame) -> DataFrame:
     return rows.select(*rest, "_v.ints", "_v.wide", "_v.floats", text.alias("text"))
 
 
-def pulse_map(frames: DataFrame, names: tuple[str, ...] = PULSE_CHANNELS) -> DataFrame:
+def pulse_map(frames: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pulse numbers, sent as big-endian doubles by the named channels, with the message time."""
     rows = frames.filter(F.col("channel").isin(*names) & (F.octet_length("payload") == 8))
     value = decode_values("payload", F.lit("F64"), F.lit(True))

@@ -23,10 +23,11 @@ def with_types(frames: DataFrame) -> DataFrame:
     return frames.join(F.broadcast(ca_type_dim(frames.sparkSession)), "data_type", "left")
 
 
-def decode_events(frames: DataFrame, array_truncate: int = 2000) -> tuple[DataFrame, DataFrame]:
+def decode_events(frames: DataFrame, array_truncate: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Event rows of the captured frames, and the rejected frames with a reason.
 
-    Waves keep at most `array_truncate` elements and no more than the payload holds.
+    Waves keep no more elements than the payload holds and, if given, at most `array_truncate`;
+    `truncated` marks those that hold fewer than their shape says.
     """
     typed = with_types(frames.filter("cmdid = 1"))
     size = F.when(F.col("ca_scalar_type") == "STRING", F.lit(40)).otherwise(item_size("ca_scalar_type"))
@@ -43,7 +44,7 @@ def decode_events(frames: DataFrame, array_truncate: int = 2000) -> tuple[DataFr
     )
     judged = typed.withColumn("reason", reason)
     good = judged.filter("reason is null")
-    n = F.least(F.col("data_count"), F.lit(array_truncate), F.floor(room / size).cast("int"))
+    n = F.least(F.col("data_count"), F.floor(room / size).cast("int"), *([F.lit(array_truncate)] if array_truncate is not None else []))
     taken = F.when(text_scalar, room).when(scalar, size).otherwise(n * size)
     body = F.substring(F.col("payload"), F.col("padding") + HEAD + 1, taken.cast("int"))
     good = good.withColumn("_body", body).withColumn(
@@ -57,6 +58,7 @@ def decode_events(frames: DataFrame, array_truncate: int = 2000) -> tuple[DataFr
         F.col("param2").alias("subid"),
         kind.alias("scalar_type"),
         F.when(scalar, F.array().cast("array<int>")).otherwise(F.array("data_count")).alias("shape_dims"),
+        (~scalar & (n < F.col("data_count"))).alias("truncated"),
         null_if_zero(device_time_ns(unsigned("payload", 4, 4), unsigned("payload", 8, 4))).alias("ts_ns"),
         null_if_zero(unsigned("payload", 0, 2)).alias("status"),
         null_if_zero(unsigned("payload", 2, 2)).alias("severity"),

@@ -22,6 +22,7 @@ from seriesmill.operators.lifecycle import TRANSITION, Lifecycle, Timeouts
 from seriesmill.schemas import DOUBLE, INT, LONG, MINUTE, SECOND, STRING, struct
 
 ORDER = ["ts_ns", "seq"]
+_PANDAS = {LONG: "Int64", T.BooleanType(): "boolean"}
 
 
 def _ordered(rows: Iterator[pd.DataFrame], order: Sequence[str] = ORDER) -> pd.DataFrame:
@@ -46,20 +47,26 @@ class IngestProcessor(StatefulProcessor):
     The state of all three is one value, read and written once per series and micro-batch.
     """
 
-    def __init__(self, chain: Chain, columns: list[str]):
-        self.chain, self.columns = chain, columns
+    def __init__(self, gate: IntervalGate, layout: Chain, columns: list[str]):
+        self.gate, self.layout, self.columns = gate, layout, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.store = handle.getValueState("layout", self.chain.state)
+        self.store = handle.getValueState("layout", Chain(self.gate, *self.layout.steps).state)
 
     def handleInputRows(self, key, rows, timerValues):
-        stored = self.store.get()
-        events = _ordered(rows)
-        cols = {c: events[c].to_numpy() for c in self.chain.inputs}
-        state, out = self.chain.run(self.chain.fresh() if stored is None else tuple(stored), cols)
-        self.store.update(state)
+        stored, size = self.store.get(), len(self.gate.state)
+        gate_state, layout_state = (self.gate.fresh(), self.layout.fresh()) if stored is None else (tuple(stored)[:size], tuple(stored)[size:])
+        events = _ordered(rows, (self.gate.ts, "seq"))
+        gate_state, out = self.gate.run(gate_state, {c: events[c].to_numpy() for c in self.gate.inputs})
         events = events.assign(**{n: _series(v) for n, v in out.items()})
-        yield events.loc[out["admitted"] | out["report"], self.columns]
+        kept = events[out["admitted"]].sort_values(list(ORDER), ignore_index=True)
+        if len(kept):
+            layout_state, out = self.layout.run(layout_state, {c: kept[c].to_numpy() for c in self.layout.inputs})
+            yield kept.assign(**{n: _series(v) for n, v in out.items()})[self.columns]
+        self.store.update((*gate_state, *layout_state))
+        told = events[events["report"] & ~events["admitted"]]
+        if len(told):
+            yield told.assign(**{f.name: pd.Series([None] * len(told), index=told.index, dtype=_PANDAS[f.dataType]) for f in self.layout.outputs})[self.columns]
 
     def close(self) -> None:
         pass
@@ -71,11 +78,15 @@ def lay_out_stream(
     roll: PartitionRoll | None = None,
     grid: GridChange | None = None,
 ) -> DataFrame:
-    """Admitted events with their layout, and the interval reports of dropped ones (`admitted` false)."""
-    chain = Chain(gate or IntervalGate(), roll or PartitionRoll(), grid or GridChange(), keep="admitted")
-    schema = T.StructType([*events.schema.fields, *chain.outputs.fields])
+    """Admitted events with their layout, and the interval reports of dropped ones (`admitted` false).
+
+    The gate sees the rows in the order of its own clock, the layout the admitted ones in time order.
+    With the time of arrival as the clock (`IntervalGate(ts=...)`), rows that come late are admitted.
+    """
+    gate, layout = gate or IntervalGate(), Chain(roll or PartitionRoll(), grid or GridChange())
+    schema = T.StructType([*events.schema.fields, *gate.outputs.fields, *layout.outputs.fields])
     return events.groupBy("series").transformWithStateInPandas(
-        IngestProcessor(chain, schema.names), schema, "append", "none"
+        IngestProcessor(gate, layout, schema.names), schema, "append", "none"
     )
 
 
@@ -177,7 +188,7 @@ class BinProcessor(StatefulProcessor):
 
 
 def bin_stream(
-    events: DataFrame, bin_ns: int = MINUTE, delay: str = "10 seconds", max_carry_ns: int = 10 * MINUTE, key: str = "series"
+    events: DataFrame, bin_ns: int = MINUTE, delay: str = "10 seconds", key: str = "series", *, max_carry_ns: int
 ) -> DataFrame:
     """Time-weighted bins of a stream of events, each given once when the watermark passes its end."""
     kind = events.schema[key].dataType

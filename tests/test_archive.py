@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesmill.operators import addresses, layout, quality, registry
+from seriesmill.operators.kernels import IntervalGate
 from seriesmill.operators.slicing import SlicePolicy
 from seriesmill.plans import ingest
 from seriesmill.schemas import CA_FRAME, DAY, HOUR, REGISTRY, SECOND
@@ -156,12 +157,12 @@ def test_device_frames_to_archive(spark, tmp_path):
     frames = []
     for i in range(240):
         head = struct.pack(">HHII", 0, 0, 1_000_000_000 + i * 30, 0)
-        frames.append((i, 0, 1, 20, 1, 1, i % 2, bytearray(head + b"\0" * 4 + struct.pack(">d", float(i)))))
+        frames.append((i, i * 30 * SECOND, 1, 20, 1, 1, i % 2, bytearray(head + b"\0" * 4 + struct.pack(">d", float(i)))))
     frames.append((240, 0, 1, 6, 1, 1, 0, bytearray(b"")))
     subs = spark.createDataFrame([(0, "A"), (1, "B")], "subid long, channel string")
     root = str(tmp_path)
     done = ingest.ingest_device_events(
-        spark.createDataFrame(frames, CA_FRAME), subs, ingest.empty_registry(spark), "lab", root, bin_count=10
+        spark.createDataFrame(frames, CA_FRAME), subs, ingest.empty_registry(spark), "lab", root, 0, 600 * SECOND, bin_count=10
     )
     stored = tables.read(spark, root, "events_scalar")
     assert stored.count() == 240 and done.created.count() == 2
@@ -184,3 +185,32 @@ def test_search_results_to_history(spark):
     got = sorted((r["channel"], r["addr"] or "", r["archived"]) for r in runs.collect())
     assert got == [("A", "i1", 1), ("A", "i3", 0), ("C", "", 0)]
     assert {r["channel"]: r["duplicates"] for r in addresses.duplicate_answers(asked, answers, ("channel",)).collect()}["A"] == 1
+
+
+def device_batch(spark, seqs, at):
+    frames = []
+    for i in seqs:
+        head = struct.pack(">HHII", 0, 0, 1_000_000_000 + i * 30, 0)
+        frames.append((i, at + i, 1, 20, 1, 1, i % 2, bytearray(head + b"\0" * 4 + struct.pack(">d", float(i)))))
+    return spark.createDataFrame(frames, CA_FRAME)
+
+
+def test_two_ingests_keep_both_batches_and_make_the_patches_of_one(spark, tmp_path):
+    subs = spark.createDataFrame([(0, "A"), (1, "B")], "subid long, channel string")
+    gate = IntervalGate(0, ts="recv_ts_ns")
+
+    def run(root, parts):
+        known = ingest.empty_registry(spark)
+        for batch, seqs in enumerate(parts):
+            done = ingest.ingest_device_events(device_batch(spark, seqs, batch * DAY), subs, known, "lab", root, batch, 600 * SECOND, gate, bin_count=10)
+            known = known.unionByName(done.created).checkpoint()
+        stored = tables.read(spark, root, "events_scalar")
+        indexed = tables.read(spark, root, "ts_msp")
+        assert stored.join(indexed, ["series", "ts_msp"], "left_anti").count() == 0
+        patches = ingest.current_patches(spark, root).drop("batch").collect()
+        return stored.count(), sorted((tuple(map(str, r)) for r in patches))
+
+    one = run(str(tmp_path / "one"), [range(240)])
+    two = run(str(tmp_path / "two"), [[*range(0, 100), *range(150, 240)], range(100, 150)])
+    assert one[0] == two[0] == 240
+    assert one[1] == two[1] and one[1]

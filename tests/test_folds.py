@@ -233,3 +233,20 @@ def test_slices_equal_one_pass(spark, skewed, kernel):
     by_seq = lambda df: [r.asDict(recursive=True) for r in sorted(df.collect(), key=lambda r: r["seq"])]
     whole, sliced = by_seq(fold(skewed, ["series"], kernel)), by_seq(fold(skewed, ["series"], kernel, policy=SMALL))
     assert_rows(sliced, whole)
+
+
+@pytest.mark.parametrize("kernel", [K.ValueEma(0.05), K.IntervalEma(0.05), K.IntervalGate(20_000_000_000, 0.05), K.RateLimiter(1 / 30, 0.1, 10**12)], ids=lambda k: type(k).__name__)
+def test_jobs_do_not_grow_with_the_slices(spark, kernel):
+    rows = spark.range(2400).selectExpr(
+        "1L AS series", "id * 7000000000 + (id * id % 13) * 300000000 AS ts_ns", "id AS seq", "CAST(id % 17 AS DOUBLE) AS value", "id % 5 > 0 AS droppable"
+    )
+    plain = fold(rows, ["series"], kernel).orderBy("seq").collect()
+    jobs = {}
+    for slices in (12, 24):
+        group = f"{type(kernel).__name__}-{slices}"
+        spark.sparkContext.setJobGroup(group, "sliced fold")
+        got = fold(rows, ["series"], kernel, policy=SlicePolicy(max_rows=2400 // slices)).orderBy("seq").collect()
+        jobs[slices] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        for a, b in zip(plain, got, strict=True):
+            assert a.asDict() == {c: pytest.approx(v, rel=1e-9, abs=1e-9) if isinstance(v, float) else v for c, v in b.asDict().items()}
+    assert jobs[24] <= jobs[12] + 8

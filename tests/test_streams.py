@@ -49,7 +49,7 @@ def test_ingest_in_micro_batches(spark, event_files, tmp_path):
 
 def test_bins_in_micro_batches(spark, event_files, tmp_path):
     stream = jobs.follow(spark, event_files, EVENTS, files_per_trigger=1)
-    out = folds.bin_stream(stream, MINUTE, "2 minutes", 5 * MINUTE)
+    out = folds.bin_stream(stream, MINUTE, "2 minutes", max_carry_ns=5 * MINUTE)
     jobs.to_files(out, f"{tmp_path}/bins", f"{tmp_path}/checkpoint").awaitTermination()
     got = spark.read.schema(out.schema).parquet(f"{tmp_path}/bins")
     whole = spark.read.schema(EVENTS).parquet(event_files)
@@ -154,7 +154,9 @@ def test_silences_script(spark, tmp_path):
 
 
 def test_sampling_of_a_stream_is_by_hash(spark, event_files):
-    from seriesmill.operators.sampling import sample_fraction
+    from seriesmill.operators.sampling import sample_fraction, sample_hashed
 
     stream = jobs.follow(spark, event_files, EVENTS)
-    assert sample_fraction(stream, 100, ("series",)).isStreaming
+    assert sample_hashed(stream, 100, ("series",)).isStreaming
+    with pytest.raises(ValueError):
+        sample_fraction(stream, 100, ("series",))
