@@ -197,6 +197,6 @@ def without_benchmark(docs: DataFrame, items: DataFrame, words: int = 10, key: s
     hit = benchmark_hits(docs, items, words, key=key, text=text).filter("n_hit > 0")
     names = [fresh(docs, n) for n in ("_doc", "_absent", "_hash")]
     code = lambda c: [F.coalesce(c.cast("string"), F.lit("")), c.isNull()]  # null equals null
-    bad = hit.select(*code(F.col(f"`{key}`")), "digest").toDF(*names).distinct()
+    bad = stored(hit.select(*code(F.col(f"`{key}`")), "digest").toDF(*names).distinct(), "contaminated")
     wide = docs.withColumns(dict(zip(names, [*code(F.col(f"`{key}`")), F.xxhash64(F.col(f"`{text}`"))])))
     return narrowed(wide, bad, names, "anti").drop(*names)

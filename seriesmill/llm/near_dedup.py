@@ -192,7 +192,7 @@ def without_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80
     A document is a key and a text: repeated rows stay together. See `near_duplicates`.
     """
     gone = near_duplicates(docs, shingle, percent, key, text).filter("not kept")
-    gone = gone.select(F.col(f"`{key}`").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
+    gone = stored(gone.select(F.col(f"`{key}`").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(), "gone")
     names = [fresh(docs, "_doc"), fresh(docs, "_hash")]
     wide = docs.withColumns({names[0]: F.col(f"`{key}`"), names[1]: F.xxhash64(F.col(f"`{text}`").cast("string"))})
     return narrowed(wide, gone.toDF(*names), names, "anti").drop(*names)
