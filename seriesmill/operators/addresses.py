@@ -41,13 +41,33 @@ def address_history(
     )
 
 
+def late_rows(current: DataFrame, log: DataFrame, keys: Sequence[str] = CHANNEL) -> DataFrame:
+    """Log rows from before the last row of their channel's open run."""
+    open_runs = current.filter("archived = 0").select(*keys, F.col("tsmod").alias("_open"))
+    return log.join(open_runs, list(keys)).filter("tsmod < _open").drop("_open")
+
+
+def update_history(current: DataFrame, log: DataFrame, raw: DataFrame, keys: Sequence[str] = CHANNEL, **how) -> DataFrame:
+    """The whole history after a further batch that may have late rows.
+
+    Channels with late rows are made anew from `raw`, all their log rows; the others are extended.
+    """
+    late = late_rows(current, log, keys).select(*keys).distinct()
+    on_time = extend_history(current, log.join(late, list(keys), "left_anti"), keys, **how)
+    anew = address_history(raw.join(late, list(keys), "left_semi"), keys, **how)
+    kept = current.join(late, list(keys), "left_anti").join(on_time.select(*keys, "run"), [*keys, "run"], "left_anti")
+    return kept.unionByName(on_time).unionByName(anew)
+
+
 def extend_history(current: DataFrame, log: DataFrame, keys: Sequence[str] = CHANNEL, **how) -> DataFrame:
     """Apply a further batch of log rows to the history: the unarchived run of a channel goes on.
 
     `current` is the result of an earlier call. Only channels named in the batch are recomputed,
     from their open run and the new rows. Gives the changed and new runs; archived ones stay as
-    they are.
+    they are. Rows older than their channel's open run are left out, since runs do not say what lay
+    between their rows: see `late_rows` and `update_history`.
     """
+    log = log.join(late_rows(current, log, keys).select(*keys, "tsmod", "seq"), [*keys, "tsmod", "seq"], "left_anti")
     touched = log.select(*keys).distinct()
     open_runs = current.filter("archived = 0").join(touched, list(keys), "left_semi")
     first = open_runs.select(

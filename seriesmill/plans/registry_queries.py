@@ -156,6 +156,14 @@ def address_history_extended(spark, sf_dir):
     return kept.unionByName(changed).drop("facility")
 
 
+@query("w13_late_rows", HISTORY)
+def address_history_late(spark, sf_dir):
+    """The history of every second log row, then updated by those between them."""
+    log = address_log(spark, sf_dir)
+    before = addresses.address_history(log.filter("seq % 2 = 1"))
+    return addresses.update_history(before, log.filter("seq % 2 = 0"), log).drop("facility")
+
+
 @query(
     "a1_latest_address",
     f"WITH {LOG} SELECT channel, arg_max(addr, (tsmod, seq)) AS addr, max(tsmod) AS tsmod FROM l WHERE addr IS NOT NULL GROUP BY channel",
