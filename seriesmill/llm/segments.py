@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -21,11 +22,15 @@ _WHITE = "\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}
 _IRREGULAR = f"^ | $|[{_WHITE}] | [{_WHITE}]"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # Segments kept per generation of the cache; the older of two generations is dropped.
-CACHED = 250_000
+CACHED = 450_000
+MARKS = tuple(".,!?;:")
+# Byte-level vocabularies write a byte as its Latin-1 character if that is printable, else as the next from 256 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class Distinct:
-    """The segments of some texts: distinct strings, the code of every segment, segments per text."""
+    """The segments of some texts: distinct keys, the code of every segment, segments per text."""
 
     def __init__(self, texts: pa.Array):
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
@@ -38,11 +43,15 @@ class Distinct:
         self.offsets = np.asarray(lists.offsets, dtype=np.int64) - lists.offsets[0].as_py() if len(lists) else np.zeros(1, np.int64)
         words = lists.flatten().dictionary_encode() if len(lists) else pa.array([], pa.large_string()).dictionary_encode()
         self.codes = np.asarray(words.indices, dtype=np.int64).copy()
-        spaced = [" " + w for w in words.dictionary.to_pylist()]
-        firsts = self.offsets[:-1]
-        # The first segment of a text has no space before it.
-        self.strings = spaced + [spaced[c][1:] for c in self.codes[firsts]]
-        self.codes[firsts] = len(spaced) + np.arange(len(firsts))
+        # Keys of segments: the string stands for itself after a space, a tuple of it for the first of a text.
+        self.keys = words.dictionary.to_pylist()
+        firsts, n = self.offsets[:-1], len(self.keys)
+        self.keys += [(self.keys[c],) for c in self.codes[firsts]]
+        self.codes[firsts] = n + np.arange(len(firsts))
+
+
+def segment_text(key: str | tuple[str]) -> str:
+    return " " + key if isinstance(key, str) else key[0]
 
 
 class Cache:
@@ -53,27 +62,30 @@ class Cache:
         self.young: dict = {}
         self.old: dict = {}
 
-    def values(self, keys: list[str]) -> list:
+    def values(self, keys: list) -> list:
         young, old = self.young, self.old
-        out = [young.get(k) for k in keys]
-        missing = []
-        for i, v in enumerate(out):
-            if v is None:
+        out = list(map(young.get, keys))
+        absent = [i for i, v in enumerate(out) if v is None]
+        if absent:
+            new = {}
+            for i in absent:
                 k = keys[i]
                 if (v := old.get(k)) is None:
-                    missing.append(i)
+                    new[k] = None
                 else:
-                    young[k] = out[i] = v
-        if missing:
-            names = list(dict.fromkeys(keys[i] for i in missing))
-            made = dict(zip(names, self.make(names)))
-            for i in missing:
-                out[i] = made[keys[i]]
-            young.update(made)
+                    young[k] = v
+            if new:
+                young.update(zip(new, self.make(list(new))))
+            for i in absent:
+                out[i] = young[keys[i]]
         if len(young) > self.most:
             self.old, self.young = young, {}
         return out
 
+    def get(self, key):
+        found = self.young.get(key)
+        return self.old.get(key) if found is None else found
+
 
 class Encoder:
     """Ids by the tokenizers library and the given vocabulary file, special strings as ordinary text."""
@@ -86,29 +98,50 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache = Cache(self._encode)
-
-    def _ids(self, strings: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-
-    def _encode(self, strings: list[str]) -> list[bytes]:
-        """A word of Latin letters and its closing mark are two pieces, so the word is encoded once for all marks."""
-        stems = [s[:-1] if s and s[-1] in ".,!?;:" and s[:-1].lstrip(" ").isalpha() and max(s) < "ɐ" else None for s in strings]
-        need = list(dict.fromkeys(t if t is not None else s for t, s in zip(stems, strings)))
-        marks = list(".,!?;:")
-        ids = dict(zip(need + marks, self._ids(need + marks)))
-        return [ids[s] if t is None else ids[t] + ids[s[-1]] for t, s in zip(stems, strings)]
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.marks = dict(zip(MARKS, self._full(list(MARKS))))
+
+    def _full(self, strings: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
+    def _word(self, text: str) -> bytes:
+        """One piece of letters needs no pre-tokenising: the library's model takes it as it is."""
+        tokens = self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(BYTE_CHARS))
+        return array(self.code, [t.id for t in tokens]).tobytes()
+
+    def _encode(self, keys: list) -> list[bytes]:
+        """Words of Latin letters, with a closing mark or without, go to the model, all else the full way.
+
+        The mark is a piece of its own, so a word's ids serve for all marks.
+        """
+        out, rest, young = [None] * len(keys), [], self.cache.young
+        for i, k in enumerate(keys):
+            mark = ""
+            if isinstance(k, str) and k[-1:] in MARKS:
+                k, mark = k[:-1], k[-1]
+            if isinstance(k, str) and k.isalpha() and max(k) < "ɐ":
+                ids = self.cache.get(k)
+                if ids is None:
+                    ids = young[k] = self._word(" " + k)
+                out[i] = ids + self.marks[mark] if mark else ids
+            else:
+                rest.append(i)
+        for i, ids in zip(rest, self._full([segment_text(keys[i]) for i in rest])):
+            out[i] = ids
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text begins (one more entry than texts)."""
         parts = Distinct(texts)
-        values = self.cache.values(parts.strings)
+        values = self.cache.values(parts.keys)
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
         flat = np.frombuffer(b"".join(values), self.dtype)
         begins = np.cumsum(sizes) - sizes
         each = sizes[parts.codes]
         ends = np.cumsum(each)
         total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(begins[parts.codes] - (ends - each), each) + np.arange(total)]
+        index = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+        ids = flat[np.repeat((begins[parts.codes] - (ends - each)).astype(index), each) + np.arange(total, dtype=index)]
         return ids, np.concatenate([[0], ends])[parts.offsets] if len(ends) else np.zeros(1, np.int64)
 
 
@@ -122,8 +155,14 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def slices(batch: pa.RecordBatch, most_bytes: int = 8 << 20):
-    """A batch in slices of about that many bytes, at least one row each; texts are never cut."""
+def slices(batch: pa.RecordBatch, most_bytes: int = 12 << 20):
+    """A batch in parts of about that many bytes, at least one row each; texts are never cut.
+
+    Parts are copies: string kernels of Arrow (`ascii_lower`) go wrong on arrays with an offset.
+    """
     rows = max(1, int(len(batch) * most_bytes / max(batch.nbytes, 1)))
+    if rows >= len(batch):
+        yield batch
+        return
     for at in range(0, len(batch), rows):
-        yield batch.slice(at, rows)
+        yield batch.take(pa.array(np.arange(at, min(at + rows, len(batch)))))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.common import small_batches
-from seriesmill.llm.segments import Cache, Distinct, slices
+from seriesmill.llm.segments import Cache, Distinct, segment_text, slices
 
 MAX_NODES = 400_000
 
@@ -90,8 +90,8 @@ def counter(path: str) -> Cache:
 
         pattern, trie = regex.compile(public_tokenizers.PATTERN), Trie(zipf_scores(read_pieces(path)))
 
-        def make(segments: list[str]) -> list[tuple[int, int]]:
-            tokens = [pattern.findall(s) for s in segments]
+        def make(keys: list) -> list[tuple[int, int]]:
+            tokens = [pattern.findall(segment_text(k)) for k in keys]
             distinct = sorted({t for ts in tokens for t in ts})
             pieces = {t: trie.count_pieces(t.encode()) for t in distinct}
             return [(len(ts), sum(pieces[t] for t in ts)) for ts in tokens]
@@ -114,7 +114,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
         for whole in batches:
             for batch in slices(whole):
                 parts = Distinct(batch.column(1))
-                values = np.array(cache.values(parts.strings), np.int64).reshape(-1, 2)[parts.codes]
+                values = np.array(cache.values(parts.keys), np.int64).reshape(-1, 2)[parts.codes]
                 sums = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(values, axis=0)])
                 per = sums[parts.offsets[1:]] - sums[parts.offsets[:-1]]
                 yield pa.RecordBatch.from_arrays(
