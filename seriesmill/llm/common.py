@@ -15,7 +15,7 @@ SPACE_RUN = r"[\x20\x09-\x0D]+"
 NON_TOKEN_RUN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Rows of an Arrow batch. Documents are long, so the default of 10,000 would be tens of megabytes.
-BATCH_ROWS = 1000
+BATCH_ROWS = 3000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,7 +63,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write `df` to the shared folder and go on from the written table: lineage ends here."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

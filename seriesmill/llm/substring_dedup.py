@@ -26,7 +26,7 @@ from seriesmill.llm.segments import slices
 from seriesmill.llm.shingles import chain, hash_words, split_batch
 from seriesmill.llm.stars import attach, narrowed
 
-HOT = 2000
+HOT = 10_000
 
 
 def running_min(values: np.ndarray, size: int) -> np.ndarray:
@@ -180,7 +180,7 @@ def repeated_windows(docs: DataFrame, window: int, seed: int) -> DataFrame:
     often = places.join(shared, "mini").select("doc", "text_hash", F.struct("start", "n", "mini", (F.col("times") > HOT).alias("hot")).alias("place"))
     listed = stored(often.groupBy("doc", "text_hash").agg(F.collect_set("place").alias("places")), "listed")
     on = ["doc", "text_hash"]
-    packed = packed_strings(narrowed(docs, listed.select(*on), on).join(listed, on), window)
+    packed = stored(packed_strings(narrowed(docs, listed.select(*on), on).join(listed, on), window), "packed")
     strings = packed.groupBy("name").agg(F.count("*").alias("n"), F.min("mini").alias("mini"), F.min("hot").alias("hot"), F.min("string").alias("string"))
     found = repeated_in_buckets(strings.filter("not hot"), window).unionByName(repeated_in_hot_buckets(strings.filter("hot"), window))
     starts = packed.select("doc", "text_hash", "start", "name").join(found, "name")
