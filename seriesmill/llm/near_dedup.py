@@ -5,11 +5,13 @@
    Bands of `ROWS` bins make `BANDS` bucket keys. At a similarity of 0.8 a pair shares no bucket
    with probability (1 - 0.8^6)^40, about 5 in a million.
 2. Documents with the same shingle set are one class; only one of each goes on.
-3. In a bucket only edges from its smallest class to the others are candidates: a star.
+3. In a bucket only edges from its most central class to the others are candidates: a star.
 4. An edge is confirmed on the full sets. A centre's text is sent once per salt, not per member.
 5. What a star leaves open: two members that are not in one component and of which neither was a
-   centre. Such buckets get another centre, for `STAR_ROUNDS` rounds; the pairs that are open
-   then are confirmed one by one. So every pair that shares a bucket is either confirmed,
+   centre. Such buckets get another centre, for `STAR_ROUNDS` rounds at most, until their pairs
+   are fewer than the rows of all buckets. The pairs that are open then are confirmed one by one,
+   but for those that the distances to the centres (triangle inequality) or the numbers of
+   shingles that no other open class has rule out. So every pair that shares a bucket is either confirmed,
    refuted, or known to be in one component.
 """
 
@@ -23,14 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.common import fresh, small_batches, stored
-from seriesmill.llm.components import components
+from seriesmill.llm.components import relabel
 from seriesmill.llm.segments import slices
 from seriesmill.llm.shingles import digest, mix, shingle_sets
 from seriesmill.llm.stars import meet, narrowed
 
 ROWS, BANDS = 6, 40
 BINS = ROWS * BANDS
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
 
 
 def donors(block: int, tries: int) -> np.ndarray:
@@ -93,36 +95,92 @@ def sketch(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The text that stands for each class: node, text."""
+    nodes = stored(nodes.join(classes, "node").select("node", F.col("rep").alias("doc"), "text_hash"), "nodes")
+    body = F.col(f"`{text}`").cast("string")
+    rows = docs.select(F.col(f"`{key}`").alias("doc"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
+    on = ["doc", "text_hash"]
+    return narrowed(rows, nodes.select(*on), on).join(nodes, on).select("node", "text")
+
+
+def own_shingles(texts: DataFrame, shingle: int) -> DataFrame:
+    """How many shingles each class has that no other of these classes has: node, own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, 2 << 20):
+                sets = shingle_sets(batch.column(1), shingle)
+                nodes = np.repeat(np.asarray(batch.column(0)), [len(s) for s in sets])
+                values = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(values)], names=["node", "shingle"])
+
+    each = texts.mapInArrow(run, "node long, shingle long")
+    alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("high")).filter("node = high")
+    return alone.groupBy("node").agg(F.count("*").alias("own"))
+
+
 def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int, key: str, text: str) -> DataFrame:
-    """`pairs` (a, b) with `linked`, by the full sets of both; pairs of unlike size are refuted unread."""
+    """`pairs` (a, b) with `distance` (1 less the similarity) by the full sets of both, and `linked`.
+
+    Pairs of unlike size are refuted unread; their distance is null.
+    """
     of = lambda side: classes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"))
     sized = pairs.join(of("a"), "a").join(of("b"), "b")
     near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     sized = stored(sized.withColumn("near", near).select("a", "b", "near"), "pairs")
     asked = sized.filter("near").select("a", "b")
-    nodes = asked.select("a").union(asked.select("b")).distinct().toDF("node")
-    nodes = stored(nodes.join(classes, "node").select("node", F.col("rep").alias("doc"), "text_hash"), "nodes")
-    body = F.col(f"`{text}`").cast("string")
-    rows = docs.select(F.col(f"`{key}`").alias("doc"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
-    texts = narrowed(rows, nodes.select("doc", "text_hash"), ["doc", "text_hash"]).join(nodes, ["doc", "text_hash"]).select("node", "text")
+    texts = texts_of(asked.select("a").union(asked.select("b")).distinct().toDF("node"), classes, docs, key, text)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre = None
         for whole in batches:
             for batch in slices(whole):
-                left, right = [], []
+                left, right, distance, linked = [], [], [], []
                 for a, b, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), shingle_sets(batch.column(3), shingle)):
                     if b is None:
                         centre = own
                         continue
                     common = len(np.intersect1d(centre, own, assume_unique=True))
-                    if common * 100 >= percent * (len(centre) + len(own) - common):
-                        left.append(a)
-                        right.append(b)
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                    union = len(centre) + len(own) - common
+                    for column, value in zip((left, right, distance, linked), (a, b, 1 - common / union, common * 100 >= percent * union)):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())],
+                    names=["a", "b", "distance", "linked"],
+                )
+
+    found = meet(asked, texts).mapInArrow(compare, "a long, b long, distance double, linked boolean").distinct()
+    return stored(sized.select("a", "b").join(found, ["a", "b"], "left").withColumn("linked", F.coalesce("linked", F.lit(False))), "confirmed")
+
+
+def placed_sizes(buckets: DataFrame) -> DataFrame:
+    """For every class how many others its buckets hold: the most central one of a group has the most."""
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size"))
+    return buckets.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("degree"))
+
+
+def open_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket that may still be links, each once.
+
+    The distance is a metric, so two classes whose distances to a common centre differ by more than a
+    link allows are none. Nor are two of one component, or two that have too few shingles which any
+    other open class has too (`shared`): their intersection is no larger than the lesser of these.
+    """
+    other = open_rows.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "n", "shared", "apart")])
+    allowed = 1 - percent / 100 + 1e-9
+    told_apart = F.exists(F.zip_with("apart", "apart_b", lambda x, y: F.coalesce(F.abs(x - y) > allowed, F.lit(False))), lambda t: t)
+    common = F.least("shared", "shared_b")
+    sized = common * 100 >= (F.col("n") + F.col("n_b") - common) * percent
+    mine = open_rows.withColumnRenamed("bucket", "own_bucket")
+    on = (F.col("own_bucket") == F.col("bucket")) & (F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & sized & ~told_apart
+    return mine.join(other, on).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+
 
-    links = meet(asked, texts).mapInArrow(compare, "a long, b long").distinct().withColumn("linked", F.lit(True))
-    return stored(sized.select("a", "b").join(links, ["a", "b"], "left").select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked")), "confirmed")
+def few_pairs(open_rows: DataFrame, buckets: DataFrame) -> bool:
+    """Whether all pairs of the open buckets are fewer than the rows of all buckets: another star is not worth its jobs."""
+    sizes = open_rows.groupBy("bucket").agg(F.count("*").alias("n"))
+    return (sizes.agg(F.sum(F.expr("n * (n - 1) / 2"))).first()[0] or 0) <= buckets.count()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -147,32 +205,38 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: s
     shared = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high").select("bucket")
     buckets = stored(placed.join(shared, "bucket").distinct(), "buckets")
 
-    ask = lambda pairs: confirm(pairs, classes, docs, shingle, percent, key, text)
-    open_rows = buckets.withColumn("label", F.col("node"))
-    tested, labels = None, None
+    sizes = placed_sizes(buckets)
+    names = classes.select("node", F.col("node").alias("label"))
+    open_rows = buckets.join(sizes, "node").join(classes.select("node", "n"), "node")
+    open_rows = open_rows.select("bucket", "node", "n", "degree", F.col("node").alias("label"), F.array().cast("array<double>").alias("apart"))
+    tested = None
     for round_number in range(STAR_ROUNDS + 1):
-        if round_number < STAR_ROUNDS:
-            centre = open_rows.groupBy("bucket").agg(F.min(F.struct("node", "label")).alias("c"))
-            pairs = open_rows.join(centre, "bucket").filter("label != c.label").select(F.col("c.node").alias("a"), F.col("node").alias("b"))
+        last = round_number == STAR_ROUNDS or round_number > 0 and few_pairs(open_rows, buckets)
+        if last:
+            own = own_shingles(texts_of(open_rows.select("node").distinct(), classes, docs, key, text), shingle)
+            open_rows = stored(open_rows.join(own, "node", "left").withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0))), "shared")
+            pairs = open_pairs(open_rows, percent)
         else:
-            other = open_rows.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
-            pairs = open_rows.join(other, "bucket").filter("node < b and label != label_b").select(F.col("node").alias("a"), "b")
-        pairs = pairs.distinct()
+            centre = open_rows.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("node"), "label")).alias("c"))
+            centre = centre.select("bucket", (-F.col("c.col2")).alias("centre"), F.col("c.label").alias("of_centre"))
+            star = open_rows.join(centre, "bucket")
+            pairs = star.filter("label != of_centre").select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "anti")
-        confirmed = ask(pairs)
+        confirmed = confirm(pairs, classes, docs, shingle, percent, key, text)
         tested = confirmed if tested is None else tested.unionByName(confirmed)
-        labels = stored(components(tested.filter("linked").select("a", "b")), "labels")
-        if round_number == STAR_ROUNDS:
+        names = relabel(names, confirmed.filter("linked").select("a", "b"))
+        if last:
             break
         # Centres are done with; a bucket stays open while the others are of several components.
-        rest = open_rows.drop("label").join(centre.select("bucket", F.col("c.node").alias("node")), ["bucket", "node"], "anti")
-        rest = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        rest = star.filter("node != centre").drop("label").join(names, "node")
         split = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("bucket")
-        open_rows = stored(rest.join(split, "bucket", "semi"), "open")
+        rest = rest.join(split, "bucket", "semi").withColumns({"a": F.least("centre", "node"), "b": F.greatest("centre", "node")})
+        rest = rest.join(tested.select("a", "b", "distance"), ["a", "b"], "left").withColumn("apart", F.concat("apart", F.array("distance")))
+        open_rows = stored(rest.select("bucket", "node", "n", "degree", "label", "apart"), "open")
         if open_rows.isEmpty():
             break
-    named = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = classes.join(names, "node")
     least_key = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = named.join(least_key, "label").select("digest", "component_id")
     out = sketched.select("doc", "text_hash", "n", F.when(F.col("doc").isNotNull(), F.col("digest")).alias("digest")).join(named, "digest", "left")

@@ -11,7 +11,7 @@ from conftest import DOCS  # noqa: F401  of tests/llm
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from seriesmill.llm import components, decontaminate, licenses, line_dedup, near_dedup, packing, quality, segments, substring_dedup, token_files, unigram, url_rules
+from seriesmill.llm import components, decontaminate, licenses, line_dedup, near_dedup, packing, quality, segments, shingles, substring_dedup, token_files, unigram, url_rules
 from seriesmill.llm.common import scratch_dir
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -208,6 +208,19 @@ def test_segments():
     assert small.encode(pa.array(texts))[0].tolist() == ids.tolist()
 
 
+def test_slices_are_right_for_string_kernels():
+    import pyarrow as pa
+
+    texts = [t for _, t in DOCS] * 3
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    parts = list(segments.slices(batch, 2000))
+    assert len(parts) > 5 and [t for p in parts for t in p.column(0).to_pylist()] == texts
+    sets = [len(s) for p in parts for s in shingles.shingle_sets(p.column(0), 2)]
+    assert sets == [len(brute.shingles(t, 2)) for t in texts]
+    coder, want = segments.Encoder(BPE), segments.Encoder(BPE).encode(pa.array(texts))[0]
+    assert np.concatenate([coder.encode(p.column(0))[0] for p in parts]).tolist() == want.tolist()
+
+
 def test_token_files(spark, docs, no_docs):
     folder = scratch_dir(spark, "tokens")
     manifest = token_files.write_tokens(docs, folder, BPE, partitions=4)
