@@ -38,7 +38,7 @@ def attach(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
     keys = table.select(*on)
     if keys.count() > BROADCAST_KEYS:
         return rows.join(table, on, "left")
-    matched = rows.join(F.broadcast(keys), on, "semi").join(table, on)
+    matched = rows.join(F.broadcast(keys), on, "semi").join(table.hint("merge"), on)  # one plan at every size
     rest = rows.join(F.broadcast(keys), on, "anti")
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema if f.name not in on]
     return matched.unionByName(rest.select("*", *nothing))
