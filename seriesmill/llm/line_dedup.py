@@ -1,9 +1,9 @@
 """Lines that an earlier document has already, removed from later ones after aligning both.
 
-1. A line's hash and length; for each different line the number of documents and the earliest one.
-2. A document's evidence: its shared lines that at most `rare` documents have, and always its
-   rarest shared ones. Each leads to the earliest document with that line, never to all of
-   them, so the pairs are no more than the shared lines, however many copies there are.
+1. A line's hash and length; for each different line the earliest document that has it.
+2. A document's evidence: its shared lines, however many documents have them. Each leads to the
+   earliest document with that line, never to all of them, so the pairs are no more than the
+   shared lines, however many copies there are.
 3. Each pair is aligned by patience diff: lines that are unique in both are anchors, the longest
    ascending run of anchors holds, and the gaps between are treated alike.
 4. Aligned blocks of at least `min_chars` characters are removed from the later document. What
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from seriesmill.llm.common import SPACES, computed, fresh, small_batches, stored
 from seriesmill.llm.stars import attach, meet
 
-RARE, MIN_CHARS = 20, 60
+MIN_CHARS = 60
 
 
 def ascending(values: list[int]) -> list[int]:
@@ -96,7 +96,7 @@ def align(pairs: DataFrame, lines: DataFrame, min_chars: int) -> DataFrame:
     return meet(pairs, lines).mapInArrow(run, "node long, removed array<int>")
 
 
-def removed_lines(docs: DataFrame, rare: int, min_chars: int, key: str, text: str) -> DataFrame:
+def removed_lines(docs: DataFrame, min_chars: int, key: str, text: str) -> DataFrame:
     """Documents that lose lines: doc, text_hash, removed (positions from 0, sorted)."""
     body = F.col("_text")
     rows = docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("_text")).na.drop()
@@ -108,10 +108,8 @@ def removed_lines(docs: DataFrame, rare: int, min_chars: int, key: str, text: st
 
     each = lines.select(F.struct("doc", "text_hash").alias("own"), "node", F.explode(F.array_distinct("hashes")).alias("line")).filter("line != 0")
     first = each.groupBy("line").agg(F.count("*").alias("n"), F.min(F.struct("own", "node")).alias("first")).filter("n > 1")
-    shared = each.join(first, "line").filter("own > first.own").select("node", "n", F.col("first.node").alias("a"))
-    fewest = shared.groupBy("node").agg(F.min("n").alias("fewest"))
-    evidence = shared.join(fewest, "node").filter((F.col("n") <= rare) | (F.col("n") == F.col("fewest")))
-    pairs = stored(evidence.select("a", F.col("node").alias("b")).distinct(), "line-pairs")
+    shared = each.join(first, "line").filter("own > first.own")
+    pairs = stored(shared.select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct(), "line-pairs")
 
     gone = align(pairs, lines.select("node", "hashes", "sizes"), min_chars)
     gone = gone.select("node", F.explode("removed").alias("at")).groupBy("node").agg(F.array_sort(F.collect_set("at")).alias("removed"))
@@ -119,7 +117,7 @@ def removed_lines(docs: DataFrame, rare: int, min_chars: int, key: str, text: st
     return stored(names.join(gone, "node").select("doc", "text_hash", "removed").dropDuplicates(["doc", "text_hash"]), "removed")
 
 
-def without_shared_lines(docs: DataFrame, rare: int = RARE, min_chars: int = MIN_CHARS, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
+def without_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
     """`docs` with the text left after removing shared lines, and the name of an added column with
     the positions (from 0) of the removed lines.
 
@@ -131,7 +129,7 @@ def without_shared_lines(docs: DataFrame, rare: int = RARE, min_chars: int = MIN
     gives an empty one.
     """
     small_batches(docs.sparkSession)
-    gone = removed_lines(docs, rare, min_chars, key, text)
+    gone = removed_lines(docs, min_chars, key, text)
     names = {n: fresh(docs, n) for n in ("_doc", "_hash", "_removed")}
     gone = gone.select(F.col("doc").alias(names["_doc"]), F.col("text_hash").alias(names["_hash"]), F.col("removed").alias(names["_removed"]))
     wide = docs.withColumns({names["_doc"]: F.col(f"`{key}`"), names["_hash"]: F.xxhash64(F.col(f"`{text}`").cast("string"))})
