@@ -1,5 +1,9 @@
 """Cases that a cap, a short template list or too few units would miss."""
 
+import random
+
+import numpy as np
+
 from seriesmill.llm import line_dedup
 
 
@@ -14,3 +18,36 @@ def test_common_long_line_beside_a_rarer_short_one(spark):
     rows = [(i, f"Short {i}.") for i in range(30)] + [(100 + i, f"{long}\nOwn line {i}.\nShort {i}.") for i in range(30)]
     got = left_texts(spark, rows)
     assert got == {k: t if k <= 100 else t.split("\n", 1)[1] for k, t in rows}
+
+
+def test_block_of_short_lines_known_from_different_documents(spark):
+    """Each line comes earlier by itself, each two as well; only document 5 has the whole block."""
+    a, b, c = "First short line of some words", "Second short line", "Third short line of words"
+    rows = [(0, f"{a}\n{b}\nx"), (1, f"{b}\n{c}\ny"), (2, f"{c}\nz"), (5, f"u\n{a}\n{b}\n{c}\nv"), (6, f"p\n{a}\n{b}\n{c}\nq")]
+    got = left_texts(spark, rows)
+    assert got == {**dict(rows), 6: "p\nq"}
+
+
+def test_passage_that_stands_twice(spark):
+    """Without a line that is unique on both sides, one copy is aligned all the same."""
+    long = "This passage stands twice in the earlier document and once in the later one."
+    rows = [(1, f"one\n{long}\ntwo\n{long}\nthree"), (2, f"four\n{long}\nfive"), (3, f"six\n{long}\nseven\n{long}\neight")]
+    got = left_texts(spark, rows)
+    assert got[1] == rows[0][1] and got[2] == "four\nfive" and got[3] == "six\nseven\neight"
+
+
+def test_heaviest_block_and_runs():
+    """Against all pairs of places."""
+    rnd = random.Random(1)
+    for _ in range(500):
+        a, b = ([rnd.choice(["aa", "b", "ccc", ""]) for _ in range(rnd.randint(0, 9))] for _ in range(2))
+        i, j, n, chars = line_dedup.heaviest_block(a, b, len)
+        equal = [(i, j, n) for i in range(len(a)) for j in range(len(b)) for n in range(1, len(a) - i + 1) if a[i : i + n] == b[j : j + n]]
+        assert a[i : i + n] == b[j : j + n] and chars == max((sum(map(len, a[i : i + n])) for i, _, n in equal), default=0)
+        sizes = [rnd.choice([0, 10, 25, 60, 70]) for _ in range(rnd.randint(1, 9))]
+        at, run = line_dedup.runs_of_lines(np.array(sizes, np.int64), np.array(sizes, np.int32), np.array([0, len(sizes)]), 60)
+        ahead = [(i, next((sizes[i:j] for j in range(i + 1, len(sizes) + 1) if sum(sizes[i:j]) >= 60), None)) for i, s in enumerate(sizes) if s]
+        behind = [(i, next((sizes[j : i + 1] for j in range(i, -1, -1) if sum(sizes[j : i + 1]) >= 60), None)) for i, s in enumerate(sizes) if s]
+        want = [(i, tuple(r)) for i, r in ahead + behind if r]
+        assert at.tolist() == [i for i, _ in want]
+        assert len(set(run.tolist())) == len({r for _, r in want}) == len({(h, r) for h, (_, r) in zip(run.tolist(), want)})
