@@ -10,7 +10,9 @@ the number of bigrams, and no other pair is looked at.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from seriesmill.llm.common import NON_TOKEN_RUN, ascii_lower, computed, split_wo
 from seriesmill.operators.joins import join_sized
 from seriesmill.session import small_table
 
-# Notices as their licences word them.
+# One-sentence notices.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
@@ -33,17 +35,47 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+# Texts and standard headers as their licences word them: id, file in `licence_texts`, where it begins and ends.
+PARTS = (
+    ("Apache-2.0-file-notice", "Apache-2.0-text", "Licensed under the Apache License, Version 2.0 (the", "compliance with the License."),
+    ("Apache-2.0-header", "Apache-2.0-text", "Licensed under the Apache License, Version 2.0 (the", "limitations under the License."),
+    ("Apache-2.0-text", "Apache-2.0-text", "Apache License", "END OF TERMS AND CONDITIONS"),
+    ("BSD-text", "BSD-3-Clause-text", "Redistribution and use", "SUCH DAMAGE."),
+    ("GPL-3.0-header", "GPL-3.0-text", "This program is free software: you can redistribute", "gnu.org/licenses/>."),
+    ("GPL-3.0-text", "GPL-3.0-text", "GNU GENERAL PUBLIC LICENSE", "END OF TERMS AND CONDITIONS"),
+    ("MIT-full", "MIT-full", "Permission is hereby granted", "DEALINGS IN THE SOFTWARE."),
+    ("MPL-2.0-header", "MPL-2.0-text", "This Source Code Form is subject to the terms of the Mozilla", "MPL/2.0/."),
+    ("MPL-2.0-text", "MPL-2.0-text", "Mozilla Public License", "Exhibit A - Source Code Form License Notice"),
+    ("Unlicense-text", "Unlicense-text", "This is free and unencumbered", "OTHER DEALINGS IN THE SOFTWARE."),
+)
 LEAST = 0.8
+# Templates of more bigrams are not ruled out by telling words, as too many would be needed.
+LONG = 400
+
+
+def licence_texts() -> list[tuple[str, str]]:
+    """The templates of PARTS, read on the driver."""
+    out = []
+    for licence, file, begin, end in PARTS:
+        text = " ".join((Path(__file__).parent / "licence_texts" / f"{file}.txt").read_text().split())
+        at = text.index(begin)
+        out.append((licence, text[at : text.index(end, at) + len(end)]))
+    return out
 
 
 def words_of(text: Column) -> Column:
     return split_words(ascii_lower(text), NON_TOKEN_RUN)
 
 
-def bigrams(words: Column) -> Column:
-    """Distinct word bigrams as hashes. `words` must be a computed column, as each pair looks into it."""
+def placed_bigrams(words: Column) -> Column:
+    """Word bigrams as hashes, one for each position. `words` must be a computed column, as each pair looks into it."""
     firsts = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.array_distinct(F.transform(firsts, lambda x, i: F.xxhash64(x, F.get(words, i + 1))))
+    return F.transform(firsts, lambda x, i: F.xxhash64(x, F.get(words, i + 1)))
+
+
+def bigrams(words: Column) -> Column:
+    """Distinct word bigrams as hashes. `words` must be a computed column."""
+    return F.array_distinct(placed_bigrams(words))
 
 
 def units(text: Column) -> Column:
@@ -52,25 +84,38 @@ def units(text: Column) -> Column:
     return F.array_distinct(F.concat(F.array(text), F.split(text, r"\n[\x20\x09]*\n"), F.split(text, "\n"), sentences))
 
 
-def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
+def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """The given templates, or the notices, headers and texts of this module. Their ids must differ."""
     schema = T.StructType([T.StructField("licence", T.StringType()), T.StructField("text", T.StringType())])
-    return small_table(spark, list(templates), schema)
+    return small_table(spark, [*TEMPLATES, *licence_texts()] if templates is None else list(templates), schema)
 
 
-def telling_words(templates: DataFrame, least: float, most: int = 10_000) -> list[str] | None:
-    """Words of which every unit that reaches `least` has one, or None if the templates are too many.
+def may_match(templates: DataFrame, least: float, words: Column, most: int = 10_000) -> Column | None:
+    """What is true of the words of every text with a unit that reaches `least`, or None if the templates are too many.
 
     Such a unit has at least b * least / (2 - least) of a template's b bigrams, so of any set of one
     bigram more than it may lack it has one, and both its words. The bigrams with the longest words
-    are taken, since long words are rare.
+    are taken, since long words are rare. For a template of more than LONG bigrams the number of
+    different words is tested: those that so many bigrams begin with, at least.
     """
     rows = templates.select(words_of(F.col("text")).alias("w")).limit(most + 1).collect()
-    words = set()
+    telling, tests = set(), []
     for (w,) in rows:
         pairs = sorted(set(zip(w, w[1:])), key=lambda p: (-max(map(len, p)), p))
-        lacking = len(pairs) - math.ceil(len(pairs) * least / (2 - least) - 1e-9)
-        words.update(max(p, key=len) for p in pairs[: lacking + 1])
-    return sorted(words) if len(rows) <= most and 0 < len(words) <= most else None
+        need = math.ceil(len(pairs) * least / (2 - least) - 1e-9)
+        if len(pairs) > LONG:
+            begun, n, left = Counter(p[0] for p in pairs), 0, need
+            for _, count in begun.most_common():
+                n, left = n + (left > 0), left - count
+            tests.append((F.size(words) > need) & (F.size(F.array_intersect(words, F.array(*map(F.lit, sorted(begun))))) >= n))
+        else:
+            telling.update(max(p, key=len) for p in pairs[: len(pairs) - need + 1])
+    if len(rows) > most or not len(telling) + len(tests) or len(telling) > most:
+        return None
+    test = F.arrays_overlap(words, F.array(*map(F.lit, sorted(telling)))) if telling else F.lit(False)
+    for other in tests:
+        test = test | other
+    return test
 
 
 def licence_matches(docs: DataFrame, templates: DataFrame, least: float = LEAST, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -91,9 +136,10 @@ def licence_matches(docs: DataFrame, templates: DataFrame, least: float = LEAST,
     if most_n == 0:
         least_n = 1
     rows = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    telling = telling_words(templates, least)
-    if telling is not None:
-        rows = computed(rows, w=words_of(F.col("_text"))).filter(F.arrays_overlap("w", F.array(*map(F.lit, telling))))
+    rows = computed(rows, w=words_of(F.col("_text")))
+    test = may_match(templates, least, F.col("w"))
+    if test is not None:
+        rows = rows.filter(test)
     each = rows.select("_key", F.explode(units(F.col("_text"))).alias("_text"))
     worded = computed(each, w=words_of(F.col("_text"))).filter(F.size("w") > F.lit(int(least_n)))
     found = computed(worded, of_unit=bigrams(F.col("w"))).drop("w").withColumn("n", F.size("of_unit").cast("long"))

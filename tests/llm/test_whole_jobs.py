@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from seriesmill.llm import line_dedup
+from seriesmill.llm import licenses, line_dedup
 
 
 def left_texts(spark, rows):
@@ -51,3 +51,15 @@ def test_heaviest_block_and_runs():
         want = [(i, tuple(r)) for i, r in ahead + behind if r]
         assert at.tolist() == [i for i, _ in want]
         assert len(set(run.tolist())) == len({r for _, r in want}) == len({(h, r) for h, (_, r) in zip(run.tolist(), want)})
+
+
+def licences_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"]: (r["licences"] or "").split(",") for r in licenses.scan_licences(df, licenses.template_table(spark)).collect()}
+
+
+def test_full_texts_and_headers(spark):
+    """Every text and header of its licence."""
+    texts = licenses.licence_texts()
+    got = licences_of(spark, [t for _, t in texts])
+    assert all(licence in got[i] for i, (licence, _) in enumerate(texts))
