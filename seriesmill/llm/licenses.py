@@ -5,6 +5,11 @@ be any of these. Text is normalised to lower-case words without punctuation. Wit
 distinct bigrams, Dice is at most 2 min(a, b) / (a + b), so a unit can only reach `least` with
 templates of b from a * least / (2 - least) to a * (2 - least) / least bigrams. The join goes over
 the number of bigrams, and no other pair is looked at.
+
+A notice wrapped over lines or inside a longer sentence is none of these units. For it, windows of
+as many words as the template has are compared, over the words of the whole text: those that begin
+with a bigram of the template and have as many of its bigrams as any match needs. A window counts
+where no unit of the key has the licence.
 """
 
 from __future__ import annotations
@@ -118,8 +123,31 @@ def may_match(templates: DataFrame, least: float, words: Column, most: int = 10_
     return test
 
 
+def window_matches(rows: DataFrame, known: DataFrame, least: float) -> DataFrame:
+    """_key, _text, licence and dice of the best window of every row and template that reaches `least`.
+
+    `rows` has _key and w, `known` licence, of_licence and span (its words less one).
+    """
+    placed = computed(rows, placed=placed_bigrams(F.col("w")))
+    need = F.ceil(F.size("of_licence") * F.lit(least / (2 - least)) - 1e-9).cast("int")
+    both = placed.join(F.broadcast(known.withColumn("need", need)), F.size(F.array_intersect("placed", "of_licence")) >= F.col("need"))
+    hits = F.filter(F.transform("placed", lambda h, i: F.when(F.array_contains("of_licence", h), i)), lambda i: i.isNotNull())
+    both = computed(both, hits=hits)
+    starts = F.filter("hits", lambda p, k: F.get("hits", k + F.col("need") - 1) - p < F.col("span"))
+    both = computed(both, starts=starts)
+
+    def dice(p: Column) -> Column:
+        own = F.array_distinct(F.slice("placed", p + 1, F.col("span")))
+        return F.lit(2.0) * F.size(F.array_intersect(own, F.col("of_licence"))) / (F.size(own) + F.size("of_licence"))
+
+    both = computed(both, best=F.array_max(F.transform("starts", lambda p: F.struct(dice(p).alias("dice"), (-p).alias("at")))))
+    text = F.array_join(F.slice("w", F.lit(1) - F.col("best.at"), F.col("span") + 1), " ")
+    return both.filter(F.col("best.dice") >= F.lit(least - 1e-9)).select("_key", text.alias("_text"), "licence", F.col("best.dice").alias("dice"))
+
+
 def licence_matches(docs: DataFrame, templates: DataFrame, least: float = LEAST, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for every unit and template whose Dice reaches `least`: key, unit, licence, dice.
+    """One row for every unit and template whose Dice reaches `least`, and one for the best window
+    of a text and template: key, unit, licence, dice, in_window.
 
     Units or templates of fewer than two words have no bigrams and match nothing; nor does null.
     Templates are counted; beyond what may be broadcast they are shuffled.
@@ -127,7 +155,7 @@ def licence_matches(docs: DataFrame, templates: DataFrame, least: float = LEAST,
     if not 0 < least <= 1:
         raise ValueError("least must be above 0 and at most 1")
     known = computed(templates.select("licence", "text").na.drop(), w=words_of(F.col("text")))
-    known = computed(known, of_licence=bigrams(F.col("w"))).select("licence", "of_licence").filter(F.size("of_licence") > 0)
+    known = computed(known, of_licence=bigrams(F.col("w"))).select("licence", "of_licence", (F.size("w") - 1).alias("span")).filter(F.size("of_licence") > 0)
     low = lambda n: F.ceil(n * F.lit(least / (2 - least)) - 1e-9)
     high = lambda n: F.floor(n * F.lit((2 - least) / least) + 1e-9)
     sizes = known.select("licence", F.explode(F.sequence(low(F.size("of_licence")), high(F.size("of_licence")))).alias("n"))
@@ -144,24 +172,32 @@ def licence_matches(docs: DataFrame, templates: DataFrame, least: float = LEAST,
     worded = computed(each, w=words_of(F.col("_text"))).filter(F.size("w") > F.lit(int(least_n)))
     found = computed(worded, of_unit=bigrams(F.col("w"))).drop("w").withColumn("n", F.size("of_unit").cast("long"))
     found = found.filter((F.col("n") >= int(least_n)) & (F.col("n") <= int(most_n)))
-    both = join_sized(join_sized(found, sizes, ["n"], "inner"), known, ["licence"], "inner")
+    both = join_sized(join_sized(found, sizes, ["n"], "inner"), known.drop("span"), ["licence"], "inner")
     common = F.size(F.array_intersect("of_unit", "of_licence"))
     both = both.withColumn("dice", F.lit(2.0) * common / (F.size("of_unit") + F.size("of_licence")))
-    return both.filter(F.col("dice") >= F.lit(least - 1e-9)).select(F.col("_key").alias(key), F.col("_text").alias("unit"), "licence", "dice")
+    of_units = both.filter(F.col("dice") >= F.lit(least - 1e-9)).select("_key", "_text", "licence", "dice", F.lit(False).alias("in_window"))
+    all_found = of_units.unionByName(window_matches(rows.select("_key", "w"), known, least).withColumn("in_window", F.lit(True)))
+    return all_found.select(F.col("_key").alias(key), F.col("_text").alias("unit"), "licence", "dice", "in_window")
 
 
 def scan_licences(docs: DataFrame, templates: DataFrame, least: float = LEAST, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row of `docs` with its licences (ids, sorted, comma-joined), the best one with its
-    Dice rounded to four digits (ties: the smaller id), and the number of matches.
+    Dice rounded to four digits (ties: the smaller id), and the number of matches: of units, or
+    of windows for a licence that no unit has.
 
     Without a match the licences are null and the number 0; so for null and empty texts. Rows with
     one key share their matches and each stay; null keys count as one key. Other columns are not
     read, so their names may clash. An empty table gives an empty one.
     """
     found = licence_matches(docs, templates, least, key, text)
+    count = lambda windows: F.count(F.when(F.col("in_window") == windows, True))
+    most = lambda windows: F.max(F.when(F.col("in_window") == windows, F.col("dice")))
+    each = found.groupBy(F.col(f"`{key}`").alias("_key"), "licence").agg(
+        F.coalesce(most(False), most(True)).alias("dice"), F.when(count(False) > 0, count(False)).otherwise(count(True)).alias("n")
+    )
     best = F.struct((-F.round("dice", 4)).alias("d"), F.col("licence").alias("l"))
-    per_key = found.groupBy(F.col(f"`{key}`").alias("_key")).agg(
-        F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences"), F.min(best).alias("best"), F.count("*").alias("n_matches")
+    per_key = each.groupBy("_key").agg(
+        F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences"), F.min(best).alias("best"), F.sum("n").alias("n_matches")
     )
     keys = docs.select(F.col(f"`{key}`").alias("_id"))
     return keys.join(per_key, F.col("_id").eqNullSafe(F.col("_key")), "left").select(

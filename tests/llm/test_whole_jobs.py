@@ -59,7 +59,20 @@ def licences_of(spark, texts):
 
 
 def test_full_texts_and_headers(spark):
-    """Every text and header of its licence."""
+    """Every text and header of its licence, wrapped as in its file, as a whole and within another text."""
     texts = licenses.licence_texts()
-    got = licences_of(spark, [t for _, t in texts])
-    assert all(licence in got[i] for i, (licence, _) in enumerate(texts))
+    around = "This file explains how the tool is built and used.\n"
+    got = licences_of(spark, [t for _, t in texts] + [around + t + "\n" + around for _, t in texts])
+    assert all(licence in got[i] and licence in got[len(texts) + i] for i, (licence, _) in enumerate(texts))
+
+
+def test_wrapped_notices_and_notices_inside_sentences(spark):
+    gpl, bsd = "This work is licensed under the GNU\nGeneral Public License,\nversion 3.", licenses.TEMPLATES[1][1].replace("with or without ", "with or without\n")
+    got = licences_of(spark, [
+        f"A first sentence stands here. {gpl} Another sentence follows it.",
+        f"A first sentence stands here. {bsd} Another sentence follows it.",
+        "This library is released under the MIT License, see the file for what that means to you.",
+        "# This work is licensed under the GNU\n# General Public License, version 3.\nimport os",
+        "This library was released under another name, and the MIT course has a license plate.",
+    ])
+    assert [got[i] for i in range(5)] == [["GPL-3.0"], ["BSD"], ["MIT"], ["GPL-3.0"], [""]]
