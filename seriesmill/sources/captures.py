@@ -78,7 +78,17 @@ def channel_frames(messages: DataFrame, most: int | None = None) -> tuple[DataFr
     With a limit, the channels of a message beyond the first `most` are among the rejected.
     """
     carried = [c for c in messages.columns if c not in ("frames", "channels")]
-    rows = messages.select(*carried, "frames", F.posexplode("channels").alias("pos", "_desc"))
+    # Each channel gets its own two frames before the explode; no row carries all frames of the message.
+    with_frames = F.transform(
+        "channels",
+        lambda desc, i: F.struct(
+            i.alias("pos"),
+            desc.alias("_desc"),
+            F.try_element_at("frames", i * 2 + 3).alias("payload"),
+            F.try_element_at("frames", i * 2 + 4).alias("ts_payload"),
+        ),
+    )
+    rows = messages.select(*carried, F.inline(with_frames))
     kind = F.coalesce(F.col("_desc.type"), F.lit("float64"))
     types = F.create_map(*[F.lit(x) for pair in HEADER_TYPES.items() for x in pair])
     named = F.try_element_at(types, kind)
@@ -91,8 +101,8 @@ def channel_frames(messages: DataFrame, most: int | None = None) -> tuple[DataFr
         F.coalesce("_desc.shape", F.array().cast("array<int>")).alias("shape_dims"),
         F.coalesce(F.col("_desc.encoding") == "big", F.lit(False)).alias("big_endian"),
         compression.alias("compression"),
-        F.try_element_at("frames", F.col("pos") * 2 + 3).alias("payload"),
-        F.try_element_at("frames", F.col("pos") * 2 + 4).alias("ts_payload"),
+        "payload",
+        "ts_payload",
     )
     reason = (
         F.when(~within_limit(most=most), "beyond the channel limit")
