@@ -7,8 +7,8 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import DOCS  # noqa: F401  of tests/llm
 from pyspark.sql import functions as F
+from text_rows import DOCS
 from tokenizers import Tokenizer
 
 from seriesmill.llm import components, decontaminate, licenses, line_dedup, near_dedup, packing, quality, segments, shingles, substring_dedup, token_files, unigram, url_rules
