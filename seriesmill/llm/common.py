@@ -67,6 +67,21 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def narrow_join(rows: DataFrame, table: DataFrame, on: str, most_bytes: int = 8 << 20) -> DataFrame:
+    """Left join by one column, nulls equal to nulls; `table` (one row per value) is broadcast if its measured size is small."""
+    there = table.withColumnRenamed(on, fresh(rows, "_on"))
+    key = there.columns[table.columns.index(on)]
+    size = table.select(F.sum(F.coalesce(F.octet_length(F.col(f"`{on}`").cast("string")), F.lit(0)) + 16 * len(table.columns))).first()[0] or 0
+    joined = rows.join(F.broadcast(there) if size <= most_bytes else there, F.col(f"`{on}`").eqNullSafe(F.col(f"`{key}`")), "left")
+    return joined.drop(key)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that `scratch_dir` named and that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def tokenizer_file(name: str) -> str:
     """The place of a public vocabulary file; executors need the same package."""
     import public_tokenizers

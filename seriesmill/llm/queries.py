@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import decontaminate, licenses, line_dedup, near_dedup, packing, quality, substring_dedup, token_files, unigram, url_rules
-from seriesmill.llm.common import table, tokenizer_file
+from seriesmill.llm import ball_codes, decontaminate, licenses, line_dedup, near_dedup, packing, quality, substring_dedup, token_files, unigram, url_rules
+from seriesmill.llm.common import narrow_join, table, tokenizer_file
 from seriesmill.session import small_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +225,50 @@ def line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def ball_codes_sql(entries: int = 256, rounds: int = 4, parts: int = 4) -> str:
+    """Every round in full: distances to all entries, then the floor of the means."""
+    steps = [
+        f"""WITH vecs AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM vecs, range({parts}) r(p)
+), book0 AS MATERIALIZED (
+  SELECT p, k, x AS c FROM (SELECT p, x, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k FROM cut) WHERE k < {entries}
+)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+  SELECT vec_id, cut.p, min((list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c), k)) AS best
+  FROM cut JOIN book{r} ON cut.p = book{r}.p GROUP BY vec_id, cut.p
+)""")
+        if r < rounds:
+            steps.append(f"""mean{r} AS (
+  SELECT p, k, list(m ORDER BY i) AS c FROM (
+    SELECT p, k, i, floor(sum(y) / count(*)) AS m FROM (
+      SELECT p, best[2] AS k, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM near{r} JOIN cut USING (vec_id, p)) GROUP BY p, k, i) GROUP BY p, k
+), book{r + 1} AS MATERIALIZED (
+  SELECT p, k, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN mean{r} m USING (p, k)
+)""")
+    return ", ".join(steps) + f""", coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM near{rounds} GROUP BY vec_id
+), flat AS (
+  SELECT sha256(string_agg(array_to_string(list_transform(c, lambda y: y::BIGINT), ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT c.vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded c JOIN vecs USING (vec_id), flat"""
+
+
+@query("op11_ball_k_means", ball_codes_sql())
+def ball_k_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = ball_codes.ball_codes(table(spark, sf_dir, "embeddings"), carry=["label"])
+    digest = hashlib.sha256(",".join(str(y) for book in books for entry in book for y in entry).encode()).hexdigest()
+    errors = coded.groupBy("label").agg(F.sum("error").alias("label_error"))
+    return narrow_join(coded, errors, "label").select(
+        "vec_id",
+        F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(digest).alias("codebooks_sha256"),
+    )
