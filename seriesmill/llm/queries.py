@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import ball_codes, decontaminate, licenses, line_dedup, near_dedup, packing, quality, substring_dedup, token_files, unigram, url_rules
+from seriesmill.llm import ball_codes, byte_dedup, decontaminate, licenses, line_dedup, near_dedup, packing, quality, substring_dedup, token_files, unigram, url_rules
 from seriesmill.llm.common import narrow_join, table, tokenizer_file
 from seriesmill.session import small_table
 
@@ -272,3 +272,9 @@ def ball_k_means(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label_error",
         F.lit(digest).alias("codebooks_sha256"),
     )
+
+
+@query("op13_suffix_arrays")
+def suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = byte_dedup.remove_earlier_bytes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
