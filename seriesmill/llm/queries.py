@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.llm import ball_codes, byte_dedup, decontaminate, licenses, line_dedup, near_dedup, packing, quality, substring_dedup, token_files, unigram, url_rules
+from seriesmill.llm import ball_codes, byte_dedup, decontaminate, licenses, line_dedup, near_dedup, packing, quality, substring_dedup, token_alignment, token_files, unigram, url_rules
 from seriesmill.llm.common import narrow_join, table, tokenizer_file
 from seriesmill.session import small_table
 
@@ -278,3 +278,11 @@ def ball_k_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 def suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = byte_dedup.remove_earlier_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_token_alignment")
+def token_alignment_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, pairs = token_alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    scored = token_alignment.score_links(documents.withColumn("groups_sha256", digest).drop("groups"), pairs)
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
