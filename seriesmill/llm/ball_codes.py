@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.common import drop_folder, fresh, scratch_dir, stored
+from seriesmill.llm.common import drop_folder, scratch_dir, stored
 
 # Rows that a task handles together; balls are formed within them.
 BLOCK_ROWS = 32_768
@@ -197,15 +197,16 @@ def ball_codes(
     another length than the first row's are left out. Repeated rows count each. Equal entries: the
     lower index is used. An empty table gives no rows and no codebooks. `parts` has to divide the length.
     """
-    spark, columns = vectors.sparkSession, [key, *carry]
-    whole = stored(whole_vectors(vectors, scale, columns, vector), "vectors")
-    codes, error = fresh(whole, "codes"), fresh(whole, "error")
-    if {codes, error} != {"codes", "error"} or "vec" in [c.lower() for c in columns]:
-        raise ValueError("the names vec, codes and error are the operator's own")
-    order = [F.col(f"`{key}`").asc_nulls_last(), F.col("vec")]
+    spark, names = vectors.sparkSession, [key, *carry]
+    if {"codes", "error"} & {c.lower() for c in names}:
+        raise ValueError("the result has columns codes and error of its own")
+    columns = [f"c{i}" for i in range(len(names))]
+    given = vectors.select(*[F.col(f"`{c}`").alias(own) for c, own in zip(names, columns)], F.col(f"`{vector}`").alias("given"))
+    whole = stored(whole_vectors(given, scale, columns, "given"), "vectors")
+    order = [F.col(columns[0]).asc_nulls_last(), F.col("vec")]
     first = whole.orderBy(*order).limit(1).collect()
     if not first:
-        return whole.select(*columns, F.array().cast("array<long>").alias("codes"), F.lit(0).cast("long").alias("error")), []
+        return whole.select(*columns, F.array().cast("array<long>").alias("codes"), F.lit(0).cast("long").alias("error")).toDF(*names, "codes", "error"), []
     size = len(first[0]["vec"])
     if size % parts:
         raise ValueError(f"vectors of {size} components have no {parts} equal parts")
@@ -230,4 +231,7 @@ def ball_codes(
 
     fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns)
     coded = rows.mapInArrow(run, f"{fields}, codes array<long>, error long")
-    return stored(coded, "codes"), [b.tolist() for b in books]
+    coded = stored(coded, "codes").toDF(*names, "codes", "error")
+    if folder:
+        drop_folder(spark, folder)
+    return coded, [b.tolist() for b in books]

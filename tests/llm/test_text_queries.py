@@ -39,7 +39,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert [sum(n.startswith(f"op{k}_") for n in entry.queries()) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in entry.queries()) for k in range(1, 14)] == [1] * 13
     assert "pipeline" in entry.queries() and corpus_pipeline.ORACLE_SQL is None
 
 
