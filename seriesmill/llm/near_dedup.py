@@ -7,12 +7,14 @@
 2. Documents with the same shingle set are one class; only one of each goes on.
 3. In a bucket only edges from its most central class to the others are candidates: a star.
 4. An edge is confirmed on the full sets. A centre's text is sent once per salt, not per member.
-5. What a star leaves open: two members that are not in one component and of which neither was a
-   centre. Such buckets get another centre, for `STAR_ROUNDS` rounds at most, until their pairs
-   are fewer than the rows of all buckets. The pairs that are open then are confirmed one by one,
-   but for those that the distances to the centres (triangle inequality) or the numbers of
-   shingles that no other open class has rule out. So every pair that shares a bucket is either confirmed,
-   refuted, or known to be in one component.
+5. What a star leaves open are pairs of two components, of which one member at least is no link of
+   the centre. They are found by what differs from the centre: with D(x) the shingles that x and the
+   centre do not share, x and y are linked if and only if |D(x)| + |D(y)| - 2 |D(x) & D(y)| is at most
+   1/9 of |x| + |y| (for a similarity of 0.8). So the two differ from the centre in the same way
+   to a large part, and a prefix filter joins them on the rarest shingles of their differences, with bounds
+   by size and position. A third of all documents around one centre makes few such pairs. Classes of quite
+   another size than the centre are joined in the same way by their whole sets (an empty centre).
+   So every pair that shares a bucket is confirmed, refuted, or known to be in one component.
 """
 
 from __future__ import annotations
@@ -32,7 +34,10 @@ from seriesmill.llm.stars import meet, narrowed
 
 ROWS, BANDS = 6, 40
 BINS = ROWS * BANDS
-STAR_ROUNDS = 2
+# Stars after the first, before what is open is joined by differences.
+STAR_ROUNDS = 0
+# Differences are taken from a centre of at least half and at most twice the size; the rest, and what may be linked with them, are joined as they are.
+LIKE = 0.5
 
 
 def donors(block: int, tries: int) -> np.ndarray:
@@ -104,54 +109,37 @@ def texts_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, key: str, te
     return narrowed(rows, nodes.select(*on), on).join(nodes, on).select("node", "text")
 
 
-def own_shingles(texts: DataFrame, shingle: int) -> DataFrame:
-    """How many shingles each class has that no other of these classes has: node, own."""
+def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int, key: str, text: str, differences: bool = False) -> DataFrame:
+    """`pairs` (a, b), each once, with the sizes of both sets and `linked`, by the full sets.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, 2 << 20):
-                sets = shingle_sets(batch.column(1), shingle)
-                nodes = np.repeat(np.asarray(batch.column(0)), [len(s) for s in sets])
-                values = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(values)], names=["node", "shingle"])
-
-    each = texts.mapInArrow(run, "node long, shingle long")
-    alone = each.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("high")).filter("node = high")
-    return alone.groupBy("node").agg(F.count("*").alias("own"))
-
-
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int, key: str, text: str) -> DataFrame:
-    """`pairs` (a, b) with `distance` (1 less the similarity) by the full sets of both, and `linked`.
-
-    Pairs of unlike size are refuted unread; their distance is null.
+    With `differences`: `delta`, the shingles that one of them has alone, if they are alike in size, and `own`, those of b, if not.
     """
-    of = lambda side: classes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"))
-    sized = pairs.join(of("a"), "a").join(of("b"), "b")
-    near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    sized = stored(sized.withColumn("near", near).select("a", "b", "near"), "pairs")
-    asked = sized.filter("near").select("a", "b")
-    texts = texts_of(asked.select("a").union(asked.select("b")).distinct().toDF("node"), classes, docs, key, text)
+    pairs = stored(pairs, "pairs")
+    texts = texts_of(pairs.select("a").union(pairs.select("b")).distinct().toDF("node"), classes, docs, key, text)
+
+    unlike = LIKE * 100 / percent + 0.01
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre = None
         for whole in batches:
-            for batch in slices(whole):
-                left, right, distance, linked = [], [], [], []
+            for batch in slices(whole, (2 if differences else 12) << 20):
+                rows = []
                 for a, b, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), shingle_sets(batch.column(3), shingle)):
                     if b is None:
                         centre = own
                         continue
                     common = len(np.intersect1d(centre, own, assume_unique=True))
                     union = len(centre) + len(own) - common
-                    for column, value in zip((left, right, distance, linked), (a, b, 1 - common / union, common * 100 >= percent * union)):
-                        column.append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())],
-                    names=["a", "b", "distance", "linked"],
-                )
+                    ratio = min(len(centre), len(own)) / max(len(centre), len(own))
+                    delta = np.setxor1d(centre, own, assume_unique=True).view(np.int64) if differences and ratio >= LIKE else None
+                    rows.append((a, b, len(centre), len(own), common * 100 >= percent * union, delta, own.view(np.int64) if differences and ratio < unlike else None))
+                columns = list(zip(*rows)) if rows else [[]] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, made)], schema=made)
 
-    found = meet(asked, texts).mapInArrow(compare, "a long, b long, distance double, linked boolean").distinct()
-    return stored(sized.select("a", "b").join(found, ["a", "b"], "left").withColumn("linked", F.coalesce("linked", F.lit(False))), "confirmed")
+    numbers = pa.list_(pa.int64())
+    made = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("linked", pa.bool_()), ("delta", numbers), ("own", numbers)])
+    found = meet(pairs, texts).mapInArrow(compare, "a long, b long, n_a long, n_b long, linked boolean, delta array<long>, own array<long>")
+    return stored(found if differences else found.drop("delta", "own"), "confirmed")
 
 
 def placed_sizes(buckets: DataFrame) -> DataFrame:
@@ -160,27 +148,48 @@ def placed_sizes(buckets: DataFrame) -> DataFrame:
     return buckets.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("degree"))
 
 
-def open_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that may still be links, each once.
+def pairs_by_difference(open_rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of two components that may be links, from rows of centre, node, label, n_a (the centre's size), n_b, delta, own.
 
-    The distance is a metric, so two classes whose distances to a common centre differ by more than a
-    link allows are none. Nor are two of one component, or two that have too few shingles which any
-    other open class has too (`shared`): their intersection is no larger than the lesser of these.
+    Two sets with at least t common elements share one among the first d - t + 1 of each, whatever the order; here
+    the rarest come first. Elements that only one component has, or no class that the centre is not linked with,
+    cannot be common to such a pair and come before all others.
     """
-    other = open_rows.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "n", "shared", "apart")])
-    allowed = 1 - percent / 100 + 1e-9
-    told_apart = F.exists(F.zip_with("apart", "apart_b", lambda x, y: F.coalesce(F.abs(x - y) > allowed, F.lit(False))), lambda t: t)
-    common = F.least("shared", "shared_b")
-    sized = common * 100 >= (F.col("n") + F.col("n_b") - common) * percent
-    mine = open_rows.withColumnRenamed("bucket", "own_bucket")
-    on = (F.col("own_bucket") == F.col("bucket")) & (F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & sized & ~told_apart
-    return mine.join(other, on).select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
-
-
-def few_pairs(open_rows: DataFrame, buckets: DataFrame) -> bool:
-    """Whether all pairs of the open buckets are fewer than the rows of all buckets: another star is not worth its jobs."""
-    sizes = open_rows.groupBy("bucket").agg(F.count("*").alias("n"))
-    return (sizes.agg(F.sum(F.expr("n * (n - 1) / 2"))).first()[0] or 0) <= buckets.count()
+    rate = (100 - percent) / (100 + percent)  # of both sizes, that may differ
+    small = 1e-9
+    bases = F.array(
+        F.struct(F.lit(1).alias("base"), F.col("n_a").cast("double").alias("nc"), F.col("delta").alias("tokens")),
+        F.struct(F.lit(0).alias("base"), F.lit(0.0).alias("nc"), F.col("own").alias("tokens")),
+    )
+    rows = open_rows.select("centre", "node", "label", F.col("n_b").alias("n"), F.inline(bases)).filter("tokens is not null")
+    d, n, nc = F.size("tokens").cast("double"), F.col("n"), F.col("nc")
+    outside = d > rate * (n + nc) + small
+    least = F.when(F.col("base") == 0, n * (percent / 100)).otherwise(
+        F.when(outside, F.least((1 - rate) / 2 * d, (d - rate * (n + nc)) / 2 + (1 - rate) / 2)).otherwise((1 - rate) / 2 * d)
+    )
+    rows = rows.withColumns({"d": d, "outside": outside, "prefix": d - F.greatest(F.ceil(least - small), F.lit(1)) + 1})
+    group = ["centre", "base"]
+    # A group has pairs only with two components and a class that its centre is not linked with.
+    alive = rows.groupBy(*group).agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("outside").alias("any")).filter("low != high and any")
+    rows = stored(rows.join(alive.select(*group), group), "differences")
+    each = rows.select(*group, "node", "label", "outside", F.explode("tokens").alias("token"))
+    shared = each.groupBy(*group, "token").agg(F.count("*").alias("times"), F.min("label").alias("low"), F.max("label").alias("high"), F.max("outside").alias("any"))
+    shared = shared.filter("low != high and any").select(*group, "token", "times")
+    listed = each.join(shared, [*group, "token"]).groupBy(*group, "node").agg(F.array_sort(F.collect_list(F.struct("times", "token"))).alias("common"))
+    placed = listed.join(rows.drop("tokens"), [*group, "node"])
+    placed = placed.select(*group, "node", "label", "n", "d", "outside", "prefix", F.size("common").alias("c"), F.posexplode("common").alias("at", "entry"))
+    placed = placed.withColumn("at", F.col("d") - F.col("c") + F.col("at")).filter("at < prefix")
+    placed = stored(placed.select(*group, F.col("entry.token").alias("token"), "node", "label", "n", "d", "outside", "at"), "prefixes")
+    left = placed.filter("outside").drop("outside")
+    right = placed.select(*group, "token", *[F.col(c).alias(f"{c}_") for c in ("node", "label", "n", "d", "at", "outside")])
+    needed = (F.col("d") + F.col("d_") - rate * (F.col("n") + F.col("n_"))) / 2
+    possible = F.least(F.col("d") - F.col("at"), F.col("d_") - F.col("at_"))
+    sized = F.least("n", "n_") * 100 >= F.greatest("n", "n_") * percent
+    once = ~F.col("outside_") | (F.col("node") < F.col("node_"))
+    right = right.withColumnsRenamed({c: f"{c}_r" for c in (*group, "token")})
+    on = [F.col(c) == F.col(f"{c}_r") for c in (*group, "token")] + [F.col("label") != F.col("label_"), once, sized, possible + small >= needed]
+    found = left.join(right, on)
+    return found.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -207,35 +216,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, key: s
 
     sizes = placed_sizes(buckets)
     names = classes.select("node", F.col("node").alias("label"))
-    open_rows = buckets.join(sizes, "node").join(classes.select("node", "n"), "node")
-    open_rows = open_rows.select("bucket", "node", "n", "degree", F.col("node").alias("label"), F.array().cast("array<double>").alias("apart"))
-    tested = None
-    for round_number in range(STAR_ROUNDS + 1):
-        last = round_number == STAR_ROUNDS or round_number > 0 and few_pairs(open_rows, buckets)
-        if last:
-            own = own_shingles(texts_of(open_rows.select("node").distinct(), classes, docs, key, text), shingle)
-            open_rows = stored(open_rows.join(own, "node", "left").withColumn("shared", F.col("n") - F.coalesce("own", F.lit(0))), "shared")
-            pairs = open_pairs(open_rows, percent)
-        else:
-            centre = open_rows.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("node"), "label")).alias("c"))
-            centre = centre.select("bucket", (-F.col("c.col2")).alias("centre"), F.col("c.label").alias("of_centre"))
-            star = open_rows.join(centre, "bucket")
-            pairs = star.filter("label != of_centre").select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "anti")
-        confirmed = confirm(pairs, classes, docs, shingle, percent, key, text)
-        tested = confirmed if tested is None else tested.unionByName(confirmed)
+    open_rows = buckets.join(sizes, "node").select("bucket", "node", "degree", F.col("node").alias("label"))
+    for _ in range(STAR_ROUNDS + 1):
+        centre = open_rows.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("node"))).alias("c")).select("bucket", (-F.col("c.col2")).alias("centre"))
+        star = stored(open_rows.join(centre, "bucket").filter("node != centre").drop("label"), "star")
+        confirmed = confirm(star.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), classes, docs, shingle, percent, key, text, True)
         names = relabel(names, confirmed.filter("linked").select("a", "b"))
-        if last:
-            break
         # Centres are done with; a bucket stays open while the others are of several components.
-        rest = star.filter("node != centre").drop("label").join(names, "node")
+        rest = star.join(names, "node")
         split = rest.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("bucket")
-        rest = rest.join(split, "bucket", "semi").withColumns({"a": F.least("centre", "node"), "b": F.greatest("centre", "node")})
-        rest = rest.join(tested.select("a", "b", "distance"), ["a", "b"], "left").withColumn("apart", F.concat("apart", F.array("distance")))
-        open_rows = stored(rest.select("bucket", "node", "n", "degree", "label", "apart"), "open")
-        if open_rows.isEmpty():
-            break
+        rest = stored(rest.join(split, "bucket", "semi"), "open")
+        open_rows = rest.drop("centre")
+    still = rest.select("centre", "node", "label").distinct().join(confirmed.drop("linked").withColumnsRenamed({"a": "centre", "b": "node"}), ["centre", "node"])
+    confirmed = confirm(pairs_by_difference(still, percent), classes, docs, shingle, percent, key, text)
+    names = relabel(names, confirmed.filter("linked").select("a", "b"))
     named = classes.join(names, "node")
     least_key = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     named = named.join(least_key, "label").select("digest", "component_id")
