@@ -27,6 +27,7 @@ MARKS = tuple(".,!?;:")
 # Byte-level vocabularies write a byte as its Latin-1 character if that is printable, else as the next from 256 on.
 _PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+SPACE_CHAR = chr(BYTE_CHARS[0x20])
 
 
 class Distinct:
@@ -90,42 +91,43 @@ class Cache:
 class Encoder:
     """Ids by the tokenizers library and the given vocabulary file, special strings as ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache = Cache(self._encode)
+        self.model = self.tokenizer.model
+        self.cache = Cache(self._encode, cached)
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.marks = dict(zip(MARKS, self._full(list(MARKS))))
 
     def _full(self, strings: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
 
-    def _word(self, text: str) -> bytes:
-        """One piece of letters needs no pre-tokenising: the library's model takes it as it is."""
-        tokens = self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(BYTE_CHARS))
-        return array(self.code, [t.id for t in tokens]).tobytes()
+    def _word(self, word: str) -> bytes:
+        """A space and letters are one piece, which needs no pre-tokenising: the library's model takes it as it is."""
+        piece = SPACE_CHAR + (word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS))
+        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def _encode(self, keys: list) -> list[bytes]:
         """Words of Latin letters, with a closing mark or without, go to the model, all else the full way.
 
         The mark is a piece of its own, so a word's ids serve for all marks.
         """
-        out, rest, young = [None] * len(keys), [], self.cache.young
+        out, rest, young, old, marks = [None] * len(keys), [], self.cache.young, self.cache.old, self.marks
         for i, k in enumerate(keys):
-            mark = ""
-            if isinstance(k, str) and k[-1:] in MARKS:
-                k, mark = k[:-1], k[-1]
-            if isinstance(k, str) and k.isalpha() and max(k) < "ɐ":
-                ids = self.cache.get(k)
-                if ids is None:
-                    ids = young[k] = self._word(" " + k)
-                out[i] = ids + self.marks[mark] if mark else ids
-            else:
-                rest.append(i)
+            if k.__class__ is str:
+                mark = marks.get(k[-1:])
+                word = k if mark is None else k[:-1]
+                if word.isalpha() and (word.isascii() or max(word) < "ɐ"):
+                    ids = young.get(word) or old.get(word)
+                    if ids is None:
+                        ids = young[word] = self._word(word)
+                    out[i] = ids if mark is None else ids + mark
+                    continue
+            rest.append(i)
         for i, ids in zip(rest, self._full([segment_text(keys[i]) for i in rest])):
             out[i] = ids
         return out
