@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from seriesmill.llm.common import fresh, scratch_dir, small_batches
-from seriesmill.llm.segments import Cache, Distinct, encoder, slices
+from seriesmill.llm.segments import Cache, Distinct, Encoder, slices
 
 # Bytes of text per block of documents.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+# Segments kept per generation of a worker's caches.
+CACHED = 120_000
 
 
 def gallop(targets: np.ndarray, ends: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -60,7 +62,7 @@ class Aligner:
     def __init__(self, bpe: str, pieces: str):
         import sentencepiece
 
-        self.a = encoder(bpe)
+        self.a = Encoder(bpe, CACHED)
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         a_bytes = {i: len(t) for t, i in self.a.tokenizer.get_vocab(with_added_tokens=False).items()}
         self.a_size = np.array([a_bytes.get(i, 0) for i in range(max(a_bytes) + 1)], np.int64)
@@ -69,7 +71,7 @@ class Aligner:
         self.b_size = np.array(list(map(len, self.b_bytes)), np.int64)
         self.width = n
         self.a_text, self.b_text = list(map(str, range(len(self.a_size)))), list(map(str, range(n)))
-        self.cache = Cache(self._align, 300_000)
+        self.cache = Cache(self._align, CACHED)
 
     def _align(self, keys: list) -> list[tuple]:
         """Per segment: tokens of A and B, groups, their text, and codes of the linked pairs; 0 tokens if the bytes differ."""
