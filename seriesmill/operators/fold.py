@@ -401,7 +401,7 @@ def fold(
 ) -> DataFrame:
     """Run `kernel` over the rows of every key in time order; gives `df` with its outputs added."""
     keys = tuple(keys)
-    hot = find_hot(df, keys, order[0], policy) if hot is None else hot
+    hot = find_hot(df, keys, order[0], policy, order[1] if len(order) > 1 else None) if hot is None else hot
     schema = T.StructType([*df.schema.fields, *kernel.outputs.fields])
     if not hot:
         return _arrange(df, keys, order).mapInArrow(_full_pass(kernel, keys, schema), schema)

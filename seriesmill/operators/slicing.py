@@ -1,7 +1,7 @@
 """Ordered operators that survive a key holding a large share of all rows.
 
 A plain `Window.partitionBy(key)` puts all rows of a key into one task. Here the keys that are
-too large for that are found first (a map-side combined count), their time range is cut into
+too large for that are found first (a map-side combined count), their rows are cut by rank into
 slices of similar size, and windows run per (key, slice). What a slice needs from its
 neighbours comes from a small table with one row per slice of a large key. Keys of ordinary
 size keep a single slice and a plain window.
@@ -27,12 +27,11 @@ class SlicePolicy:
     """When a key is cut up, and how finely.
 
     `max_rows` is the number of rows of one key a task may take. It grows where needed to keep
-    the number of slices, and with it every broadcast made here, below about `2 * max_slices`.
+    the number of slices, and with it every broadcast made here, below about `3 * max_slices`.
     """
 
     max_rows: int = 4_000_000
     max_slices: int = 10_000
-    cells_per_slice: int = 16
 
 
 DEFAULT_POLICY = SlicePolicy()
@@ -49,10 +48,11 @@ def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str =
 
 @dataclass
 class HotKeys:
-    """The keys to cut up, with the slice of every time cell of their range."""
+    """The keys to cut up, with the place in the order (time, then tie breaker) at which every slice begins."""
 
     keys: tuple[str, ...]
     ts: str
+    tie: str | None = None
     table: DataFrame | None = None
     n_slices: int = 0
 
@@ -60,85 +60,100 @@ class HotKeys:
         return self.table is not None
 
     def _slice_of(self) -> Column:
-        cell = F.expr(f"({self.ts} - _t0) div _width")
-        last = F.size("_cells") - 1
-        return F.element_at("_cells", F.least(F.greatest(cell, F.lit(0)), last).cast("int") + 1)
+        """1 and the number of cuts at or before the row: whole blocks of them by their first, then within one block."""
+        tie = F.coalesce(F.col(self.tie), F.lit(LOWEST)) if self.tie else F.lit(LOWEST)
+        here = F.struct(F.col(self.ts).alias("t"), tie.alias("s"))
+        passed = F.size(F.filter("_heads", lambda c: c <= here))
+        within = F.size(F.filter(F.element_at("_blocks", passed), lambda c: c <= here))
+        return F.when(passed == 0, 1).otherwise(1 + (passed - 1) * F.size(F.element_at("_blocks", 1)) + within)
 
     def tag(self, df: DataFrame) -> DataFrame:
         """Add the slice number: 0 for every key of ordinary size, else 1 and up."""
         joined = join_small(df, self.table, self.keys)
-        return joined.withColumn(SLICE, F.coalesce(self._slice_of(), F.lit(0))).drop("_t0", "_width", "_cells")
+        return joined.withColumn(SLICE, F.when(F.col("_heads").isNull(), 0).otherwise(self._slice_of())).drop("_heads", "_blocks")
 
     def only(self, tagged: DataFrame) -> DataFrame:
         """Rows of the keys that are cut up."""
         return tagged.filter(F.col(SLICE) > 0)
 
 
+LOWEST = -(1 << 63)
+# Cuts per row limit: with quantiles this much closer than `max_rows`, their error keeps a slice below the limit.
+FINER = 1.5
+
+
+def _quantiles(rows: DataFrame, keys: Sequence[str], value: str, pieces: dict[tuple, int]) -> dict[tuple, list[int]]:
+    """For every listed key that many quantiles of `value`, by mergeable sketches: one pass per power of two of pieces."""
+    classes: dict[int, list[tuple]] = {}
+    for key, n in pieces.items():
+        classes.setdefault(1 << (n - 1).bit_length(), []).append(key)
+    out, fields = {}, [rows.schema[k] for k in keys]
+    for n, members in classes.items():
+        if n < 2:
+            continue
+        listed = small_table(rows.sparkSession, members, T.StructType(fields))
+        fractions = [i / n for i in range(1, n)]
+        sketch = F.percentile_approx(value, fractions, 16 * n).alias("_q")
+        for r in join_small(rows, listed, keys, "inner").groupBy(*keys).agg(sketch).collect():
+            out[tuple(r[k] for k in keys)] = r["_q"]
+    return out
+
+
 def find_hot(
-    df: DataFrame, keys: Sequence[str], ts: str = "ts_ns", policy: SlicePolicy = DEFAULT_POLICY
+    df: DataFrame, keys: Sequence[str], ts: str = "ts_ns", policy: SlicePolicy = DEFAULT_POLICY, tie: str | None = None
 ) -> HotKeys:
-    """Find the keys with more than `policy.max_rows` rows and cut their time range.
+    """Find the keys with more than `policy.max_rows` rows and cut their rows by rank.
 
-    Collects one row per such key, then one row per time cell of them; both numbers are bounded
-    by the policy, not by the data.
+    Cuts are quantiles of the time, and where many rows have one time, of the whole number `tie` that
+    breaks the tie; so a burst is cut like any other rows. The row limit is settled by one aggregate over the
+    counts, before anything is collected: one row per large key, then their quantiles, both
+    bounded by the policy.
     """
     keys = tuple(keys)
     if df.isStreaming:
         return HotKeys(keys, ts)
-    rows = df.select(*keys, ts)
-    large = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-        .filter((F.col("_n") > policy.max_rows) & (F.col("_hi") > F.col("_lo")))
-        .collect()
-    )
-    limit = policy.max_rows
-    while sum(math.ceil(r["_n"] / limit) for r in large if r["_n"] > limit) > 2 * policy.max_slices:
-        limit *= 2
-    large = [r for r in large if r["_n"] > limit]
+    tie = tie if tie and isinstance(df.schema[tie].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)) else None
+    rows = df.select(*dict.fromkeys((*keys, ts, *([tie] if tie else []))))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo")).filter(F.col("_n") > policy.max_rows)
+    limits = [policy.max_rows << i for i in range(40)]
+    slices = [F.sum(F.when(F.col("_n") > m, F.ceil(F.col("_n") / m))).alias(f"_s{i}") for i, m in enumerate(limits)]
+    needed = counts.agg(*slices).first()
+    if not needed[0]:
+        return HotKeys(keys, ts)
+    limit = next(m for i, m in enumerate(limits) if (needed[i] or 0) <= 2 * policy.max_slices)
+    large = {tuple(r[k] for k in keys): (r["_n"], r["_lo"]) for r in counts.filter(F.col("_n") > limit).collect()}
     if not large:
         return HotKeys(keys, ts)
 
-    spark = df.sparkSession
-    key_fields = [df.schema[k] for k in keys]
-    plan = {}
-    for r in large:
-        cells = math.ceil(r["_n"] / limit) * policy.cells_per_slice
-        plan[tuple(r[k] for k in keys)] = (r["_lo"], (r["_hi"] - r["_lo"]) // cells + 1, cells)
-    ranges = small_table(
-        spark,
-        [(*k, lo, width) for k, (lo, width, _) in plan.items()],
-        T.StructType([*key_fields, T.StructField("_t0", T.LongType()), T.StructField("_width", T.LongType())]),
-    )
-    filled = (
-        join_small(rows, ranges, keys, "inner")
-        .groupBy(*keys, F.expr(f"({ts} - _t0) div _width").alias("_cell"))
-        .count()
-        .collect()
-    )
-    per_key: dict[tuple, dict[int, int]] = {k: {} for k in plan}
-    for r in filled:
-        per_key[tuple(r[k] for k in keys)][r["_cell"]] = r["count"]
-    table, n_slices = [], 0
-    for k, (lo, width, cells) in plan.items():
-        slice_no, rows_in, of_cell = 1, 0, []
-        for c in range(cells):
-            n = per_key[k].get(c, 0)
-            if rows_in and rows_in + n > limit:
-                slice_no, rows_in = slice_no + 1, 0
-            rows_in += n
-            of_cell.append(slice_no)
-        n_slices += slice_no
-        table.append((*k, lo, width, of_cell))
-    schema = T.StructType(
-        [
-            *key_fields,
-            T.StructField("_t0", T.LongType()),
-            T.StructField("_width", T.LongType()),
-            T.StructField("_cells", T.ArrayType(T.IntegerType())),
-        ]
-    )
-    return HotKeys(keys, ts, small_table(spark, table, schema), n_slices)
+    # Sketches hold doubles, so they get the time since the key's first row. A cut may be anywhere, but a crowded time has to be exact.
+    fields = [df.schema[k] for k in keys]
+    lows = small_table(df.sparkSession, [(*k, lo) for k, (_, lo) in large.items()], T.StructType([*fields, T.StructField("_lo", T.LongType())]))
+    since = join_small(rows, lows, keys, "inner").withColumn("_at", (F.col(ts) - F.col("_lo")).cast("double").cast("long"))
+    found = _quantiles(since, keys, "_at", {k: math.ceil(FINER * n / limit) for k, (n, _) in large.items()})
+    cuts = {k: {(large[k][1] + a, LOWEST) for a in q if a > 0} for k, q in found.items()}
+    # A time that is a quantile twice holds about as many rows as a slice.
+    crowded = [(*k, t) for k, q in found.items() for t in sorted({a for a, b in zip(q, q[1:]) if a == b})]
+    if tie and tie != ts and crowded:
+        listed = small_table(df.sparkSession, crowded, T.StructType([*fields, T.StructField("_at", T.LongType())]))
+        same = join_small(since, listed, (*keys, "_at"), "inner")
+        full = same.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_n"), F.min(tie).alias("_least")).filter(F.col("_n") > limit / FINER).collect()
+        held = {tuple(r[c] for c in (*keys, ts)): r for r in full}
+        for (*key, t), q in _quantiles(same, (*keys, ts), tie, {k: math.ceil(FINER * r["_n"] / limit) for k, r in held.items()}).items():
+            least = held[*key, t]["_least"]
+            cuts[tuple(key)] |= {(t, s) for s in q if least is not None and s > least}
+            if t > large[tuple(key)][1]:
+                cuts[tuple(key)].add((t, LOWEST))
+    cuts = {k: sorted(c) for k, c in cuts.items() if c}
+    if not cuts:
+        return HotKeys(keys, ts)
+    pair = T.ArrayType(T.StructType([T.StructField("t", T.LongType()), T.StructField("s", T.LongType())]))
+    schema = T.StructType([*fields, T.StructField("_heads", pair), T.StructField("_blocks", T.ArrayType(pair))])
+    table = []
+    for k, c in cuts.items():
+        step = max(1, math.isqrt(len(c)))
+        blocks = [[{"t": t, "s": s} for t, s in c[i : i + step]] for i in range(0, len(c), step)]
+        table.append((*k, [block[0] for block in blocks], blocks))
+    return HotKeys(keys, ts, tie, small_table(df.sparkSession, table, schema), sum(len(c) + 1 for c in cuts.values()))
 
 
 class Ordered:
@@ -157,7 +172,7 @@ class Ordered:
     ):
         self.keys = tuple(keys)
         self.order = tuple(order)
-        self.hot = find_hot(df, keys, order[0], policy) if hot is None else hot
+        self.hot = find_hot(df, keys, order[0], policy, order[1] if len(order) > 1 else None) if hot is None else hot
         self.df = self.hot.tag(df) if self.hot else df
         self.part = (*self.keys, SLICE) if self.hot else self.keys
 

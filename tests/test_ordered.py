@@ -81,6 +81,22 @@ def test_number_of_slices_has_a_limit(spark):
     assert hot.n_slices <= 2 * 30
 
 
+@pytest.mark.parametrize("spread", [0, 1_000_000_000])
+def test_a_burst_is_cut_by_rank(spark, spread):
+    """99 % of a key's rows at one time, or within one second of a year, make slices of the usual size, in order."""
+    year = 365 * 86_400 * 1_000_000_000
+    late = F.when(F.col("id") % 100 == 0, F.col("id") * (year // 20_000)).otherwise(year // 3 + (F.col("id") * 7919) % (spread + 1))
+    df = spark.range(20_000).select(F.lit("k").alias("series"), (late + 1_700_000_000_000_000_007).alias("ts_ns"), F.col("id").alias("seq"))
+    hot = find_hot(df, ["series"], policy=SlicePolicy(max_rows=1000), tie="seq")
+    place = F.struct("ts_ns", "seq")
+    slices = hot.tag(df).groupBy("_slice").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count("*").alias("n")).orderBy("_slice").collect()
+    assert len(slices) >= 20 and max(r["n"] for r in slices) <= 2000
+    assert all(x["b"] < y["a"] for x, y in zip(slices, slices[1:]))
+    got = Ordered(df, ["series"], policy=SlicePolicy(max_rows=1000)).position("i").lag("before", "seq").done().orderBy("i").collect()
+    assert [r["i"] for r in got] == list(range(20_000))
+    assert all(x["seq"] == y["before"] and (x["ts_ns"], x["seq"]) < (y["ts_ns"], y["seq"]) for x, y in zip(got, got[1:]))
+
+
 def brute_bins(events, width, carry=None):
     """Bins from the definition, nanosecond spans by hand."""
     out, by_key = {}, {}
