@@ -13,7 +13,7 @@ from seriesmill.plans.registered import query, rounded, user_events
 from seriesmill.plans.registry_queries import MATCH_SQL, no_registry, requests
 from seriesmill.schemas import DAY, HOUR, REGISTRY
 from seriesmill.session import ROCKSDB, small_table
-from seriesmill.sinks import tables
+from seriesmill.sinks import archive_files, tables
 from seriesmill.sources import archive, captures
 from seriesmill.streaming import folds, jobs
 
@@ -421,3 +421,72 @@ def status_item_rows(spark, sf_dir):
     return channel.select(F.lit("channel").alias("item"), F.col("channel").alias("name"), "ts_ns", "kind").unionByName(
         connection.select(F.lit("connection").alias("item"), F.col("addr").alias("name"), "ts_ns", "kind")
     )
+
+
+# Tables as versioned lists of files.
+
+START = 1_704_067_200 * 1_000_000_000  # 2024-01-01
+
+
+def in_batches(spark, sf_dir, n):
+    """Events with their places, dealt to `n` batches by number."""
+    rows = events(spark, sf_dir).withColumns({"shape_dims": F.array().cast("array<int>"), "scalar_type": F.lit("F64"), "fvalue": F.col("value")})
+    return rows.drop("value").withColumn("_batch", F.col("seq") % n)
+
+
+@query(
+    "k13_stored_retention",
+    f"""SELECT event_id AS seq, user_id AS series, epoch_ns(ts) AS ts_ns, value AS fvalue, {START} + (event_id % 6 + 1) * {5 * DAY} AS written_at
+ FROM events WHERE event_id % 6 >= 3""",
+)
+def stored_retention(spark, sf_dir):
+    """Six batches five days apart; after 30 days with a retention of 12 the last three are left, also of a file that holds older ones."""
+    archived, rows, keep = archive_files.ArchiveFiles(spark, scratch(spark)), in_batches(spark, sf_dir, 6), {"scalar": 12 * DAY}
+    for i in range(6):
+        archived.append(tables.event_rows(rows.filter(F.col("_batch") == i)), "events", i, START + (i + 1) * 5 * DAY)
+        if i == 3:  # joins the second to the fourth batch; the first is expired by then
+            archived.compact("events", START + 21 * DAY, least=2, retention=keep)
+    archived.expire("events", START + 30 * DAY, keep)
+    back = archived.read("events_scalar", written_after=START + 18 * DAY)
+    return back.select("seq", "series", "ts_ns", "fvalue", "written_at")
+
+
+@query(
+    "k14_tables",
+    "SELECT ts::DATE AS date, count(*) AS n, count(DISTINCT event_id) AS n_events, count(*) AS n_before, true AS few_files FROM events GROUP BY 1",
+)
+def compacted_tables(spark, sf_dir):
+    """Twelve micro-batches, joined to few files a day; a reader of the version before sees the same rows."""
+    archived, rows = archive_files.ArchiveFiles(spark, scratch(spark)), in_batches(spark, sf_dir, 12)
+    for i in range(12):
+        archived.append(tables.event_rows(rows.filter(F.col("_batch") == i)), "events", i, START + i)
+    before = archived.versions("events")[-1]
+    archived.compact("events", START + 2 * HOUR)
+    files = archived.files("events").groupBy("partition").agg(F.count("*").alias("files"))
+    files = files.select(F.get_json_object("partition", "$.date").cast("date").alias("date"), (F.col("files") <= 2).alias("few_files"))
+    now = archived.read("events_scalar").groupBy("date").agg(F.count("*").alias("n"), F.count_distinct("seq").alias("n_events"))
+    then = archived.read("events_scalar", version=before).groupBy("date").agg(F.count("*").alias("n_before"))
+    return now.join(then, "date").join(files, "date")
+
+
+def archived_events(spark, sf_dir):
+    """All events in files of a few thousand rows, with the indexes."""
+    archived = archive_files.ArchiveFiles(spark, scratch(spark))
+    archive_files.write_events(archived, _laid_out(spark, sf_dir), 0, START, rows_per_file=2000)
+    return archived
+
+
+@query(
+    "s12_pruned_range",
+    f"SELECT event_id AS seq, epoch_ns(ts) AS ts_ns, value AS fvalue FROM events WHERE user_id = 8 AND epoch_ns(ts) BETWEEN {FROM} AND {TO}",
+)
+def pruned_range(spark, sf_dir):
+    """One channel of a time range, read from the files whose zones can hold it."""
+    known = small_table(spark, [(8, "lab", "U8", 10, [], 0)], REGISTRY)
+    return archive.read_channel(archived_events(spark, sf_dir), known, "lab", "U8", FROM, TO).select("seq", "ts_ns", "fvalue")
+
+
+@query("j5_stored_series", GRID_SQL + " SELECT DISTINCT series FROM c WHERE grid BETWEEN 473600 AND 473650")
+def stored_series(spark, sf_dir):
+    """Active series by the stored grid index."""
+    return archived_events(spark, sf_dir).read("series_by_ts_msp", from_time=473600, to_time=473650).select("series").distinct()

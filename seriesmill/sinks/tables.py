@@ -87,10 +87,21 @@ def shaped(df: DataFrame, table: Table) -> DataFrame:
     )
 
 
+def partition_columns_as_they_are(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The same values in columns that are neither constant for the optimizer nor text that can be null.
+
+    For both the writer of partitioned files puts in a sort of its own by the partition columns, and
+    the sort by series and time before it is dropped. Empty text is stored as null, as null would be.
+    """
+    here = F.spark_partition_id() >= 0
+    text = lambda c: isinstance(df.schema[c].dataType, T.StringType)
+    return df.withColumns({c: F.coalesce(F.when(here, F.col(c)), F.lit("")) if text(c) else F.when(here, F.col(c)) for c in columns})
+
+
 def write(df: DataFrame, root: str, table: str, batch_id: int, sort: tuple[str, ...] | None = None) -> None:
     """Write one batch of one table, in place of an earlier attempt at the same batch."""
     spec = TABLES[table]
-    out = shaped(df, spec)
+    out = partition_columns_as_they_are(shaped(df, spec), spec.partition)
     order = sort or tuple(c for c in spec.key if c not in spec.partition)
     spread = out.hint("rebalance", *spec.partition) if spec.partition else out.hint("rebalance")
     writer = spread.sortWithinPartitions(*spec.partition, *order).write.mode("overwrite")

@@ -11,6 +11,7 @@ from seriesmill.operators.joins import join_sized
 from seriesmill.operators.layout import last_write_wins
 from seriesmill.operators.registry import series_of_channel
 from seriesmill.schemas import DAY
+from seriesmill.sinks.archive_files import ArchiveFiles
 from seriesmill.sinks.tables import TABLES, read
 
 
@@ -52,6 +53,18 @@ def read_range(
     return last_write_wins(found, TABLES[table].key, ("batch", "seq"))
 
 
+def read_channel(
+    archived: ArchiveFiles, registry: DataFrame, backend: str, channel: str, from_ns: int, to_ns: int, table: str = "events_scalar", written_after: int | None = None
+) -> DataFrame:
+    """Events of one channel in a time range, from the files whose zones can hold any.
+
+    A channel has one series per type and shape it ever had, so few are collected. The last write of an event wins.
+    """
+    series = [r["series"] for r in series_of_channel(registry, backend, channel).select("series").distinct().collect()]
+    found = archived.read(table, series, from_ns, to_ns, written_after=written_after)
+    return last_write_wins(found, TABLES[table].key, ("batch", "seq"))
+
+
 def active_series(grid_index: DataFrame, first_cell: int, last_cell: int) -> DataFrame:
     """Series with events in a range of grid cells."""
     return grid_index.filter(F.col("ts_msp_grid").between(first_cell, last_cell)).select("series").distinct()
