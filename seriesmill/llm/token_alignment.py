@@ -30,9 +30,9 @@ from seriesmill.llm.common import fresh, scratch_dir, small_batches
 from seriesmill.llm.segments import Cache, Distinct, Encoder, slices
 
 # Bytes of text per block of documents.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 # Segments kept per generation of a worker's caches.
-CACHED = 120_000
+CACHED = 70_000
 
 
 def gallop(targets: np.ndarray, ends: np.ndarray, begins: np.ndarray) -> np.ndarray:
