@@ -20,21 +20,21 @@ def binnable(events: DataFrame) -> DataFrame:
     return events.filter(F.col("scalar_type").isin(*BINNED_TYPES) & (F.size("shape_dims") == 0))
 
 
-def time_weighted_bins(
+def bin_runs(
     events: DataFrame,
     bin_ns: int = MINUTE,
     keys: Sequence[str] = ("series",),
     value: str = "value",
     *,
     max_carry_ns: int | None,
-    single_precision: bool = False,
     hot: HotKeys | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Count, minimum, maximum and time-weighted mean of every series and bin.
+    """Bins of every series, run-length coded: first_bin, last_bin, count, min, max, avg.
 
     A value holds until the next event of its series, at most for `max_carry_ns`; None holds it
-    however long the gap, which makes one row for every bin of it. Bins reach
+    however long the gap. The bins that lie wholly within a gap have that one value, so they are one
+    row, whatever their number; bins with an event or an end in them are rows of their own. Bins reach
     from the first event to the last; one without events has count 0 while a value is carried.
     """
     keys = tuple(keys)
@@ -46,15 +46,21 @@ def time_weighted_bins(
     until = F.coalesce("next_ts", "ts_ns")
     if max_carry_ns is not None:
         until = F.least(until, F.col("ts_ns") + max_carry_ns)
-    first = bucket("ts_ns", bin_ns)
-    rows = rows.withColumn("until", until).withColumn("first", first)
-    last = F.greatest(F.col("first"), bucket(F.col("until") - 1, bin_ns))
-    touched = rows.withColumn("bin", F.explode(F.sequence("first", last)))
-    start = F.greatest(F.col("ts_ns"), F.col("bin") * bin_ns)
-    overlap = F.greatest(F.least(F.col("until"), (F.col("bin") + 1) * bin_ns) - start, F.lit(0))
+    rows = rows.withColumn("until", until).withColumn("first", bucket("ts_ns", bin_ns))
+    rows = rows.withColumn("last", F.greatest(F.col("first"), bucket(F.col("until") - 1, bin_ns)))
+    first, last = F.col("first"), F.col("last")
+    # The two ends, which other events may share, and what lies between them, which no other can.
+    part = lambda a, b: F.struct(a.alias("first_bin"), b.alias("last_bin"))
+    parts = F.filter(
+        F.array(part(first, first), part(first + 1, last - 1), part(last, last)),
+        lambda x, i: (i == 0) | ((i == 1) & (x["first_bin"] <= x["last_bin"])) | ((i == 2) & (last > first)),
+    )
+    touched = rows.select("*", F.inline(parts))
+    start = F.greatest(F.col("ts_ns"), F.col("first_bin") * bin_ns)
+    overlap = F.greatest(F.least(F.col("until"), (F.col("last_bin") + 1) * bin_ns) - start, F.lit(0))
     touched = touched.withColumn("overlap", overlap.cast("double"))
-    binned = touched.groupBy(*keys, "bin").agg(
-        F.count_if(F.col("bin") == F.col("first")).alias("count"),
+    binned = touched.groupBy(*keys, "first_bin", "last_bin").agg(
+        F.count_if(F.col("first_bin") == F.col("first")).alias("count"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         F.sum(F.col("value") * F.col("overlap")).alias("_weighted"),
@@ -63,17 +69,47 @@ def time_weighted_bins(
         # aggregation can hash
         F.max(F.when(F.col("next_ts").isNull(), F.col("value"))).alias("_last"),
     )
-    avg = F.when(F.col("_weight") > 0, F.col("_weighted") / F.col("_weight")).otherwise(F.col("_last"))
+    # A run has one value; dividing its weight out again would only round it.
+    avg = F.when(F.col("first_bin") < F.col("last_bin"), F.col("min")).when(F.col("_weight") > 0, F.col("_weighted") / F.col("_weight")).otherwise(F.col("_last"))
+    return binned.select(*keys, "first_bin", "last_bin", "count", "min", "max", avg.alias("avg"))
+
+
+# Bins that a gap is taken apart into at a time.
+RUN_BLOCK = 4096
+
+
+def expand_runs(runs: DataFrame, bin_ns: int, from_bin: int | None = None, to_bin: int | None = None) -> DataFrame:
+    """Runs of bins as single bins (`bin`, `bin_ts_ns`), of the range asked; no array is longer than `RUN_BLOCK`, or the number of such blocks of a run."""
+    lo = F.col("first_bin") if from_bin is None else F.greatest("first_bin", F.lit(from_bin).cast("long"))
+    hi = F.col("last_bin") if to_bin is None else F.least("last_bin", F.lit(to_bin).cast("long"))
+    inside = runs.withColumns({"_lo": lo, "_hi": hi}).filter("_lo <= _hi")
+    inside = inside.withColumn("_b", F.explode(F.sequence("_lo", "_hi", F.lit(RUN_BLOCK).cast("long"))))
+    single = inside.withColumn("bin", F.explode(F.sequence("_b", F.least(F.col("_b") + RUN_BLOCK - 1, F.col("_hi")))))
+    own = [c for c in runs.columns if c not in ("first_bin", "last_bin", "count", "min", "max", "avg")]
+    return single.select(*own, "bin", (F.col("bin") * bin_ns).alias("bin_ts_ns"), "count", "min", "max", "avg")
+
+
+def time_weighted_bins(
+    events: DataFrame,
+    bin_ns: int = MINUTE,
+    keys: Sequence[str] = ("series",),
+    value: str = "value",
+    *,
+    max_carry_ns: int | None,
+    single_precision: bool = False,
+    from_bin: int | None = None,
+    to_bin: int | None = None,
+    hot: HotKeys | None = None,
+    policy: SlicePolicy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Count, minimum, maximum and time-weighted mean of every series and bin, of the range asked.
+
+    See `bin_runs`, which has a long gap in one row; here it makes one row for every bin of it.
+    """
+    runs = bin_runs(events, bin_ns, keys, value, max_carry_ns=max_carry_ns, hot=hot, policy=policy)
+    binned = expand_runs(runs, bin_ns, from_bin, to_bin)
     kind = "float" if single_precision else "double"
-    return binned.select(
-        *keys,
-        "bin",
-        (F.col("bin") * bin_ns).alias("bin_ts_ns"),
-        "count",
-        F.col("min").cast(kind).alias("min"),
-        F.col("max").cast(kind).alias("max"),
-        avg.cast(kind).alias("avg"),
-    )
+    return binned.withColumns({c: F.col(c).cast(kind) for c in ("min", "max", "avg")})
 
 
 def bin_patches(

@@ -100,6 +100,69 @@ class Lifecycle(Kernel):
         return state, {"transitions": pa.array(rows, type=_ARROW_TRANSITIONS)}
 
 
+# The states a channel without address goes through again and again.
+CYCLE = ("unknown_address", "search_pending", "no_address")
+
+
+class LifecycleSteps(Lifecycle):
+    """The same walk with the time-outs before a row as numbers: the state they start from, since when, how many.
+
+    States that end by themselves form one cycle (and a way out of `wait_status_series`), so any number
+    of time-outs is a division; a row takes constant memory however long the silence before it.
+    """
+
+    outputs = struct(passed_from=STRING, passed_since=LONG, passed=LONG, moved_from=STRING, moved_to=STRING, moved_addr=STRING)
+
+    def __init__(self, timeouts: Timeouts = Timeouts()):
+        super().__init__(timeouts)
+        self.round = sum(timeouts.next(name)[0] for name in CYCLE)
+
+    def skip(self, state: tuple, now: int) -> tuple[tuple, int]:
+        """Let time pass to `now`: the new state, and the number of time-outs."""
+        name, since, addr = state
+        n = 0
+        if name in CYCLE and now > since:
+            rounds = (now - since) // self.round
+            n, since = len(CYCLE) * rounds, since + rounds * self.round
+        while (step := self.timeouts.next(name)) and since + step[0] <= now:
+            name, since, n = step[1], since + step[0], n + 1
+        return (name, since, None if n else addr), n
+
+    def run(self, state, cols):
+        rows = []
+        for ts, event, event_addr in zip(cols["ts_ns"].tolist(), cols["event"], cols["addr"]):
+            before = state
+            state, n = self.skip(state, ts)
+            name, addr = respond(state[0], state[2], event, event_addr)
+            moved = (name, addr) != (state[0], state[2])
+            rows.append((before[0], before[1], n, *((state[0], name, addr) if moved else (None, None, None))))
+            if moved:
+                state = (name, ts, addr)
+        types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
+        return state, {n: pa.array(c, t) for n, c, t in zip(self.outputs.names, zip(*rows), types)}
+
+
+def _steps(rows: DataFrame, timeouts: Timeouts) -> DataFrame:
+    """Transitions from rows of a counted time-out `_k` (from 0) or of an event (`moved_to`)."""
+    stays, size = [timeouts.next(name)[0] for name in CYCLE], len(CYCLE)
+    states = F.array(*[F.lit(c) for c in CYCLE])
+    starts = F.array(*[F.lit(sum(stays[:i])).cast("long") for i in range(size)])
+    first = F.greatest(F.array_position(states, F.col("passed_from")) - 1, F.lit(0))
+    at = lambda column, n: F.element_at(column, (n % size + 1).cast("int"))
+    step = first + F.col("_k") + 1
+    # Whole rounds, and the time from the first state of the cycle to this one, less that to the state at the start.
+    spent = F.floor(step / size).cast("long") * F.lit(sum(stays)).cast("long") + at(starts, step) - at(starts, first)
+    out, wait = timeouts.next("wait_status_series")[1], timeouts.wait_status_series
+    event, cycling = F.col("moved_to").isNotNull(), F.col("passed_from").isin(*CYCLE)
+    return rows.select(
+        "channel",
+        F.when(event, F.col("passed_since")).when(cycling, F.col("passed_since") + spent).otherwise(F.col("passed_since") + wait).alias("ts_ns"),
+        F.when(event | ~cycling, F.col("passed_from")).otherwise(at(states, step - 1)).alias("before"),
+        F.when(event, F.col("moved_to")).when(cycling, at(states, step)).otherwise(F.lit(out)).alias("after"),
+        F.col("moved_addr").alias("addr"),
+    )
+
+
 def with_end(log: DataFrame, now_ns: int) -> DataFrame:
     """The log with one last `tick` per channel, so that stays end up to `now_ns`."""
     last = log.select("channel").distinct().select(
@@ -114,8 +177,16 @@ def with_end(log: DataFrame, now_ns: int) -> DataFrame:
 
 def transitions(log: DataFrame, timeouts: Timeouts = Timeouts(), **how) -> DataFrame:
     """State transitions of every channel from its lifecycle log (channel, ts_ns, seq, event, addr)."""
-    rows = fold(log.select("channel", "ts_ns", "seq", "event", "addr"), ["channel"], Lifecycle(timeouts), **how)
-    return rows.select("channel", F.inline("transitions"))
+    rows = fold(log.select("channel", "ts_ns", "seq", "event", "addr"), ["channel"], LifecycleSteps(timeouts), **how)
+    # One pass gives both kinds: the fold is not run twice.
+    moved = F.struct(F.col("moved_from").alias("passed_from"), F.col("ts_ns").alias("passed_since"), F.lit(0).cast("long").alias("passed"), F.col("moved_to"), F.col("moved_addr"))
+    timed = F.struct(F.col("passed_from"), F.col("passed_since"), F.col("passed"), F.lit(None).cast("string").alias("moved_to"), F.lit(None).cast("string").alias("moved_addr"))
+    both = rows.select("channel", F.inline(F.array(timed, moved))).filter("passed > 0 or moved_to is not null")
+    block = 4096
+    steps = F.when(F.col("passed") > 0, F.expr(f"(passed - 1) div {block}")).otherwise(0)
+    both = both.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), steps.cast("long"))))
+    last = F.greatest(F.least(F.col("passed") - 1, (F.col("_block") + 1) * block - 1), F.col("_block") * block)
+    return _steps(both.withColumn("_k", F.explode(F.sequence(F.col("_block") * block, last))), timeouts)
 
 
 def current_states(changes: DataFrame) -> DataFrame:

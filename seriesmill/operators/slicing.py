@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesmill.session import small_table
+from seriesmill.session import cut_lineage, small_table
 
 SLICE = "_slice"
 
@@ -274,3 +274,17 @@ class Ordered:
 
     def done(self) -> DataFrame:
         return self.df.drop(SLICE)
+
+
+def number_rows(df: DataFrame, order: Sequence[str], into: str) -> DataFrame:
+    """0-based place of every row in the order of the whole table, without a window over all of it.
+
+    Rows are dealt into ranges, which are written down; the counts of the ranges, one row each, give
+    where each begins, and rows are numbered within their range.
+    """
+    part = "_range"
+    ranged = cut_lineage(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+    before = F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    begins = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("_n")).select(part, F.coalesce(before, F.lit(0)).alias("_before"))
+    here = F.row_number().over(Window.partitionBy(part).orderBy(*order)).cast("long") - 1
+    return join_small(ranged.withColumn(into, here), begins, [part]).withColumn(into, F.col(into) + F.col("_before")).drop(part, "_before")

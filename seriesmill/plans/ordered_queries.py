@@ -41,6 +41,20 @@ def bins_per_user(spark, sf_dir):
     return _show_bins(bins.time_weighted_bins(events(spark, sf_dir), DAY, max_carry_ns=None))
 
 
+RUNS_SQL = f"""WITH {user_events()},
+n AS (SELECT *, coalesce(lead(ts_ns) OVER (PARTITION BY series ORDER BY ts_ns, seq), ts_ns) AS until FROM ev),
+g AS (SELECT *, ts_ns // {HOUR} AS a, greatest(ts_ns // {HOUR}, (until - 1) // {HOUR}) AS b FROM n)
+SELECT series, a + 1 AS first_bin, b - 1 AS last_bin, 0::BIGINT AS "count", value AS avg FROM g WHERE b - a > 2
+UNION ALL SELECT series, a + 1, a + 1, 0, value FROM g WHERE b - a = 2"""
+
+
+@query("a8_bin_runs", RUNS_SQL)
+def bin_runs(spark, sf_dir):
+    """Gaps between the events of a user, one row each, whatever their length."""
+    runs = bins.bin_runs(events(spark, sf_dir), HOUR, max_carry_ns=None)
+    return runs.filter("count = 0").select("series", "first_bin", "last_bin", "count", "avg")
+
+
 CARRY = 2 * HOUR
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.functions.values import normal_address, socket_address
 from seriesmill.operators import addresses, registry
-from seriesmill.operators.slicing import Ordered, SlicePolicy
+from seriesmill.operators.slicing import SlicePolicy, number_rows
 from seriesmill.plans.driver_tables import address_log, channel_requests, events, table
 from seriesmill.plans.registered import query
 from seriesmill.schemas import DAY, REGISTRY
@@ -116,10 +116,9 @@ def series_of_channel(spark, sf_dir):
 FROM r JOIN ids USING (backend, channel, scalar_type, dims) WHERE registered""",
 )
 def ordered_requests(spark, sf_dir):
-    """Found requests in request order. The place is counted in slices, as for any large key."""
+    """Found requests in request order, numbered by ranges."""
     found = registry.lookup(requests(spark, sf_dir), half_registered(spark, sf_dir)).filter("series is not null")
-    rows = Ordered(found.select("request_id", "series").withColumn("_all", F.lit(0)), ["_all"], ("request_id",))
-    return rows.position("place").done().drop("_all").orderBy("request_id")
+    return number_rows(found.select("request_id", "series"), ["request_id"], "place").orderBy("request_id")
 
 
 # Address history.

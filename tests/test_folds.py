@@ -8,10 +8,11 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from seriesmill.operators import kernels as K
+from seriesmill.operators import kernels as K, lifecycle
 from seriesmill.operators.fold import Chain, fold
-from seriesmill.operators.lifecycle import Lifecycle, Timeouts
+from seriesmill.operators.lifecycle import CYCLE, Lifecycle, LifecycleSteps, Timeouts, respond
 from seriesmill.operators.slicing import SlicePolicy
+from seriesmill.schemas import SECOND
 
 SMALL = SlicePolicy(max_rows=40)
 
@@ -250,3 +251,29 @@ def test_jobs_do_not_grow_with_the_slices(spark, kernel):
         for a, b in zip(plain, got, strict=True):
             assert a.asDict() == {c: pytest.approx(v, rel=1e-9, abs=1e-9) if isinstance(v, float) else v for c, v in b.asDict().items()}
     assert jobs[24] <= jobs[12] + 8
+
+
+def test_timeouts_in_closed_form(spark):
+    """Counted time-outs equal those walked one by one; a year of silence is one row of the fold."""
+    rng = random.Random(5)
+    for _ in range(300):
+        limits = Timeouts(*[rng.randint(1, 9) for _ in range(4)])
+        walked, counted = Lifecycle(limits), LifecycleSteps(limits)
+        state = (rng.choice(["none", "init", "wait_status_series", *CYCLE, "assigned"]), rng.randint(0, 5), rng.choice([None, "a"]))
+        now = rng.randint(0, 200)
+        after, passed = walked.advance(state, now)
+        assert counted.skip(state, now) == (after, len(passed))
+    year = 365 * 86_400 * SECOND
+    rows = [("c", 0, 0, "add", None), ("c", SECOND, 1, "series", None), ("c", year, 2, "remove", None), ("d", 0, 3, "add", None), ("d", year, 4, "add", None)]
+    log = spark.createDataFrame(rows, "channel string, ts_ns long, seq long, event string, addr string")
+    got = [tuple(r)[1:] for r in lifecycle.transitions(log).filter("channel = 'c'").orderBy("ts_ns").collect()]
+    state, want = ("none", 0, None), []
+    for _, ts, _, event, addr in rows[:3]:
+        state, passed = Lifecycle().advance(state, ts)
+        name, to = respond(state[0], state[2], event, addr)
+        want += passed + [(ts, state[0], name, to)]
+        state = (name, ts, to)
+    assert len(want) > 1_500_000 and got == want
+    assert [tuple(r)[1:4] for r in lifecycle.transitions(log).filter("channel = 'd'").orderBy("ts_ns").collect()] == [
+        (0, "none", "wait_status_series"), (5 * SECOND, "wait_status_series", "init"), (year, "init", "wait_status_series")
+    ]

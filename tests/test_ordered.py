@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seriesmill.operators import bins
-from seriesmill.operators.slicing import Ordered, SlicePolicy, find_hot
+from seriesmill.operators.slicing import Ordered, SlicePolicy, find_hot, number_rows
 from seriesmill.schemas import MINUTE
 
 SMALL = SlicePolicy(max_rows=25)
@@ -151,3 +151,21 @@ def test_patches_drop_incomplete_ends(spark):
     binned = spark.createDataFrame([("a", b, 1, 0.0, 1.0, 0.5) for b in range(3, 14)], "series string, bin long, count long, min double, max double, avg double")
     patches = bins.bin_patches(binned, MINUTE, 4).orderBy("off_lsp").collect()
     assert [(p["off_msp"], p["off_lsp"], len(p["counts"])) for p in patches] == [(0, 1, 4), (0, 2, 4)]
+
+
+def test_a_gap_of_ten_years_is_one_run(spark):
+    years = 10 * 365 * 24 * 60
+    df = spark.createDataFrame([("a", 0, 0, 1.5), ("a", years * MINUTE, 1, 2.5), ("b", 30, 2, 4.0)], "series string, ts_ns long, seq long, value double")
+    runs = bins.bin_runs(df, MINUTE, max_carry_ns=None)
+    got = sorted(tuple(r) for r in runs.collect())
+    assert got == [("a", 0, 0, 1, 1.5, 1.5, 1.5), ("a", 1, years - 2, 0, 1.5, 1.5, 1.5), ("a", years - 1, years - 1, 0, 1.5, 1.5, 1.5), ("a", years, years, 1, 2.5, 2.5, 2.5), ("b", 0, 0, 1, 4.0, 4.0, 4.0)]
+    some = bins.expand_runs(runs, MINUTE, years - 10_000, years - 2).filter("series = 'a'")
+    assert [r["bin"] for r in some.orderBy("bin").collect()] == list(range(years - 10_000, years - 1))
+    assert bins.time_weighted_bins(df, MINUTE, max_carry_ns=None).filter("series = 'a'").count() == years + 1
+
+
+def test_rows_numbered_by_ranges(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("x"), F.lit(None).cast("string").alias("other"))
+    got = number_rows(df.repartition(7), ["x"], "place").orderBy("place").collect()
+    assert [r["place"] for r in got] == list(range(5000)) and [r["x"] for r in got] == sorted(r["x"] for r in got)
+    assert number_rows(df.filter("x < 0"), ["x"], "place").count() == 0
