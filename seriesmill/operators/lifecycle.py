@@ -231,6 +231,56 @@ def channel_status_items(log: DataFrame, changes: DataFrame) -> DataFrame:
     return logged.unionByName(assigned)
 
 
+# What ends a connection, and by it every channel that is open there; what ends one channel.
+CONNECTION_ENDS = {
+    "shutdown": "closed:ShutdownCommand",
+    "protocol_error": "closed:ProtocolError",
+    "internal_error": "closed:InternalError",
+    "echo_timeout": "closed:IocTimeout",
+    "silence": "closed:NoProtocol",
+    "protocol_done": "closed:ProtocolDone",
+}
+CHANNEL_ENDS = {
+    "remove": "closed:ChannelRemove",
+    "frequency_quota": "closed:FrequencyQuota",
+    "bandwidth_quota": "closed:BandwidthQuota",
+}
+
+
+def derived_openings(
+    channels: DataFrame, connections: DataFrame, order: Sequence[str] = ("ts_ns", "seq"), policy: SlicePolicy = DEFAULT_POLICY
+) -> DataFrame:
+    """Openings and closings that follow from state: channel, addr, ts_ns, kind.
+
+    `channels` has channel, addr, the order and event: `created`, or an end of `CHANNEL_ENDS`; `connections` has addr, the
+    order and event, of which those of `CONNECTION_ENDS` count. A channel opens when it is created and not open,
+    and closes at its own end or at that of its connection, whichever comes first, for that reason. An end that
+    finds no open channel gives nothing. Places in the order have to differ among the rows of an address.
+    """
+    place = F.struct(*order)
+    reasons = F.create_map(*[F.lit(x) for pair in (CONNECTION_ENDS | CHANNEL_ENDS).items() for x in pair])
+    reason = F.try_element_at(reasons, F.col("event"))
+    all_ends = connections.filter(F.col("event").isin(*CONNECTION_ENDS)).select(F.lit(None).cast("string").alias("channel"), "addr", *order, "event")
+    both = channels.select(F.col("channel").cast("string"), "addr", *order, "event").unionByName(all_ends).withColumn("_reason", reason)
+    of_connection = F.col("channel").isNull()
+    ended = F.when(of_connection, F.struct(*order, "_reason"))
+    by_addr = Ordered(both, ["addr"], order, policy=policy).running_max("_before", F.when(of_connection, place)).next_match("_after", ended).done()
+    own = by_addr.filter(~of_connection).withColumn("_is_end", F.col("_reason").isNotNull())
+    steps = Ordered(own, ["channel", "addr"], order, policy=policy)
+    steps.running_max("_made", F.when(F.col("event") == "created", place)).running_max("_gone", F.when(F.col("_is_end"), place))
+    steps.next_match("_own_end", F.when(F.col("_is_end"), F.struct(*order, "_reason"))).lag("_made_before", "_made")
+    opened = steps.done().filter("event = 'created'")
+    closed_before = F.greatest("_before", "_gone")
+    opened = opened.filter(F.col("_made_before").isNull() | (F.coalesce(F.col("_made_before") < closed_before, F.lit(False))))
+    end = F.least("_after", "_own_end")
+    items = F.array(
+        F.struct(F.col(order[0]).alias("ts_ns"), F.lit("opened").alias("_event")),
+        F.struct(end[order[0]].alias("ts_ns"), end["_reason"].alias("_event")),
+    )
+    found = opened.select("channel", "addr", F.inline(items)).filter("_event is not null")
+    return found.select("channel", "addr", "ts_ns", _kind(F.col("_event"), CHANNEL_EVENT_KINDS).alias("kind"))
+
+
 def connection_status_items(log: DataFrame) -> DataFrame:
     """Connection status items of the log."""
     kind = _kind(F.col("event"), CONNECTION_EVENT_KINDS)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.operators import bins, layout, lifecycle, registry, statistics
 from seriesmill.operators.kernels import GridChange, IntervalGate, PartitionRoll
+from seriesmill.operators.slicing import SlicePolicy
 from seriesmill.plans import ingest
 from seriesmill.plans.driver_tables import as_events, events, messages, nanos, scratch, table, waves
 from seriesmill.plans.ordered_queries import GATE_SQL, GRID_SQL, IVL, REPORT, ROLL_SQL, SPACING, UNIT, bins_sql, gated
@@ -423,6 +424,54 @@ def status_item_rows(spark, sf_dir):
     )
 
 
+# Statuses of channels and connections: all kinds, and ends that follow from state.
+
+ALL_KINDS = [*lifecycle.CHANNEL_EVENT_KINDS, *lifecycle.CONNECTION_EVENT_KINDS]
+KINDS_SQL = ", ".join(f"({i}, '{'channel' if e in lifecycle.CHANNEL_EVENT_KINDS else 'connection'}', {k})" for i, (e, k) in enumerate([*lifecycle.CHANNEL_EVENT_KINDS.items(), *lifecycle.CONNECTION_EVENT_KINDS.items()]))
+
+
+@query(
+    "x7_all_kinds",
+    f"""SELECT item, CASE WHEN item = 'channel' THEN user_id::VARCHAR ELSE 'h' || user_id % 10 END AS name, epoch_ns(ts) AS ts_ns, kind
+ FROM events JOIN (VALUES {KINDS_SQL}) k(i, item, kind) ON event_id % 17 = i
+UNION ALL SELECT 'channel', user_id::VARCHAR, epoch_ns(ts), 24 FROM events WHERE event_id % 17 = 16""",
+)
+def all_status_kinds(spark, sf_dir):
+    """A log with every status event; the seventeenth stands for an assignment."""
+    names = F.array(*[F.lit(e) for e in ALL_KINDS])
+    log = events(spark, sf_dir).select(
+        F.col("series").cast("string").alias("channel"), "ts_ns", F.concat(F.lit("h"), F.col("series") % 10).alias("addr"),
+        F.try_element_at(names, (F.col("seq") % 17 + 1).cast("int")).alias("event"), F.when(F.col("seq") % 17 == 16, "assigned").alias("after"),
+    )
+    channel = lifecycle.channel_status_items(log, log).select(F.lit("channel").alias("item"), F.col("channel").alias("name"), "ts_ns", "kind")
+    return channel.unionByName(lifecycle.connection_status_items(log).select(F.lit("connection").alias("item"), F.col("addr").alias("name"), "ts_ns", "kind"))
+
+
+END_NAMES = [*lifecycle.CONNECTION_ENDS, *lifecycle.CHANNEL_ENDS]
+END_KINDS = ", ".join(f"({i}, {lifecycle.CHANNEL_EVENT_KINDS[r]})" for i, r in enumerate((lifecycle.CONNECTION_ENDS | lifecycle.CHANNEL_ENDS).values()))
+
+
+@query(
+    "x7_derived_ends",
+    f"""WITH RECURSIVE e AS (SELECT *, epoch_ns(ts) AS t, user_id % 10 AS addr, event_id % 60 AS m FROM events),
+r AS (SELECT event_id, t, user_id AS channel, CASE WHEN m >= 9 THEN 'created' ELSE 'end' END AS what, NULL::BIGINT AS kind, m FROM e WHERE m >= 6
+  UNION ALL SELECT e.event_id, e.t, c.channel, 'end', NULL, m FROM e JOIN (SELECT DISTINCT user_id AS channel, user_id % 10 AS addr FROM events) c USING (addr) WHERE m < 6),
+k AS (SELECT event_id, t, channel, what, v.kind FROM r LEFT JOIN (VALUES {END_KINDS}) v(m, kind) ON r.m = v.m),
+c AS (SELECT *, lag(what) OVER (PARTITION BY channel ORDER BY t, event_id) AS was FROM k)
+SELECT channel::VARCHAR AS channel, 'h' || channel % 10 AS addr, t AS ts_ns, CASE WHEN what = 'created' THEN 1 ELSE kind END AS kind FROM c
+ WHERE what = 'created' AND was IS DISTINCT FROM 'created' OR what = 'end' AND was = 'created'""",
+)
+def derived_ends(spark, sf_dir):
+    """Users as channels of ten connections: six kinds of events end a connection, three a channel, the others create it."""
+    kind = F.col("seq") % 60
+    rows = events(spark, sf_dir).select(
+        F.col("series").cast("string").alias("channel"), F.concat(F.lit("h"), F.col("series") % 10).alias("addr"), "ts_ns", "seq",
+        F.when(kind < 9, F.try_element_at(F.array(*[F.lit(e) for e in END_NAMES]), (kind + 1).cast("int"))).otherwise("created").alias("event"),
+    )
+    ends = F.col("event").isin(*lifecycle.CONNECTION_ENDS)
+    return lifecycle.derived_openings(rows.filter(~ends), rows.filter(ends).drop("channel"), policy=SlicePolicy(max_rows=500))
+
+
 # Tables as versioned lists of files.
 
 START = 1_704_067_200 * 1_000_000_000  # 2024-01-01
