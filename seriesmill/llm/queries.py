@@ -203,7 +203,28 @@ def token_files_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_corpus(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
-@query("op10_minhash_stars")
+MINHASH_SQL = """
+WITH RECURSIVE worded AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT rid, doc_id, CASE WHEN len(w) < 2 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w), 2))) AS i FROM worded WHERE len(w) > 0)
+), sizes AS (SELECT rid, doc_id, count(*) AS n FROM shingles GROUP BY rid, doc_id
+), common AS (
+  SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.rid < b.rid GROUP BY 1, 2
+), links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM common JOIN sizes x ON x.rid = a JOIN sizes y ON y.rid = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), both_ways AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT a AS node, a AS other FROM both_ways UNION SELECT node, b FROM reach JOIN both_ways ON other = a
+), named AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, w.doc_id) AS component_id, coalesce(component_id, w.doc_id) = w.doc_id AS kept
+FROM worded w LEFT JOIN sizes s ON s.rid = w.rid LEFT JOIN named ON node = w.doc_id
+"""
+
+
+@query("op10_minhash_stars", MINHASH_SQL)
 def minhash_stars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2).drop("text_hash")
 
@@ -221,7 +242,21 @@ def line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op7_super_kmers")
+SUPER_KMERS_SQL = """
+WITH worded AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), starts AS (
+  SELECT rid, i, md5_number(array_to_string(w[i:i + 34], ' ')) AS p FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM worded WHERE len(w) >= 35)
+), hits AS (
+  SELECT rid, i FROM starts JOIN (SELECT p FROM starts GROUP BY p HAVING count(*) > 1) USING (p)
+), gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS i FROM hits
+), places AS (SELECT rid, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM worded
+), kept AS (SELECT rid, string_agg(x, ' ' ORDER BY i) AS k, count(*) AS n FROM places ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256 FROM worded LEFT JOIN kept USING (rid)
+"""
+
+
+@query("op7_super_kmers", SUPER_KMERS_SQL)
 def super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -274,7 +309,29 @@ def ball_k_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op13_suffix_arrays")
+SUFFIX_ARRAYS_SQL = """
+WITH bytes AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), starts AS (
+  SELECT rid, doc_id, i, md5_number(substr(h, 2 * i + 1, 100)) AS p FROM (SELECT *, unnest(range(0, length(h) // 2 - 49)) AS i FROM bytes WHERE length(h) >= 100)
+), hits AS (
+  SELECT rid, i FROM starts JOIN (SELECT p, min(doc_id) AS first FROM starts GROUP BY p) USING (p) WHERE first < doc_id
+), runs AS (
+  SELECT rid, min(i) AS a, max(i) + 50 AS b FROM (
+    SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY i) AS run FROM (
+      SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY rid ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM hits)) GROUP BY rid, run
+), between_runs AS (
+  SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM runs
+), pieces AS (
+  SELECT rid, count(*) AS n, sum(b - a) AS gone, max(b) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS k
+  FROM between_runs JOIN bytes USING (rid) GROUP BY rid
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(k, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM bytes LEFT JOIN pieces USING (rid)
+"""
+
+
+@query("op13_suffix_arrays", SUFFIX_ARRAYS_SQL)
 def suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = byte_dedup.remove_earlier_bytes(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -126,22 +126,81 @@ def cleaned(text):
     return "\n".join(line for line in lines if not line_fails(line))
 
 
-def lines_removed(docs, align, rare=20, min_chars=60):
-    """docs: (key, text) with different keys. For each the text left; `align` pairs two lists of lines."""
+def longest_ascending(values):
+    """Indices of the longest ascending run whose end, and then each one before, is smallest."""
+    length = []
+    for i, v in enumerate(values):
+        length.append(1 + max((length[j] for j in range(i) if values[j] < v), default=0))
+    run, upto, below = [], len(values), float("inf")
+    for n in range(max(length, default=0), 0, -1):
+        i = min((i for i in range(upto) if length[i] == n and values[i] < below), key=lambda i: values[i])
+        run.append(i)
+        upto, below = i, values[i]
+    return run[::-1]
+
+
+def heaviest(a, b):
+    """The common block with most characters, the first to end in `a`; where it first stands in `b`."""
+    best = (0, 0, 0, 0)
+    for end in range(1, len(a) + 1):
+        n = next((n for n in range(end, 0, -1) if any(b[j : j + n] == a[end - n : end] for j in range(len(b) - n + 1))), 0)
+        chars = sum(map(len, a[end - n : end]))
+        if chars > best[3]:
+            best = (end - n, next(j for j in range(len(b)) if b[j : j + n] == a[end - n : end]), n, chars)
+    return best
+
+
+def aligned_lines(a, b, least):
+    """Pairs of positions by the definition: equal ends, then unique lines in order, else the heaviest block."""
+    front = 0
+    while front < min(len(a), len(b)) and a[front] == b[front]:
+        front += 1
+    if front:
+        return [(i, i) for i in range(front)] + [(front + i, front + j) for i, j in aligned_lines(a[front:], b[front:], least)]
+    if a and b and a[-1] == b[-1]:
+        return [*aligned_lines(a[:-1], b[:-1], least), (len(a) - 1, len(b) - 1)]
+    in_a, in_b = Counter(a), Counter(b)
+    unique = [(a.index(line), j) for j, line in enumerate(b) if in_b[line] == 1 == in_a[line]]
+    anchors = [unique[i] for i in longest_ascending([i for i, _ in unique])]
+    if anchors:
+        out, before = [], (-1, -1)
+        for i, j in [*anchors, (len(a), len(b))]:
+            p, q = before[0] + 1, before[1] + 1
+            out += [(p + x, q + y) for x, y in aligned_lines(a[p:i], b[q:j], least)] + [(i, j)]
+            before = (i, j)
+        return out[:-1]
+    i, j, n, chars = heaviest(a, b)
+    if not n or chars < least:
+        return []
+    rest = aligned_lines(a[i + n :], b[j + n :], least)
+    return aligned_lines(a[:i], b[:j], least) + [(i + k, j + k) for k in range(n)] + [(i + n + x, j + n + y) for x, y in rest]
+
+
+def lines_removed(docs, min_chars=60):
+    """docs: (key, text) with different keys. For each the text left."""
     lines = {k: [line.strip(" \t\n\x0b\f\r") for line in t.split("\n")] for k, t in docs}
-    having = defaultdict(set)
-    for k, ls in lines.items():
-        for line in ls:
-            if line:
-                having[line].add(k)
+
+    def runs(ls):
+        """From every line that is not blank, on and back, the fewest lines that have the characters."""
+        for i, line in enumerate(ls):
+            for rest, back in ((ls[i:], False), (ls[i::-1], True)):
+                total = 0
+                for n, x in enumerate(rest if line else [], 1):
+                    total += len(x)
+                    if total >= min_chars:
+                        yield tuple(rest[:n][::-1] if back else rest[:n])
+                        break
+
+    first = {}
+    for k in sorted(lines):
+        for run in runs(lines[k]):
+            first.setdefault(run, k)
     out = {}
     for k, text in docs:
-        shared = {line: len(having[line]) for line in set(lines[k]) if line and min(having[line]) < k}
-        partners = {min(having[line]) for line, n in shared.items() if n <= rare or n == min(shared.values())}
         gone = set()
-        for p in partners:
-            pairs, block = align(lines[p], lines[k]), []
-            for i, j in [*pairs, (-1, -1)]:
+        for p in {first[run] for run in runs(lines[k])} - {k}:
+            block = []
+            for i, j in [*aligned_lines(lines[p], lines[k], min_chars), (-1, -1)]:
                 if block and (i, j) != (block[-1][0] + 1, block[-1][1] + 1):
                     if sum(len(lines[k][q]) for _, q in block) >= min_chars:
                         gone |= {q for _, q in block}

@@ -283,7 +283,7 @@ def test_line_dedup(spark, no_docs):
     out, removed = line_dedup.without_shared_lines(df)
     assert out.columns == [*df.columns, removed]
     got = bag(out.select("doc_id", "text").collect())
-    left = brute.lines_removed(rows, line_dedup.patience)
+    left = brute.lines_removed(rows)
     assert left[4] == "" and left[5] == rows[4][1] and left[2] == "Own start of the second.\nOwn end."
     assert got == bag([*left.items(), (8, None), (None, rows[0][1]), (4, "")])
     assert line_dedup.without_shared_lines(no_docs)[0].count() == 0

@@ -13,7 +13,6 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from seriesmill.llm import queries
-from seriesmill.llm.line_dedup import patience
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -54,7 +53,7 @@ def test_super_kmers(spark, rows):
 
 
 def test_line_alignment(spark, rows):
-    left = brute.lines_removed(rows, patience)
+    left = brute.lines_removed(rows)
     got = {r["doc_id"]: r for r in queries.QUERIES["op1_line_alignment"](spark, SF_DIR).collect()}
     assert {k: r["kept_sha256"] for k, r in got.items()} == {k: brute.sha(t) for k, t in left.items()}
     assert all(got[k]["n_chars_removed"] == len(t) - len(left[k]) for k, t in rows)
@@ -85,7 +84,7 @@ def test_pipeline_equals_brute_force(spark, rows):
     columns = docs.columns
     steps = [
         lambda d: {k: c for k, t in d.items() if (c := brute.cleaned(t)) is not None},
-        lambda d: {k: t for k, t in brute.lines_removed(list(d.items()), patience).items() if brute.words(t)},
+        lambda d: {k: t for k, t in brute.lines_removed(list(d.items())).items() if brute.words(t)},
         lambda d: {k: d[k] for k, c in zip(d, brute.components(list(d.items()), 5)) if k == c},
         lambda d: {k: t for (k, t), (_, hit, _) in zip(d.items(), brute.benchmark_hits(list(d.items()), bench)) if not hit},
     ]
