@@ -20,6 +20,26 @@ def binnable(events: DataFrame) -> DataFrame:
     return events.filter(F.col("scalar_type").isin(*BINNED_TYPES) & (F.size("shape_dims") == 0))
 
 
+def touch_bins(rows: DataFrame, bin_ns: int, start: str = "ts_ns") -> DataFrame:
+    """Rows whose value holds from `start` to `until`, once for each end and once for all bins between them.
+
+    Other rows may share the bins of the ends, none can those between: first_bin, last_bin, and `overlap`
+    with them; `first` and `last` are the bins of the ends.
+    """
+    rows = rows.withColumn("first", bucket(start, bin_ns))
+    rows = rows.withColumn("last", F.greatest(F.col("first"), bucket(F.col("until") - 1, bin_ns)))
+    first, last = F.col("first"), F.col("last")
+    part = lambda a, b: F.struct(a.alias("first_bin"), b.alias("last_bin"))
+    parts = F.filter(
+        F.array(part(first, first), part(first + 1, last - 1), part(last, last)),
+        lambda x, i: (i == 0) | ((i == 1) & (x["first_bin"] <= x["last_bin"])) | ((i == 2) & (last > first)),
+    )
+    touched = rows.select("*", F.inline(parts))
+    begin = F.greatest(F.col(start), F.col("first_bin") * bin_ns)
+    overlap = F.greatest(F.least(F.col("until"), (F.col("last_bin") + 1) * bin_ns) - begin, F.lit(0))
+    return touched.withColumn("overlap", overlap.cast("double"))
+
+
 def bin_runs(
     events: DataFrame,
     bin_ns: int = MINUTE,
@@ -46,19 +66,7 @@ def bin_runs(
     until = F.coalesce("next_ts", "ts_ns")
     if max_carry_ns is not None:
         until = F.least(until, F.col("ts_ns") + max_carry_ns)
-    rows = rows.withColumn("until", until).withColumn("first", bucket("ts_ns", bin_ns))
-    rows = rows.withColumn("last", F.greatest(F.col("first"), bucket(F.col("until") - 1, bin_ns)))
-    first, last = F.col("first"), F.col("last")
-    # The two ends, which other events may share, and what lies between them, which no other can.
-    part = lambda a, b: F.struct(a.alias("first_bin"), b.alias("last_bin"))
-    parts = F.filter(
-        F.array(part(first, first), part(first + 1, last - 1), part(last, last)),
-        lambda x, i: (i == 0) | ((i == 1) & (x["first_bin"] <= x["last_bin"])) | ((i == 2) & (last > first)),
-    )
-    touched = rows.select("*", F.inline(parts))
-    start = F.greatest(F.col("ts_ns"), F.col("first_bin") * bin_ns)
-    overlap = F.greatest(F.least(F.col("until"), (F.col("last_bin") + 1) * bin_ns) - start, F.lit(0))
-    touched = touched.withColumn("overlap", overlap.cast("double"))
+    touched = touch_bins(rows.withColumn("until", until), bin_ns)
     binned = touched.groupBy(*keys, "first_bin", "last_bin").agg(
         F.count_if(F.col("first_bin") == F.col("first")).alias("count"),
         F.min("value").alias("min"),

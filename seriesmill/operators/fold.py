@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from seriesmill.operators.joins import BROADCAST_ROWS
 from seriesmill.operators.slicing import (
     DEFAULT_POLICY,
     SLICE,
@@ -200,15 +201,27 @@ def _column(parts: list, name: str, arrow_type: pa.DataType) -> pa.Array:
 
 
 def _full_pass(kernel: Kernel, keys: Sequence[str], schema: T.StructType):
-    """Task function: the input rows with the kernel's outputs beside them."""
-    kept = [n for n in schema.names if n not in kernel.outputs.names]
+    """Task function: the input rows with the kernel's outputs beside them, and the state after each run of rows if asked for."""
+    leaves = EXIT in schema.names
+    kept = [n for n in schema.names if n not in kernel.outputs.names and n != EXIT]
     out_types = {f.name: to_arrow_type(f.dataType) for f in kernel.outputs.fields}
+    exit_type = to_arrow_type(kernel.state)
 
     def run(batches):
-        for batch, _, parts in _segments(kernel, keys, batches):
+        for batch, runs, parts in _segments(kernel, keys, batches):
             columns = [batch.column(n) for n in kept]
             columns += [_column(parts, n, t) for n, t in out_types.items()]
-            yield pa.RecordBatch.from_arrays(columns, names=kept + list(out_types))
+            names = kept + list(out_types)
+            if leaves:
+                ends = np.append(_starts(batch, keys)[1:], batch.num_rows) - 1
+                states = pa.array([dict(zip(kernel.state.names, state)) for _, _, state in runs], exit_type)
+                at = np.zeros(batch.num_rows, dtype=np.int64)
+                at[ends] = np.arange(len(ends))
+                unset = np.ones(batch.num_rows, dtype=bool)
+                unset[ends] = False
+                columns.append(states.take(pa.array(at, mask=unset)))
+                names.append(EXIT)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -280,7 +293,7 @@ def _cross_pass(kernel: Transfer, keys: Sequence[str], schema: T.StructType):
             for i in range(batch.num_rows):
                 here = _key_at(batch, keys, i)
                 if state is None or here != key:
-                    key, state = here, kernel.fresh()
+                    key, state = here, _entry_at(kernel, batch, i)
                 entry = dict(zip(kernel.state.names, state))
                 rows.append({**dict(zip(keys, key)), SLICE: batch.column(SLICE)[i].as_py(), ENTRY: entry})
                 parts = {}
@@ -294,13 +307,15 @@ def _cross_pass(kernel: Transfer, keys: Sequence[str], schema: T.StructType):
     return run
 
 
-def _cross(rows: DataFrame, kernel: Transfer, hot: HotKeys, order: Sequence[str]) -> DataFrame:
+def _cross(rows: DataFrame, kernel: Transfer, hot: HotKeys, order: Sequence[str], given: DataFrame | None) -> DataFrame:
     """The entry states of a kernel with summaries: two passes, whatever the number of slices."""
     part = (*hot.keys, SLICE)
     placed = [rows.schema[k] for k in part]
     summed = T.StructType([*placed, *kernel.summary.fields])
     summaries = _arrange(rows, part, order).mapInArrow(_summary_pass(kernel, part, summed), summed)
     entered = T.StructType([*placed, T.StructField(ENTRY, kernel.state)])
+    if given is not None:
+        summaries = join_small(summaries, given, hot.keys)
     along = summaries.repartition(*hot.keys).sortWithinPartitions(*part)
     return cut_lineage(along.mapInArrow(_cross_pass(kernel, hot.keys, entered), entered))
 
@@ -321,7 +336,7 @@ def _walk(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str]) -
             for s, e in zip(starts, [*starts[1:], batch.num_rows]):
                 at = _key_at(batch, part, s)
                 if state is None or at[:-1] != key:
-                    key, state = at[:-1], kernel.fresh()
+                    key, state = at[:-1], _entry_at(kernel, batch, s)
                 if at != here:
                     here = at
                     entered.append({**dict(zip(part, at)), ENTRY: dict(zip(kernel.state.names, state))})
@@ -332,7 +347,7 @@ def _walk(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str]) -
     return rows.repartition(*hot.keys).sortWithinPartitions(*part, *order).mapInArrow(run, schema)
 
 
-def _repair(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str]) -> DataFrame:
+def _repair(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str], given: DataFrame | None) -> DataFrame:
     """The entry states of any kernel, by repairing guesses.
 
     Kernels that forget their past settle in a round or two. What is still stale after `REPAIRS`
@@ -343,6 +358,8 @@ def _repair(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str])
         [rows.schema[k] for k in part] + [T.StructField(ENTRY, kernel.state), T.StructField(EXIT, kernel.state)]
     )
     exit_pass = _exit_pass(kernel, part, schema)
+    if given is not None:
+        rows = join_small(rows, given.withColumn(SLICE, F.lit(1)), part)
     # shuffled and sorted once; a broadcast join leaves rows where and in which order they are
     arranged = cut_lineage(_arrange(rows, part, order))
     states = cut_lineage(arranged.mapInArrow(exit_pass, schema))
@@ -358,26 +375,28 @@ def _repair(rows: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str])
             walked = _walk(join_small(rows, unsettled, hot.keys, "inner"), kernel, hot, order)
             done = join_small(states, unsettled.withColumn("_redo", F.lit(True)), hot.keys).filter("_redo is null")
             return cut_lineage(done.select(*part, ENTRY).unionByName(walked.select(*part, ENTRY)))
-        redone = join_small(arranged, stale, part, "inner").mapInArrow(exit_pass, schema)
+        redone = join_small(arranged.drop(ENTRY), stale, part, "inner").mapInArrow(exit_pass, schema)
         settled = join_small(states, stale.select(*part, F.lit(True).alias("_redo")), part).filter("_redo is null")
         states = cut_lineage(settled.drop("_redo").unionByName(redone))
     return states.select(*part, ENTRY)
 
 
-def _settle(tagged: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str]) -> DataFrame:
-    """The true entry state of every slice of the large keys."""
+def _settle(tagged: DataFrame, kernel: Kernel, hot: HotKeys, order: Sequence[str], given: DataFrame | None = None) -> DataFrame:
+    """The true entry state of every slice of the large keys; `given` has the state of a key before its first row, if it has one."""
     part = (*hot.keys, SLICE)
     if isinstance(kernel, Chain):
-        return _settle_chain(tagged, kernel, hot, order)
+        return _settle_chain(tagged, kernel, hot, order, given)
     rows = hot.only(tagged).select(*dict.fromkeys((*part, *order, *kernel.inputs)))
     settle = _cross if isinstance(kernel, Transfer) else _repair
-    return settle(rows, kernel, hot, order)
+    return settle(rows, kernel, hot, order, given)
 
 
-def _settle_chain(tagged: DataFrame, kernel: Chain, hot: HotKeys, order: Sequence[str]) -> DataFrame:
+def _settle_chain(tagged: DataFrame, kernel: Chain, hot: HotKeys, order: Sequence[str], given: DataFrame | None) -> DataFrame:
     """Settle the kernels of a chain one by one; behind a gate, on the rows it really admits."""
     part = (*hot.keys, SLICE)
-    every = _settle(tagged, kernel.steps[0], hot, order).withColumnRenamed(ENTRY, "_entry_0")
+    own = lambda i: F.struct(*[F.col(ENTRY)[f"{n}_{i}"].alias(n) for n in kernel.steps[i].state.names])
+    before = [given if given is None else given.select(*hot.keys, own(i).alias(ENTRY)) for i in range(len(kernel.steps))]
+    every = _settle(tagged, kernel.steps[0], hot, order, before[0]).withColumnRenamed(ENTRY, "_entry_0")
     rows = tagged
     if kernel.keep:
         gate = kernel.steps[0]
@@ -385,12 +404,23 @@ def _settle_chain(tagged: DataFrame, kernel: Chain, hot: HotKeys, order: Sequenc
         entered = join_small(hot.only(tagged), every.withColumnRenamed("_entry_0", ENTRY), part)
         rows = _arrange(entered, part, order).mapInArrow(_full_pass(gate, part, schema), schema).filter(kernel.keep)
     for i, step in enumerate(kernel.steps[1:], 1):
-        one = _settle(rows, step, hot, order).withColumnRenamed(ENTRY, f"_entry_{i}")
+        one = _settle(rows, step, hot, order, before[i]).withColumnRenamed(ENTRY, f"_entry_{i}")
         every = join_small(every, one, part)
     fields = [F.col(f"_entry_{i}")[f.name].alias(f"{f.name}_{i}") for i, k in enumerate(kernel.steps) for f in k.state]
     return every.select(*part, F.struct(*fields).alias(ENTRY))
 
 
+def _entered(rows: DataFrame, entry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the state their key, or slice of a key, is entered with; null-safe, broadcast only behind a count."""
+    if entry.count() <= BROADCAST_ROWS:
+        return join_small(rows, entry, keys)
+    named = entry.select(*[F.col(k).alias(f"_k_{k}") for k in keys], ENTRY)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.join(named, same, "left").drop(*[f"_k_{k}" for k in keys])
+
+
 def fold(
     df: DataFrame,
     keys: Sequence[str],
@@ -398,14 +428,39 @@ def fold(
     order: Sequence[str] = ("ts_ns", "seq"),
     hot: HotKeys | None = None,
     policy: SlicePolicy = DEFAULT_POLICY,
+    entry: DataFrame | None = None,
+    exits: bool = False,
 ) -> DataFrame:
-    """Run `kernel` over the rows of every key in time order; gives `df` with its outputs added."""
+    """Run `kernel` over the rows of every key in time order; gives `df` with its outputs added.
+
+    A fold can go on where another ended: `entry` has the keys and their state so far (`_entry`); a
+    key without one starts afresh. With `exits` the rows carry what `exit_states` needs.
+    """
     keys = tuple(keys)
     hot = find_hot(df, keys, order[0], policy, order[1] if len(order) > 1 else None) if hot is None else hot
-    schema = T.StructType([*df.schema.fields, *kernel.outputs.fields])
+    left = [T.StructField(EXIT, kernel.state)] if exits else []
+    schema = T.StructType([*df.schema.fields, *kernel.outputs.fields, *left])
     if not hot:
-        return _arrange(df, keys, order).mapInArrow(_full_pass(kernel, keys, schema), schema)
+        rows = df if entry is None else _entered(df, entry, keys)
+        return _arrange(rows, keys, order).mapInArrow(_full_pass(kernel, keys, schema), schema)
     tagged = hot.tag(df)
     part = (*keys, SLICE)
-    entered = join_small(tagged, _settle(tagged, kernel, hot, order), part)
-    return _arrange(entered, part, order).mapInArrow(_full_pass(kernel, part, schema), schema)
+    if entry is None:
+        rows = join_small(tagged, _settle(tagged, kernel, hot, order), part)
+    else:
+        # the states of the large keys, as few as these, go to the settling; the others to their rows
+        large = hot.table.select(*keys)
+        given = join_small(entry.select(*keys, ENTRY), large, keys, "inner")
+        settled = _settle(tagged, kernel, hot, order, given)
+        others = join_small(entry.select(*keys, ENTRY), large.withColumn("_large", F.lit(True)), keys).filter("_large is null")
+        rows = _entered(tagged, settled.unionByName(others.select(*keys, F.lit(0).alias(SLICE), ENTRY)), part)
+    return _arrange(rows, part, order).mapInArrow(_full_pass(kernel, part, schema), schema)
+
+
+def exit_states(folded: DataFrame, keys: Sequence[str], order: Sequence[str] = ("ts_ns", "seq")) -> DataFrame:
+    """The state in which a fold with `exits` left every key, to enter the next one with: keys and `_entry`.
+
+    Only the last row of every run of rows has a state, so there is about one row per key and Arrow batch.
+    """
+    left = folded.filter(F.col(EXIT).isNotNull())
+    return left.groupBy(*keys).agg(F.max_by(EXIT, F.struct(*order)).alias(ENTRY))

@@ -16,7 +16,7 @@ from seriesmill.schemas import DAY, HOUR, REGISTRY
 from seriesmill.session import ROCKSDB, small_table
 from seriesmill.sinks import archive_files, tables
 from seriesmill.sources import archive, captures
-from seriesmill.streaming import folds, jobs
+from seriesmill.streaming import folds, jobs, sliced
 
 
 def _laid_out(spark, sf_dir):
@@ -330,6 +330,61 @@ def stream_silences(spark, sf_dir):
     return spark.read.schema(alarms.schema).parquet(f"{root}/alarms")
 
 
+# Streams with one series of nine tenths of the rows, in three micro-batches, which slice it.
+MOST = "CASE WHEN user_id % 10 = 0 THEN user_id ELSE -1 END"
+STARTS = [1_704_067_200 * 1_000_000_000 + 10 * DAY * k for k in range(1, 3)]
+SLICES = SlicePolicy(max_rows=400)
+
+
+def in_three_batches(spark, sf_dir, by):
+    """The events by time in three files, as a stream with one file in a micro-batch; gives it and a folder."""
+    root = scratch(spark)
+    rows = as_events(table(spark, sf_dir, "events").withColumn("_by", F.expr(by)), "_by")
+    third = sum((F.col("ts_ns") >= t).cast("int") for t in STARTS)
+    for k in range(3):
+        rows.filter(third == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return jobs.follow(spark, f"{root}/in", rows.schema, files_per_trigger=1), f"{root}/out"
+
+
+@query(
+    "x1_stream_ingest_sliced",
+    GATE_SQL + " SELECT series, seq FROM f WHERE admitted",
+)
+def stream_ingest_sliced(spark, sf_dir):
+    rows, root = in_three_batches(spark, sf_dir, "user_id")
+    sliced.ingest_batches(
+        rows, root, f"{root}/checkpoint", IntervalGate(IVL, 0.05, REPORT), PartitionRoll(5, DAY, HOUR), GridChange(UNIT, SPACING),
+        policy=SlicePolicy(max_rows=10, max_slices=50),
+    ).awaitTermination()
+    return tables.read(spark, root, "events_scalar").select("series", "seq")
+
+
+SETTLED = "(SELECT max(epoch_ns(ts)) // 1000000 * 1000000 - 86400000000000 FROM events)"
+
+
+@query(
+    "x2_stream_bins_hot",
+    bins_sql(MOST, HOUR, f"greatest(ts_ns, least(coalesce(nx, {SETTLED}), ts_ns + {2 * DAY}))")
+    + f""" SELECT series, bin, "count", "min", "max", round("avg", 6) + 0.0 AS "avg" FROM b WHERE (bin + 1) * {HOUR} <= {SETTLED}""",
+)
+def stream_bins_hot(spark, sf_dir):
+    """Bins a day behind the last event, each given once, from slices of the large series."""
+    rows, root = in_three_batches(spark, sf_dir, MOST)
+    sliced.bin_batches(rows, root, f"{root}/checkpoint", HOUR, DAY, max_carry_ns=2 * DAY, policy=SLICES).awaitTermination()
+    found = bins.expand_runs(spark.read.parquet(f"{root}/bins").drop("batch"), HOUR)
+    return found.select("series", "bin", "count", "min", "max", rounded("avg", 6))
+
+
+@query(
+    "x4_stream_silences_hot",
+    SILENCE_SQL.format(end="(SELECT max(epoch_ns(ts)) // 1000000 * 1000000 FROM events)").replace("user_id", MOST),
+)
+def stream_silences_hot(spark, sf_dir):
+    rows, root = in_three_batches(spark, sf_dir, MOST)
+    sliced.silence_batches(rows, root, f"{root}/checkpoint", "series", SILENT, CRITICAL, policy=SLICES).awaitTermination()
+    return spark.read.parquet(f"{root}/alarms").drop("batch")
+
+
 @query(
     "j6_stream_answers",
     MATCH_SQL + f" WHERE ts_ns + {DAY} < least((SELECT max(ts_ns) FROM q), (SELECT max(ts_ns) FROM a)) // 1000000 * 1000000 - {HOUR}",

@@ -9,7 +9,9 @@ from seriesmill.operators import bins, layout, lifecycle
 from seriesmill.operators.kernels import GridChange, IntervalGate, PartitionRoll
 from seriesmill.schemas import EVENTS, LIFECYCLE, LONG, MINUTE, SECOND, struct
 from seriesmill.sinks import tables
-from seriesmill.streaming import folds, jobs
+from seriesmill.operators.fold import exit_states, fold
+from seriesmill.operators.slicing import SlicePolicy
+from seriesmill.streaming import folds, jobs, sliced
 
 T0 = 1_700_000_000 * SECOND
 
@@ -64,6 +66,99 @@ def test_bins_in_micro_batches(spark, event_files, tmp_path):
         assert have[k]["avg"] == pytest.approx(w["avg"], rel=1e-9)
 
 
+TIGHT = SlicePolicy(max_rows=100)
+
+
+@pytest.fixture(scope="module")
+def hot_files(spark, event_files, tmp_path_factory):
+    """The same events with nine tenths of them in one series, and a null series."""
+    path = str(tmp_path_factory.mktemp("hot"))
+    series = F.when(F.col("seq") % 10 > 0, 7).when(F.col("seq") % 20 > 0, F.col("series")).cast("long")
+    for k in range(4):
+        part = spark.read.schema(EVENTS).parquet(event_files).filter(F.col("seq").between(k * 200, k * 200 + 199))
+        part.withColumn("series", series).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def test_folds_go_on_from_given_states(spark, hot_files):
+    whole = spark.read.schema(EVENTS).parquet(hot_files)
+    for kernel, policies in ((IntervalGate(60 * SECOND), (TIGHT,)), (PartitionRoll(9, 10 * MINUTE), (SlicePolicy(), TIGHT))):
+        want = fold(whole, ["series"], kernel)
+        for policy in policies:
+            early = fold(whole.filter("seq < 300"), ["series"], kernel, policy=policy, exits=True)
+            late = fold(whole.filter("seq >= 300"), ["series"], kernel, policy=policy, entry=exit_states(early, ["series"]))
+            got = early.select(want.columns).union(late.select(want.columns))
+            assert got.exceptAll(want).count() == 0 and got.count() == 800
+
+
+def test_hot_series_ingest_in_micro_batches(spark, hot_files, tmp_path):
+    root = str(tmp_path)
+    kernels = dict(gate=IntervalGate(60 * SECOND), roll=PartitionRoll(9, 10 * MINUTE), grid=GridChange(SECOND, 300))
+    stream = jobs.follow(spark, hot_files, EVENTS, files_per_trigger=1)
+    sliced.ingest_batches(stream, root, f"{root}/checkpoint", **kernels, policy=TIGHT).awaitTermination()
+    stored = tables.read(spark, root, "events_scalar")
+    assert stored.select("batch").distinct().count() == 4
+    whole = layout.lay_out(spark.read.schema(EVENTS).parquet(hot_files), **kernels)
+    columns = ["series", "seq", "ts_msp", "ts_lsp", "msp_bump", "ts_msp_grid", "fvalue"]
+    want = whole.filter("admitted").withColumn("fvalue", F.col("value")).select(columns)
+    assert stored.select(columns).exceptAll(want).count() == 0 and stored.count() == want.count()
+    assert tables.read(spark, root, "receive_interval").count() == whole.filter("report").count() > 0
+
+
+def test_hot_series_bins_and_late_rows(spark, hot_files, tmp_path):
+    """Closed bins equal the table form; a row behind the settled time is set aside."""
+    files, root = f"{tmp_path}/in", f"{tmp_path}/out"
+    whole = spark.read.schema(EVENTS).parquet(hot_files)
+    for k in range(4):
+        whole.filter(F.col("seq").between(k * 200, k * 200 + 199)).coalesce(1).write.mode("append").parquet(files)
+    spark.createDataFrame([(7, T0, -1, -1, "F64", [], 5.0), (7, None, -2, -2, "F64", [], 5.0)], EVENTS).coalesce(1).write.mode("append").parquet(files)
+    stream = jobs.follow(spark, files, EVENTS, files_per_trigger=1)
+    sliced.bin_batches(stream, root, f"{root}/checkpoint", MINUTE, 2 * MINUTE, max_carry_ns=5 * MINUTE, policy=TIGHT).awaitTermination()
+    assert [r["seq"] for r in spark.read.parquet(f"{root}/late").collect()] == [-1]
+    rows = bins.expand_runs(spark.read.parquet(f"{root}/bins"), MINUTE).collect()
+    have = {(r["series"], r["bin"]): r for r in rows}
+    events = whole.collect()
+    mark = max(e["ts_ns"] for e in events) - 2 * MINUTE
+    held, counts = {}, {}  # (value, weight) of every bin by each event of its series, and the events in it
+    for series in {e["series"] for e in events}:
+        own = sorted((e["ts_ns"], e["seq"], e["value"]) for e in events if e["series"] == series and e["ts_ns"] < mark)
+        for (ts, _, value), after in zip(own, [*own[1:], (mark,)]):
+            counts[series, ts // MINUTE] = counts.get((series, ts // MINUTE), 0) + 1
+            until = min(after[0], ts + 5 * MINUTE)
+            for b in range(ts // MINUTE, max(ts, until - 1) // MINUTE + 1):
+                held.setdefault((series, b), []).append((value, min(until, (b + 1) * MINUTE) - max(ts, b * MINUTE)))
+    want = {k for k in held if (k[1] + 1) * MINUTE <= mark}
+    assert len(rows) == len(have) and set(have) == want and {None, 7} <= {k[0] for k in want}
+    for k in want:
+        values = [v for v, _ in held[k]]
+        assert (have[k]["count"], have[k]["min"], have[k]["max"]) == (counts.get(k, 0), min(values), max(values))
+        assert have[k]["avg"] == pytest.approx(sum(v * w for v, w in held[k]) / sum(w for _, w in held[k]), rel=1e-9)
+
+
+def test_a_repeated_batch_replaces_its_first_attempt(spark, hot_files, tmp_path, monkeypatch):
+    """A batch that fails after it has written state and output is run again by the restarted query."""
+    root, tried = str(tmp_path), []
+    stream = jobs.follow(spark, hot_files, EVENTS, files_per_trigger=1)
+    forget = sliced.Handover.forget
+
+    def fail_once(state, *names):
+        if state.batch == 2 and not tried:
+            tried.append(state.batch)
+            raise RuntimeError("lost")
+        forget(state, *names)
+
+    monkeypatch.setattr(sliced.Handover, "forget", fail_once)
+    run = lambda: sliced.silence_batches(stream, root, f"{root}/checkpoint", "series", 30 * SECOND, 10 * SECOND, policy=TIGHT).awaitTermination()
+    with pytest.raises(Exception):
+        run()
+    run()
+    whole = spark.read.schema(EVENTS).parquet(hot_files)
+    now = whole.agg(F.max("ts_ns")).head()[0]
+    want = lifecycle.silences(whole, now, ("series",), 30 * SECOND, 10 * SECOND)
+    got = spark.read.parquet(f"{root}/alarms").select(want.columns)
+    assert tried and got.exceptAll(want).count() == 0 and got.count() == want.count() > 10
+
+
 LOG = [
     ("a", 0, "add", None),
     ("a", 1, "series", None),
