@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.operators import bins, layout, lifecycle, registry, statistics
 from seriesmill.operators.kernels import GridChange, IntervalGate, PartitionRoll
-from seriesmill.operators.slicing import SlicePolicy
+from seriesmill.operators.slicing import SlicePolicy, number_rows
 from seriesmill.plans import ingest
 from seriesmill.plans.driver_tables import as_events, events, messages, nanos, scratch, table, waves
 from seriesmill.plans.ordered_queries import GATE_SQL, GRID_SQL, IVL, REPORT, ROLL_SQL, SPACING, UNIT, bins_sql, gated
@@ -45,6 +45,25 @@ def array_sink(spark, sf_dir):
     return back.select("series", "seq", F.size("fvalues").alias("n"), rounded(total, 6, "total"))
 
 
+@query(
+    "k2_array_elements",
+    """WITH e AS (SELECT label::BIGINT AS series, vec_id AS seq, unnest(range(len(embedding)))::INTEGER AS pos, embedding FROM embeddings)
+SELECT series, seq, pos, 'F32' AS scalar_type, round(embedding[pos + 1]::DOUBLE, 6) + 0.0 AS fvalue, NULL::BOOLEAN AS bvalue FROM e
+UNION ALL SELECT series, seq, pos, 'BOOL', NULL, embedding[pos + 1] > 0 FROM e""",
+)
+def array_elements(spark, sf_dir):
+    """Every element of the stored arrays: numbers, and their signs as boolean arrays."""
+    root = scratch(spark)
+    numbers = waves(spark, sf_dir).withColumn("floats", F.col("fvalues")).withColumn("ints", F.lit(None).cast("array<bigint>"))
+    signs = numbers.withColumn("scalar_type", F.lit("BOOL")).withColumn("ints", F.transform("fvalues", lambda x: (x > 0).cast("long"))).withColumn("floats", F.lit(None).cast("array<double>"))
+    typed = ingest.typed_columns(numbers.unionByName(signs).withColumn("text", F.lit(None).cast("string")))
+    tables.write_events(layout.roll_partitions(typed, ("series", "scalar_type")), root, 0)
+    back = tables.read(spark, root, "events_array")
+    own = back.withColumn("_at", F.explode(F.sequence(F.lit(0), F.element_at("shape_dims", 1) - 1)))
+    return own.select("series", "seq", F.col("_at").alias("pos"), "scalar_type", rounded(F.get("fvalues", "_at"), 6, "fvalue"), F.get("bvalues", "_at").alias("bvalue"))
+
+
+FROM, TO = 1_705_000_000 * 1_000_000_000, 1_705_800_000 * 1_000_000_000
 STATUS = f"""SELECT event_id AS seq, user_id AS series, (event_id % 6 + 1)::INTEGER AS kind, epoch_ns(ts) // {HOUR} * {HOUR} AS ts_msp,
  epoch_ns(ts) % {HOUR} AS ts_lsp, '10.0.0.' || user_id % 250 || ':5064' AS addr FROM events"""
 
@@ -67,8 +86,21 @@ def connection_status_log(spark, sf_dir):
 @query("k6_channel_status_log", f"SELECT series, ts_msp, ts_lsp, kind FROM ({STATUS})")
 def channel_status_log(spark, sf_dir):
     root = scratch(spark)
-    tables.write(tables.status_rows(status_items(spark, sf_dir)), root, "channel_status", 0)
-    return tables.by_time(tables.read(spark, root, "channel_status")).drop("date")
+    tables.write_channel_status(tables.status_rows(status_items(spark, sf_dir)), root, 0)
+    return tables.read(spark, root, "channel_status").select("series", "ts_msp", "ts_lsp", "kind")
+
+
+@query(
+    "k6_status_by_time",
+    f"""WITH s AS ({STATUS}), t AS (SELECT ts_msp + ts_lsp AS ts_ns, series, kind FROM s)
+SELECT series, ts_ns, kind, row_number() OVER (ORDER BY ts_ns, series, kind) - 1 AS position FROM t WHERE ts_ns BETWEEN {FROM} AND {TO}""",
+)
+def status_by_time(spark, sf_dir):
+    """The log of all series over a range of time, in order, from the layout by time."""
+    root = scratch(spark)
+    tables.write_channel_status(tables.status_rows(status_items(spark, sf_dir)), root, 0)
+    found = archive.status_range(spark, root, FROM, TO)
+    return number_rows(found, ["ts_ns", "series", "kind"], "position").select("series", "ts_ns", "kind", "position")
 
 
 @query(
@@ -178,7 +210,6 @@ def key_violations(spark, sf_dir):
     return tables.key_violations(rows, "ts_msp")
 
 
-FROM, TO = 1_705_000_000 * 1_000_000_000, 1_705_800_000 * 1_000_000_000
 
 
 @query(

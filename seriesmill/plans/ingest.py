@@ -49,7 +49,8 @@ def typed_columns(decoded: DataFrame) -> DataFrame:
             "bvalue": F.when(scalar & flag, first("ints") != 0),
             "fvalue": F.when(scalar, first("floats")),
             "svalue": F.when(scalar, F.coalesce("text", wide)),
-            "ivalues": F.when(~scalar, F.col("ints")),
+            "ivalues": F.when(~scalar & ~flag, F.col("ints")),
+            "bvalues": F.when(~scalar & flag, F.transform("ints", lambda x: x != 0)),
             "fvalues": F.when(~scalar, F.col("floats")),
             "svalues": F.when(~scalar, F.coalesce(texts, wide_texts)),
         }

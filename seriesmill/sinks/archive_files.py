@@ -29,7 +29,7 @@ from seriesmill.sinks.tables import TABLES, Table, event_rows, shaped, partition
 
 # The time by which the files of a table are told apart, where it isn't ts_ns.
 ZONE_TIME = {
-    "ts_msp": "ts_msp", "series_by_ts_msp": "ts_msp_grid", "connection_status": "ts_msp", "channel_status": "ts_msp",
+    "ts_msp": "ts_msp", "series_by_ts_msp": "ts_msp_grid", "connection_status": "ts_msp", "channel_status": "ts_msp", "channel_status_by_time": "ts_msp",
     "channel_ping": "minute", "binned_scalar_f32": "off_msp",
 }
 LISTED = T.StructType(

@@ -24,7 +24,7 @@ class Table:
     """Columns, partition columns, primary key and retention class of one table.
 
     Scalar and array events share a folder: one pass over a batch writes both, and a partition
-    column tells them apart.
+    column tells them apart. Files of a `ranged` table hold ranges of its key that do not overlap.
     """
 
     name: str
@@ -34,6 +34,7 @@ class Table:
     retention: str
     folder: str | None = None
     where: str | None = None
+    ranged: bool = False
 
 
 FLOATS = T.ArrayType(T.FloatType())
@@ -41,7 +42,7 @@ _EVENT = dict(
     series=LONG, ts_msp=LONG, ts_lsp=LONG, ts_ns=LONG, seq=LONG, pulse=LONG, shape_dims=INTS, msp_bump=BOOL, ts_msp_grid=LONG
 )
 _SCALAR = dict(ivalue=LONG, fvalue=DOUBLE, svalue=STRING, bvalue=BOOL)
-_ARRAY = dict(ivalues=T.ArrayType(LONG), fvalues=T.ArrayType(DOUBLE), svalues=T.ArrayType(STRING))
+_ARRAY = dict(ivalues=T.ArrayType(LONG), fvalues=T.ArrayType(DOUBLE), svalues=T.ArrayType(STRING), bvalues=T.ArrayType(BOOL))
 _PLACE = dict(rank=INT, scalar_type=STRING, date=T.DateType())
 _EVENT_KEY = ("series", "ts_msp", "ts_lsp")
 
@@ -58,6 +59,8 @@ TABLES = {
               ("date",), ("addr", "ts_msp", "ts_lsp"), "index"),
         Table("channel_status", struct(series=LONG, ts_msp=LONG, ts_lsp=LONG, kind=INT, date=T.DateType()),
               ("date",), ("series", "ts_msp", "ts_lsp"), "index"),
+        Table("channel_status_by_time", struct(ts_msp=LONG, ts_lsp=LONG, series=LONG, kind=INT, date=T.DateType()),
+              ("date",), ("ts_msp", "ts_lsp", "series"), "index", ranged=True),
         Table("channel_ping", struct(part=INT, minute=LONG, series=LONG, ivl=DOUBLE, interest=DOUBLE, evsize=INT, date=T.DateType()),
               ("date",), ("part", "minute", "series"), "index"),
         Table("muted", struct(part=INT, series=LONG, ts_ns=LONG, ema=DOUBLE, emd=DOUBLE, date=T.DateType()),
@@ -103,7 +106,7 @@ def write(df: DataFrame, root: str, table: str, batch_id: int, sort: tuple[str,
     spec = TABLES[table]
     out = partition_columns_as_they_are(shaped(df, spec), spec.partition)
     order = sort or tuple(c for c in spec.key if c not in spec.partition)
-    spread = out.hint("rebalance", *spec.partition) if spec.partition else out.hint("rebalance")
+    spread = out.repartitionByRange(*spec.partition, *order) if spec.ranged else out.hint("rebalance", *spec.partition)
     writer = spread.sortWithinPartitions(*spec.partition, *order).write.mode("overwrite")
     if spec.partition:
         writer = writer.partitionBy(*spec.partition)
@@ -176,14 +179,19 @@ def route_items(items: DataFrame, root: str, batch_id: int) -> None:
     try:
         write_events(items.filter("item = 'insert'"), root, batch_id)
         for kind, (table, rows) in ROUTES.items():
-            write(rows(items.filter(F.col("item") == kind)), root, table, batch_id)
+            of_kind = rows(items.filter(F.col("item") == kind))
+            if kind == "channel_status":
+                write_channel_status(of_kind, root, batch_id)
+            else:
+                write(of_kind, root, table, batch_id)
     finally:
         items.unpersist()
 
 
-def by_time(channel_status: DataFrame) -> DataFrame:
-    """The second layout of the channel status log: ordered by time, then series."""
-    return channel_status.select("ts_msp", "ts_lsp", "series", "kind", "date")
+def write_channel_status(rows: DataFrame, root: str, batch_id: int) -> None:
+    """A batch of the channel status log in both layouts: by series, and by time for reads over all series."""
+    write(rows, root, "channel_status", batch_id)
+    write(rows, root, "channel_status_by_time", batch_id)
 
 
 def ensure_table(spark: SparkSession, table: str, database: str = "default") -> bool:

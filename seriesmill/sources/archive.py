@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from seriesmill.operators.joins import join_sized
 from seriesmill.operators.layout import last_write_wins
 from seriesmill.operators.registry import series_of_channel
-from seriesmill.schemas import DAY
+from seriesmill.schemas import DAY, HOUR
 from seriesmill.sinks.archive_files import ArchiveFiles
 from seriesmill.sinks.tables import TABLES, read
 
@@ -31,6 +31,13 @@ def candidate_partitions(index: DataFrame, series: DataFrame, from_ns: int, to_n
     return near.join(series.select("series").distinct(), "series", "left_semi").select("series", "ts_msp").distinct()
 
 
+def status_range(spark: SparkSession, root: str, from_ns: int, to_ns: int, div_ns: int = HOUR) -> DataFrame:
+    """Channel statuses of all series in a time range, from the layout by time: days, then row groups by their times."""
+    rows = read(spark, root, "channel_status_by_time")
+    near = rows.filter(F.col("date").between(day_text(from_ns), day_text(to_ns)) & F.col("ts_msp").between(from_ns // div_ns * div_ns, to_ns))
+    return near.withColumn("ts_ns", F.col("ts_msp") + F.col("ts_lsp")).filter(F.col("ts_ns").between(from_ns, to_ns))
+
+
 def read_range(
     spark: SparkSession,
     root: str,

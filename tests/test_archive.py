@@ -214,3 +214,21 @@ def test_two_ingests_keep_both_batches_and_make_the_patches_of_one(spark, tmp_pa
     two = run(str(tmp_path / "two"), [[*range(0, 100), *range(150, 240)], range(100, 150)])
     assert one[0] == two[0] == 240
     assert one[1] == two[1] and one[1]
+
+
+def test_status_files_by_time_do_not_overlap(spark, tmp_path):
+    """Each file of a day holds a range of times of its own, in order, and a range read prunes days and row groups."""
+    root, hour = str(tmp_path), 3_600_000_000_000
+    rows = spark.range(4000).select((F.col("id") % 97).alias("series"), (F.col("id") * 40_000_000_000).alias("ts_ns"), (F.col("id") % 6).cast("int").alias("kind"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_channel_status(tables.status_rows(rows), root, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = tables.read(spark, root, "channel_status_by_time")
+    spans = stored.groupBy(F.input_file_name().alias("f")).agg(F.min(F.struct("ts_msp", "ts_lsp")).alias("lo"), F.max(F.struct("ts_msp", "ts_lsp")).alias("hi")).orderBy("lo").collect()
+    assert len(spans) > 4 and all(a["hi"] < b["lo"] for a, b in zip(spans, spans[1:]))
+    found = archive.status_range(spark, root, 5 * hour, 7 * hour)
+    plan = found._jdf.queryExecution().toString()
+    assert found.count() == 181 and "PartitionFilters: [isnotnull(date" in plan and "GreaterThanOrEqual(ts_msp" in plan
+    assert tables.read(spark, root, "channel_status").count() == 4000
