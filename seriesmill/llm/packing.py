@@ -3,13 +3,14 @@
 Every task packs the documents of its partition as they come. Full sequences are cut off the front
 of a long document; what remains goes to the open sequence whose level (tokens so far) leaves the
 least sum of squared counts of open sequences by level, tracked in one array over all levels.
-When the partition ends, the emptiest open sequences are cut up to fill the others, and the last
-one is cut into powers of two, so no sequence needs padding.
+When the partition ends, the fullest open sequences stay and are filled up with ids of the emptiest
+ones, and the last one is cut into powers of two, so no sequence needs padding.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ class SumOfSquares:
         self.capacity = capacity
         self.levels = np.zeros(capacity + 1, np.int64)
         self.open: dict[int, list] = {}
+        self.moved = 0
 
     def best_level(self, size: int) -> int:
         """0 for a new sequence. The change of the sum of squares decides, then the higher level."""
@@ -63,30 +65,42 @@ class SumOfSquares:
         return None
 
     def drain(self) -> Iterator[list]:
-        """The open sequences, filled up with pieces of the emptiest ones, then powers of two."""
-        left = [p for level in sorted(self.open, reverse=True) for pieces in self.open[level] for p in pieces]
-        now, room = [], self.capacity
-        for doc, start, ids, total in left:
-            while len(ids):
+        """The open sequences: the fullest stay as they are and are filled up with ids of the emptiest, the last one is cut into powers of two.
+
+        `moved` counts the ids that leave the sequence they were placed in, those of the emptiest sequences alone.
+        """
+        left = deque(pieces for level in sorted(self.open) for pieces in self.open[level])
+        donor: list = []
+        while left:
+            filled = list(left.pop())
+            room = self.capacity - sum(len(p[2]) for p in filled)
+            while room and (donor or left):
+                if not donor:
+                    donor = list(left.popleft())
+                doc, start, ids, total = donor.pop()
                 take = min(room, len(ids))
-                now.append((doc, start, ids[:take], total))
-                start, ids, room = start + take, ids[take:], room - take
-                if not room:
-                    yield now
-                    now, room = [], self.capacity
-        size = self.capacity - room
+                filled.append((doc, start, ids[:take], total))
+                if take < len(ids):
+                    donor.append((doc, start + take, ids[take:], total))
+                room, self.moved = room - take, self.moved + take
+            yield from [filled] if not room else self.cut(filled)
+        yield from self.cut(donor)
+
+    def cut(self, pieces: list) -> Iterator[list]:
+        """One sequence as sequences of powers of two, the largest first."""
+        size = sum(len(p[2]) for p in pieces)
         while size:
             part = 1 << (size.bit_length() - 1)
-            cut, room, rest = [], part, []
-            for doc, start, ids, total in now:
+            whole, room, rest = [], part, []
+            for doc, start, ids, total in pieces:
                 take = min(room, len(ids))
                 if take:
-                    cut.append((doc, start, ids[:take], total))
+                    whole.append((doc, start, ids[:take], total))
                 if take < len(ids):
                     rest.append((doc, start + take, ids[take:], total))
                 room -= take
-            yield cut
-            now, size = rest, size - part
+            yield whole
+            pieces, size = rest, size - part
 
 
 def pack_documents(

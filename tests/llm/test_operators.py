@@ -154,6 +154,33 @@ def test_licences(spark, docs, no_docs):
     assert licenses.scan_licences(df, licenses.template_table(spark).limit(0)).filter("n_matches > 0").count() == 0
 
 
+def test_packing_keeps_the_fuller_sequences():
+    """At the end of a partition only ids of the emptiest sequences move: fewer than half of those still open, whole sequences aside."""
+    rnd = np.random.default_rng(5)
+    for n in (1, 7, 500, 2000):
+        packer, placed, kept, out = packing.SumOfSquares(2048), 0, set(), []
+        for doc, size in enumerate(rnd.integers(1, 1500, n)):
+            placed += size
+            whole = packer.place((doc, 0, np.full(size, doc), size), int(size))
+            out += [whole] if whole else []
+        open_ids = placed - 2048 * len(out)
+        left = sorted((level for level, held in packer.open.items() for _ in held), reverse=True)
+        out += packer.drain()
+        sizes = [sum(len(p[2]) for p in pieces) for pieces in out]
+        assert sum(sizes) == placed and all(s == 2048 or s & (s - 1) == 0 for s in sizes)
+        assert sum(s < 2048 for s in sizes) <= 11
+        ids = {}
+        for pieces in out:
+            for doc, start, part, total in pieces:
+                assert len(part) and (part == doc).all()
+                ids.setdefault(doc, []).append((start, start + len(part), total))
+        for parts in ids.values():
+            parts.sort()
+            assert parts[0][0] == 0 and parts[-1][1] == parts[-1][2] and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+        assert packer.moved == sum(2048 - level for level in left[: open_ids // 2048])
+        assert packer.moved <= open_ids / 2
+
+
 def test_packing(docs, no_docs):
     rows = packing.pack_documents(docs, BPE, capacity=64, with_ids=True).collect()
     sequences = {}
