@@ -7,7 +7,8 @@ Rules of a line (only lines with a word are judged, the others stay):
 * symbols: more than a tenth of its characters are `#*$%&|<>{}=~^_`;
 * navigation: at least three words are separators, one in every six or more;
 * repetition: at least `heading_words` words, half of them equal to the word before;
-* boilerplate: a line of at most 300 characters with one of the phrases below.
+* boilerplate: a line of at most 300 characters of which a third of the words or more belong to
+  phrases below, as whole words ("log in to" is not in "catalog in total").
 
 Everything is column expressions on one row, so a document never leaves its task, whatever its
 source, and nothing is shuffled.
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm.common import ascii_lower, computed, fresh, split_words
 
-SENTENCE_MARK = r"[.!?:;…。！？]"
+# Marks that end a sentence or a clause: Latin, East Asian, Indic, Armenian, Arabic, Ethiopic, Burmese, Khmer, Tibetan.
+SENTENCE_MARK = r"[.!?:;…。！？．：；।॥։՞՜؟۔؛።፧፨။។།]"
 LINE_SYMBOLS = r"[#*$%&|<>{}=~^_]"
 SEPARATORS = ("|", "/", ">", "<", "»", "›", "·", "•", "-", "–", "—")
 PHRASES = (
@@ -46,6 +48,8 @@ PHRASES = (
     "terms of use",
     "this site uses cookies",
 )
+# What may not stand beside a phrase.
+WORD_CHAR = r"\p{L}\p{N}_"
 
 
 @dataclass(frozen=True)
@@ -66,17 +70,18 @@ def line_fails(line: Column, words: Column, rules: LineRules) -> Column:
     symbols = F.length(line) - F.length(F.regexp_replace(line, LINE_SYMBOLS, ""))
     separators = F.size(F.filter(words, lambda w: w.isin(*SEPARATORS)))
     repeats = F.size(F.filter(words, lambda w, i: w.eqNullSafe(F.get(words, i - 1))))
-    phrase = F.lit(False)
+    phrase, in_phrases = F.lit(False), F.lit(0)
     low = ascii_lower(line)
     for p in PHRASES:
-        phrase = phrase | low.contains(p)
+        whole = low.contains(p) & low.rlike(f"(^|[^{WORD_CHAR}]){p}([^{WORD_CHAR}]|$)")
+        phrase, in_phrases = phrase | low.contains(p), in_phrases + F.when(whole, len(p.split())).otherwise(0)
     return (n > 0) & (
         ((n > rules.heading_words) & ~line.rlike(SENTENCE_MARK))
         | (line.contains("!!") & (marks >= 2) & (marks * 4 >= n))
         | (symbols * 10 > F.length(line))
         | ((separators >= 3) & (separators * 6 >= n))
         | ((n >= rules.heading_words) & (repeats * 2 >= n))
-        | ((F.length(line) <= 300) & phrase)
+        | ((F.length(line) <= 300) & phrase & (in_phrases * 3 >= n))
     )
 
 

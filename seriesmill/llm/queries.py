@@ -37,14 +37,16 @@ WITH lines AS (
   SELECT *, list_transform(ls, lambda x: regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS lw FROM lines
 ), judged AS (
   SELECT *, list_transform(range(1, len(ls) + 1), lambda i: len(lw[i]) > 0 AND (
-      (len(lw[i]) > 10 AND NOT regexp_matches(ls[i], '[.!?:;…。！？]'))
+      (len(lw[i]) > 10 AND NOT regexp_matches(ls[i], '{quality.SENTENCE_MARK}'))
       OR (len(regexp_extract_all(ls[i], '!!+')) >= 2 AND len(regexp_extract_all(ls[i], '!!+')) * 4 >= len(lw[i]))
       OR (length(ls[i]) - length(regexp_replace(ls[i], '[#*$%&|<>{{}}=~^_]', '', 'g'))) * 10 > length(ls[i])
       OR (len(list_filter(lw[i], lambda w: w IN ({quoted(quality.SEPARATORS)}))) >= 3
           AND len(list_filter(lw[i], lambda w: w IN ({quoted(quality.SEPARATORS)}))) * 6 >= len(lw[i]))
       OR (len(lw[i]) >= 10 AND len(list_filter(range(2, len(lw[i]) + 1), lambda k: lw[i][k] = lw[i][k - 1])) * 2 >= len(lw[i]))
-      OR (length(ls[i]) <= 300 AND len(list_filter([{quoted(quality.PHRASES)}],
-          lambda p: contains(translate(ls[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), p))) > 0)
+      OR (length(ls[i]) <= 300 AND list_sum(list_transform(list_filter([{quoted(quality.PHRASES)}],
+          lambda p: contains(translate(ls[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), p)),
+          lambda p: CASE WHEN regexp_matches(translate(ls[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '(^|[^{quality.WORD_CHAR}])' || p || '([^{quality.WORD_CHAR}]|$)') THEN len(string_split(p, ' ')) ELSE 0 END)) * 3 >= len(lw[i]))
     )) AS bad, flatten(lw) AS ws FROM words
 ), starts AS (
   SELECT doc_id, i, hash(ws[i:i + 7]) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM judged)

@@ -100,15 +100,17 @@ def line_fails(line):
         "forgot your password|log in to|lorem ipsum|privacy policy|share this|sign up for|skip to content|subscribe to our|"
         "terms of service|terms of use|this site uses cookies"
     ).split("|")
+    low = line.translate(UPPER)
+    in_phrases = sum(len(p.split()) for p in phrases if re.search(rf"(?<!\w){p}(?!\w)", low))
     marks = len(re.findall("!!+", line))
     separators = sum(x in "| / > < » › · • - – —".split() for x in w)
     return (
-        (n > 10 and not re.search("[.!?:;…。！？]", line))
+        (n > 10 and not re.search("[.!?:;…。！？．：；।॥։՞՜؟۔؛።፧፨။།]", line))
         or (marks >= 2 and marks * 4 >= n)
         or len(re.findall(r"[#*$%&|<>{}=~^_]", line)) * 10 > len(line)
         or (separators >= 3 and separators * 6 >= n)
         or (n >= 10 and sum(a == b for a, b in zip(w, w[1:])) * 2 >= n)
-        or (len(line) <= 300 and any(p in line.translate(UPPER) for p in phrases))
+        or (len(line) <= 300 and in_phrases > 0 and in_phrases * 3 >= n)
     )
 
 

@@ -49,6 +49,28 @@ def test_quality(docs, no_docs):
     assert quality.clean_documents(no_docs).count() == 0
 
 
+LINES = {
+    "The catalog in total has ten parts, and all of us share this view of them.": False,
+    "We share this way of working with every team that has asked for it so far.": False,
+    "Share this page": True,
+    "LOG IN TO your account": True,
+    "By signing in you agree to our Terms of Use and our Privacy Policy.": True,
+    "Éshare this": False,
+    "share this_one": False,
+    "Copyright 2020 Example. All rights reserved.\r": True,
+    "यह एक लंबा वाक्य है जिसमें दस से अधिक शब्द हैं और अंत में दंड है।": False,
+    "Սա երկար նախադասություն է որը ունի տասից ավելի բառ և վերջում ունի իր կետը մեկ։": False,
+    "one two three four five six seven eight nine ten eleven twelve": True,
+    "": False,
+}
+
+
+def test_lines(spark):
+    rows = spark.createDataFrame([(line,) for line in LINES], "line string")
+    got = {r["line"]: r["bad"] for r in rows.withColumn("bad", quality.line_fails(F.col("line"), quality.split_words(F.col("line")), quality.LineRules())).collect()}
+    assert got == LINES == {line: bool(brute.line_fails(line)) for line in LINES}
+
+
 @pytest.mark.parametrize("rounds", [4, 0])
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates(docs, k, rounds, monkeypatch):
@@ -92,12 +114,18 @@ def test_components(spark):
 @pytest.mark.parametrize("hot", [2000, 1])
 def test_repeated_windows(docs, hot, monkeypatch):
     monkeypatch.setattr(substring_dedup, "HOT", hot)
-    keyed = docs.filter("doc_id is not null")
-    rows = [d for d in DOCS if d[0] is not None]
-    got = substring_dedup.remove_repeats(keyed, window=12, seed=3).collect()
+    got = substring_dedup.remove_repeats(docs, window=12, seed=3).collect()
+    assert bag(got) == bag((k, *w) for (k, _), w in zip(DOCS, brute.without_windows(DOCS, 12)))
+
+
+@pytest.mark.parametrize("hot", [150_000, 300])
+def test_repeated_windows_of_null_keys_and_long_runs(spark, hot, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT", hot)
+    monkeypatch.setattr(substring_dedup, "LONGEST", 64)
+    shared = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, "a b c " * 700 + "end"), (2, "x " * 1000), (3, "b c a " * 50 + shared), (None, shared + " tail"), (None, "alone " + " ".join(f"v{i}" for i in range(30)))]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), window=12, seed=3).collect()
     assert bag(got) == bag((k, *w) for (k, _), w in zip(rows, brute.without_windows(rows, 12)))
-    nulls = substring_dedup.remove_repeats(docs, window=12, seed=3).filter("doc_id is null").collect()
-    assert bag((r["n_words"], r["n_removed"]) for r in nulls) == bag((len(brute.words(t)), 0) for k, t in DOCS if k is None)
 
 
 def test_repeated_windows_of_nothing(no_docs):
