@@ -2,12 +2,13 @@
 
 1. The minimiser of a window is the smallest hash among its runs of `seed` words. Consecutive
    windows with one minimiser are a super-k-mer; first only its place and minimiser are written.
+   One of more than `LONGEST` windows (a text that repeats a few words) is cut into several.
 2. A window can only repeat if its minimiser does, so super-k-mers whose minimiser occurs once go
    no further. That is most of them.
 3. The others travel as one packed string (their words, a space between) to the bucket of their
    minimiser. Equal strings are combined before the shuffle.
 4. In its bucket, the windows of all strings are sorted and counted.
-5. A bucket of more than `HOT` super-k-mers is not put in one task: its strings are taken apart
+5. A bucket of more than `HOT` windows is not put in one task: its strings are taken apart
    into digests of windows, counted with partial sums before the shuffle.
 """
 
@@ -26,7 +27,8 @@ from seriesmill.llm.segments import slices
 from seriesmill.llm.shingles import chain, hash_words, split_batch
 from seriesmill.llm.stars import attach, narrowed
 
-HOT = 10_000
+HOT = 150_000
+LONGEST = 512
 
 
 def running_min(values: np.ndarray, size: int) -> np.ndarray:
@@ -57,6 +59,9 @@ def super_kmers(docs: DataFrame, window: int, seed: int) -> DataFrame:
                 new = np.ones(len(rows), bool)
                 new[1:] = (rows[1:] != rows[:-1]) | (mini[1:] != mini[:-1])
                 at = np.flatnonzero(new)
+                begun = np.repeat(at, np.diff(np.append(at, len(rows))))
+                new |= (np.arange(len(rows)) - begun) % LONGEST == 0
+                at = np.flatnonzero(new)
                 own = pa.array(rows[at])
                 # The minimiser starts a window and the next window has it again: it is there twice.
                 again = np.zeros(len(rows), bool)
@@ -112,6 +117,7 @@ def packed_strings(rows: DataFrame, window: int) -> DataFrame:
 
 
 def windows_of(string: str, window: int) -> list[str]:
+    """All windows of a packed string; `LONGEST` bounds their number."""
     ends = [i for i, c in enumerate(string) if c == " "] + [len(string)]
     begins = [0, *[e + 1 for e in ends[:-1]]]
     return [string[begins[i] : ends[i + window - 1]] for i in range(len(begins) - window + 1)]
@@ -176,8 +182,8 @@ def repeated_in_hot_buckets(strings: DataFrame, window: int) -> DataFrame:
 def repeated_windows(docs: DataFrame, window: int, seed: int) -> DataFrame:
     """Windows that occur elsewhere too, of documents that have any: doc, text_hash, starts (word positions)."""
     places = stored(super_kmers(docs, window, seed), "super-kmers")
-    shared = places.groupBy("mini").agg(F.sum("at_least").alias("times")).filter("times > 1")
-    often = places.join(shared, "mini").select("doc", "text_hash", F.struct("start", "n", "mini", (F.col("times") > HOT).alias("hot")).alias("place"))
+    shared = places.groupBy("mini").agg(F.sum("at_least").alias("times"), F.sum("n").alias("size")).filter("times > 1")
+    often = places.join(shared, "mini").select("doc", "text_hash", F.struct("start", "n", "mini", (F.col("size") > HOT).alias("hot")).alias("place"))
     listed = stored(often.groupBy("doc", "text_hash").agg(F.collect_set("place").alias("places")), "listed")
     on = ["doc", "text_hash"]
     packed = stored(packed_strings(narrowed(docs, listed.select(*on), on).join(listed, on), window), "packed")
@@ -194,15 +200,17 @@ def remove_repeats(docs: DataFrame, window: int = 35, seed: int = 8, key: str =
 
     All rows count, so every row of a repeated one loses the windows they share; the first
     occurrence is not spared. A null, empty or shorter text has no windows; null gives no words and
-    an empty kept. Rows with a null key keep their words, and do count as places only for
-    themselves: they are left out. An empty table gives an empty one. Other columns are not read.
+    an empty kept. Rows with a null key are rows like others. An empty table gives an empty one.
+    Other columns are not read. Within, a row is told by the 64-bit hashes of its key and of its text;
+    rows that agree in both share their places.
     """
     if not 1 <= seed <= window:
         raise ValueError("seed must be from 1 to window")
     small_batches(docs.sparkSession)
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    rows = docs.select(F.col(f"`{key}`").alias("doc"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
-    found = repeated_windows(rows, window, seed)
+    own_key = F.col(f"`{key}`")
+    rows = docs.select(own_key.alias("key"), F.xxhash64(own_key).alias("doc"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
+    found = repeated_windows(rows.drop("key"), window, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -221,10 +229,10 @@ def remove_repeats(docs: DataFrame, window: int = 35, seed: int = 8, key: str =
                     removed.append(counts[-1] - len(words))
                     kept.append(b" ".join(words))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-                    names=["doc", "n_words", "n_removed", "kept"],
+                    [batch.column("key"), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                    names=["key", "n_words", "n_removed", "kept"],
                 )
 
-    kind = rows.schema["doc"].dataType.simpleString()
-    joined = attach(rows, found, ["doc", "text_hash"]).select("doc", "text", "starts")
-    return joined.mapInArrow(run, f"doc {kind}, n_words long, n_removed long, kept string").withColumnRenamed("doc", key)
+    kind = rows.schema["key"].dataType.simpleString()
+    joined = attach(rows, found, ["doc", "text_hash"]).select("key", "text", "starts")
+    return joined.mapInArrow(run, f"key {kind}, n_words long, n_removed long, kept string").withColumnRenamed("key", key)
