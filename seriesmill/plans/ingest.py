@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesmill.functions.times import bucket
+from seriesmill.functions.times import bucket, utc_date
 from seriesmill.operators import addresses, bins, layout, registry
 from seriesmill.operators.fold import fold
 from seriesmill.operators.joins import join_sized
@@ -85,6 +85,22 @@ def ingest_captures(
     return Ingested(created, rejected)
 
 
+def events_since(every: DataFrame, touched: DataFrame, patch_ns: int, max_carry_ns: int) -> DataFrame:
+    """Stored events of the touched series that can reach into their patches from `_first` on.
+
+    The earliest time and the range of series are read from `touched` first, so that the scan
+    opens only the days from there on and skips the row groups of other series. A late row makes its
+    batch read from its day on: the gap after its series' last old event ends at any later one.
+    """
+    lowest = touched.agg(F.min("_first"), F.min("series"), F.max("series")).first()
+    if lowest[0] is None:
+        return every.filter(F.lit(False))
+    since = F.lit(lowest[0] * patch_ns - max_carry_ns)
+    near = every.filter((F.col("date") >= utc_date(since)) & (F.col("ts_ns") >= since) & F.col("series").between(lowest[1], lowest[2]))
+    seen = join_sized(near, touched, ["series"], "inner").filter(F.col("ts_ns") >= F.col("_first") * patch_ns - max_carry_ns)
+    return seen.drop("_first", "_last")
+
+
 def update_patches(
     spark: SparkSession,
     root: str,
@@ -108,8 +124,7 @@ def update_patches(
         bucket(F.min("ts_ns") - max_carry_ns, patch_ns).alias("_first"), bucket(F.max("ts_ns") + max_carry_ns, patch_ns).alias("_last")
     )
     touched = cut_lineage(touched)
-    seen = every.join(touched, "series").filter(F.col("ts_ns") >= F.col("_first") * patch_ns - max_carry_ns)
-    numeric = last_write_wins(seen.drop("_first", "_last"), tables.TABLES["events_scalar"].key, ("batch", "seq"))
+    numeric = last_write_wins(events_since(every, touched, patch_ns, max_carry_ns), tables.TABLES["events_scalar"].key, ("batch", "seq"))
     numeric = numeric.withColumn("value", F.coalesce("fvalue", F.col("ivalue").cast("double")))
     binned = bins.time_weighted_bins(numeric, bin_ns, single_precision=True, max_carry_ns=max_carry_ns, policy=policy)
     patches = bins.bin_patches(binned, bin_ns, bin_count).join(touched, "series")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -211,10 +212,10 @@ def ensure_table(spark: SparkSession, table: str, database: str = "default") ->
 
 
 def check_readable(spark: SparkSession, table: str, database: str = "default") -> bool:
-    """Whether the table can be scanned."""
+    """Whether the table is there and can be scanned; a failure to read its files is raised."""
     try:
         spark.table(f"{database}.{table}").limit(1).collect()
-    except Exception:
+    except AnalysisException:
         return False
     return True
 

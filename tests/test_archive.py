@@ -216,6 +216,22 @@ def test_two_ingests_keep_both_batches_and_make_the_patches_of_one(spark, tmp_pa
     assert one[1] == two[1] and one[1]
 
 
+def test_patches_read_the_days_and_series_they_touch(spark, tmp_path):
+    root = str(tmp_path)
+    tables.write_events(layout.lay_out(events(spark)), root, 0)
+    every = tables.read(spark, root, "events_scalar")
+    patch, first = 10 * HOUR, T0 // (10 * HOUR) + 6
+    touched = spark.createDataFrame([(1, first, first + 1)], "series long, _first long, _last long")
+    found = ingest.events_since(every, touched, patch, HOUR)
+    asked = every.filter(f"series = 1 and ts_ns >= {first * patch - HOUR}")
+    assert sorted(found.select("series", "ts_ns", "seq").collect()) == sorted(asked.select("series", "ts_ns", "seq").collect())
+    plan = plan_of(found)
+    assert "date" in plan.split("PartitionFilters: [", 1)[1].split("]")[0]
+    assert "GreaterThanOrEqual(ts_ns" in plan and "GreaterThanOrEqual(series,1)" in plan
+    assert 0 < found.count() < every.filter("series = 1").count()
+    assert ingest.events_since(every, touched.filter("series > 1"), patch, HOUR).count() == 0
+
+
 def test_status_files_by_time_do_not_overlap(spark, tmp_path):
     """Each file of a day holds a range of times of its own, in order, and a range read prunes days and row groups."""
     root, hour = str(tmp_path), 3_600_000_000_000
