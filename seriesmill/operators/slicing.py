@@ -55,22 +55,25 @@ class HotKeys:
     tie: str | None = None
     table: DataFrame | None = None
     n_slices: int = 0
+    most_cuts: int = 0
 
     def __bool__(self) -> bool:
         return self.table is not None
 
     def _slice_of(self) -> Column:
-        """1 and the number of cuts at or before the row: whole blocks of them by their first, then within one block."""
-        tie = F.coalesce(F.col(self.tie), F.lit(LOWEST)) if self.tie else F.lit(LOWEST)
-        here = F.struct(F.col(self.ts).alias("t"), tie.alias("s"))
-        passed = F.size(F.filter("_heads", lambda c: c <= here))
-        within = F.size(F.filter(F.element_at("_blocks", passed), lambda c: c <= here))
-        return F.when(passed == 0, 1).otherwise(1 + (passed - 1) * F.size(F.element_at("_blocks", 1)) + within)
+        """1 and the number of cuts at or before the row, by halving: steps from large to small are taken while the cut there is not past the row."""
+        ts, tie = F.col(self.ts), F.coalesce(F.col(self.tie), F.lit(LOWEST)) if self.tie else F.lit(LOWEST)
+
+        def go_on(at: Column, step: Column) -> Column:
+            t, s = F.get("_cut_t", at + step - 1), F.get("_cut_s", at + step - 1)
+            return F.when((t < ts) | ((t == ts) & (s <= tie)), at + step).otherwise(at)
+
+        return 1 + F.aggregate(F.array(*[F.lit(1 << i) for i in reversed(range(self.most_cuts.bit_length()))]), F.lit(0), go_on)
 
     def tag(self, df: DataFrame) -> DataFrame:
         """Add the slice number: 0 for every key of ordinary size, else 1 and up."""
         joined = join_small(df, self.table, self.keys)
-        return joined.withColumn(SLICE, F.when(F.col("_heads").isNull(), 0).otherwise(self._slice_of())).drop("_heads", "_blocks")
+        return joined.withColumn(SLICE, F.when(F.col("_cut_t").isNull(), 0).otherwise(self._slice_of())).drop("_cut_t", "_cut_s")
 
     def only(self, tagged: DataFrame) -> DataFrame:
         """Rows of the keys that are cut up."""
@@ -146,14 +149,11 @@ def find_hot(
     cuts = {k: sorted(c) for k, c in cuts.items() if c}
     if not cuts:
         return HotKeys(keys, ts)
-    pair = T.ArrayType(T.StructType([T.StructField("t", T.LongType()), T.StructField("s", T.LongType())]))
-    schema = T.StructType([*fields, T.StructField("_heads", pair), T.StructField("_blocks", T.ArrayType(pair))])
-    table = []
-    for k, c in cuts.items():
-        step = max(1, math.isqrt(len(c)))
-        blocks = [[{"t": t, "s": s} for t, s in c[i : i + step]] for i in range(0, len(c), step)]
-        table.append((*k, [block[0] for block in blocks], blocks))
-    return HotKeys(keys, ts, tie, small_table(df.sparkSession, table, schema), sum(len(c) + 1 for c in cuts.values()))
+    longs = T.ArrayType(T.LongType())
+    schema = T.StructType([*fields, T.StructField("_cut_t", longs), T.StructField("_cut_s", longs)])
+    table = [(*k, [t for t, _ in c], [s for _, s in c]) for k, c in cuts.items()]
+    n_slices, most = sum(len(c) + 1 for c in cuts.values()), max(len(c) for c in cuts.values())
+    return HotKeys(keys, ts, tie, small_table(df.sparkSession, table, schema), n_slices, most)
 
 
 class Ordered:

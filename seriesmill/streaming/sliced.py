@@ -69,6 +69,11 @@ def each_batch(rows: DataFrame, checkpoint: str, step: Callable[[DataFrame, int]
     return (writer.trigger(availableNow=True) if available_now else writer).foreachBatch(step).start()
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows in as many parts as there are cores, written down: a micro-batch can be one file, and with it one task."""
+    return cut_lineage(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism))
+
+
 def _settled_to(batch: DataFrame, before: int | None, delay_ns: int) -> int | None:
     """The time up to which rows are settled, in whole milliseconds: the newest row's less the delay; it never goes back."""
     newest = batch.agg(F.max("ts_ns")).first()[0]
@@ -123,7 +128,7 @@ def bin_batches(
         limit = F.lit(mark).cast("long")
         state.leave("pending", waiting.filter(F.coalesce(F.col("ts_ns") >= limit, F.lit(True))))
         ready = waiting.filter(F.col("ts_ns") < limit).withColumn("at", F.col("ts_ns")).withColumn("_old", F.lit(False))
-        rows = state.taken("carried", carried).withColumn("_old", F.lit(True)).unionByName(ready)
+        rows = _dealt(state.taken("carried", carried).withColumn("_old", F.lit(True)).unionByName(ready))
         held = Ordered(rows, [key], policy=policy).lead("next_ts", "ts_ns").done()
         until = F.least(F.coalesce("next_ts", limit), F.col("ts_ns") + max_carry_ns)
         held = cut_lineage(held.select(key, "ts_ns", "seq", "value", "at", "_old", "next_ts", until.alias("until")))

@@ -1,13 +1,15 @@
 """Ordered columns: sliced keys against plain Python."""
 
 import random
+from bisect import bisect_right
 
 import pytest
 from pyspark.sql import functions as F
 
 from seriesmill.operators import bins
-from seriesmill.operators.slicing import Ordered, SlicePolicy, find_hot, number_rows
+from seriesmill.operators.slicing import LOWEST, HotKeys, Ordered, SlicePolicy, find_hot, number_rows
 from seriesmill.schemas import MINUTE
+from seriesmill.streaming import sliced
 
 SMALL = SlicePolicy(max_rows=25)
 
@@ -97,6 +99,27 @@ def test_a_burst_is_cut_by_rank(spark, spread):
     assert all(x["seq"] == y["before"] and (x["ts_ns"], x["seq"]) < (y["ts_ns"], y["seq"]) for x, y in zip(got, got[1:]))
 
 
+def test_a_row_is_placed_without_a_pass_over_its_cuts(spark):
+    """Slices by halving: those of a sorted search, with work per row that hardly grows with the cuts."""
+    rng, n = random.Random(3), 3000
+    cuts = sorted({(rng.randrange(2000), rng.choice([LOWEST, 3, 8])) for _ in range(n)})
+    rows = [("a", rng.randrange(-5, 2005) if rng.random() < 0.99 else None, rng.choice([None, *range(10)])) for _ in range(4000)] + [("b", 5, 5)]
+    df = spark.createDataFrame(rows, "series string, ts_ns long, seq long")
+    table = spark.createDataFrame([("a", [t for t, _ in cuts], [s for _, s in cuts])], "series string, _cut_t array<long>, _cut_s array<long>")
+    hot = HotKeys(("series",), "ts_ns", "seq", table, len(cuts) + 1, len(cuts))
+    for r in hot.tag(df).collect():
+        place = (r["ts_ns"], LOWEST if r["seq"] is None else r["seq"])
+        assert r["_slice"] == (0 if r["series"] == "b" else 1 if r["ts_ns"] is None else 1 + bisect_right(cuts, place))
+    plan = hot.tag(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan and "filter(" not in plan.replace("Filter", "")
+
+
+def test_one_file_of_a_stream_is_dealt_over_the_cores(spark):
+    rows = spark.range(1000).coalesce(1)
+    dealt = sliced._dealt(rows)
+    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and sorted(r[0] for r in dealt.collect()) == list(range(1000))
+
+
 def brute_bins(events, width, carry=None):
     """Bins from the definition, nanosecond spans by hand."""
     out, by_key = {}, {}
