@@ -222,7 +222,7 @@ def silence_batches(
         last = state.taken("last", last_of)
         known = last.select(F.col(key).alias("_key"), F.col("ts_ns").alias("_last"))
         new = new.join(known, F.col(key).eqNullSafe(F.col("_key")), "left").filter("_last is null or ts_ns >= _last").select(key, "ts_ns")
-        rows = cut_lineage(last.withColumn("_old", F.lit(True)).unionByName(new.withColumn("_old", F.lit(False))))
+        rows = _dealt(last.withColumn("_old", F.lit(True)).unionByName(new.withColumn("_old", F.lit(False))))
         state.leave("last", rows.groupBy(key).agg(F.max("ts_ns").alias("ts_ns")))
         held = Ordered(rows, [key], ("ts_ns", "_old"), policy=policy).lead("_next", "ts_ns").done()
         stages = F.array(
