@@ -402,7 +402,7 @@ def _settle_chain(tagged: DataFrame, kernel: Chain, hot: HotKeys, order: Sequenc
         gate = kernel.steps[0]
         schema = T.StructType([*tagged.schema.fields, *gate.outputs.fields])
         entered = join_small(hot.only(tagged), every.withColumnRenamed("_entry_0", ENTRY), part)
-        rows = _arrange(entered, part, order).mapInArrow(_full_pass(gate, part, schema), schema).filter(kernel.keep)
+        rows = _pass_on(_arrange(entered, part, order), gate, part, schema).filter(kernel.keep)
     for i, step in enumerate(kernel.steps[1:], 1):
         one = _settle(rows, step, hot, order, before[i]).withColumnRenamed(ENTRY, f"_entry_{i}")
         every = join_small(every, one, part)
@@ -410,6 +410,21 @@ def _settle_chain(tagged: DataFrame, kernel: Chain, hot: HotKeys, order: Sequenc
     return every.select(*part, F.struct(*fields).alias(ENTRY))
 
 
+def _pass_on(rows: DataFrame, kernel: Kernel, part: Sequence[str], schema: T.StructType) -> DataFrame:
+    """All rows through the kernel, their null arrays as empty ones beside a flag.
+
+    Spark writes rows to Arrow with a look at the size of the batch after each, which for every array column goes
+    over the nulls since its last array: a column without arrays costs the square of the rows of a batch.
+    """
+    flags = {f.name: f"_null_{f.name}" for f in rows.schema if isinstance(f.dataType, T.ArrayType) and f.nullable}
+    filled = {c: F.coalesce(c, F.array().cast(rows.schema[c].dataType)) for c in flags}
+    rows = rows.withColumns({**{flag: F.col(c).isNull() for c, flag in flags.items()}, **filled})
+    first = [T.StructField(flag, T.BooleanType()) for flag in flags.values()]
+    flagged = T.StructType([*first, *schema.fields])
+    folded = rows.mapInArrow(_full_pass(kernel, part, flagged), flagged)
+    return folded.select(*[F.when(~F.col(flags[c]), F.col(c)).alias(c) if c in flags else c for c in schema.names])
+
+
 def _entered(rows: DataFrame, entry: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with the state their key, or slice of a key, is entered with; null-safe, broadcast only behind a count."""
     if entry.count() <= BROADCAST_ROWS:
@@ -442,7 +457,7 @@ def fold(
     schema = T.StructType([*df.schema.fields, *kernel.outputs.fields, *left])
     if not hot:
         rows = df if entry is None else _entered(df, entry, keys)
-        return _arrange(rows, keys, order).mapInArrow(_full_pass(kernel, keys, schema), schema)
+        return _pass_on(_arrange(rows, keys, order), kernel, keys, schema)
     tagged = hot.tag(df)
     part = (*keys, SLICE)
     if entry is None:
@@ -454,7 +469,7 @@ def fold(
         settled = _settle(tagged, kernel, hot, order, given)
         others = join_small(entry.select(*keys, ENTRY), large.withColumn("_large", F.lit(True)), keys).filter("_large is null")
         rows = _entered(tagged, settled.unionByName(others.select(*keys, F.lit(0).alias(SLICE), ENTRY)), part)
-    return _arrange(rows, part, order).mapInArrow(_full_pass(kernel, part, schema), schema)
+    return _pass_on(_arrange(rows, part, order), kernel, part, schema)
 
 
 def exit_states(folded: DataFrame, keys: Sequence[str], order: Sequence[str] = ("ts_ns", "seq")) -> DataFrame:

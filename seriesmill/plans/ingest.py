@@ -78,8 +78,10 @@ def ingest_captures(
     good, bad = captures.decode_headers(messages)
     frames, unread = captures.channel_frames(good, most_channels)
     values = typed_columns(captures.decode_frames(frames)).withColumn("seq", F.col("msg_id"))
+    # decoded once: the registry and the layout read them several times
+    values = cut_lineage(values.select("channel", *[c for c in values.columns if c in tables.TABLES["events"].columns.names]))
     rows, created = with_series(values, known, backend)
-    laid_out = layout.lay_out(rows, roll or PartitionRoll(max_rows=6400), policy=policy)
+    laid_out = layout.lay_out(rows.drop("channel"), roll or PartitionRoll(max_rows=6400), policy=policy)
     tables.write_events(laid_out, root, batch_id)
     rejected = bad.select("msg_id", "reason").unionByName(unread.select("msg_id", "reason"))
     return Ingested(created, rejected)
