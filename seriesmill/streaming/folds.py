@@ -12,6 +12,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -19,6 +20,7 @@ from seriesmill.functions.times import timestamp_of
 from seriesmill.operators.fold import Chain
 from seriesmill.operators.kernels import GridChange, IntervalGate, PartitionRoll
 from seriesmill.operators.lifecycle import TRANSITION, Lifecycle, Timeouts
+from seriesmill.operators.slicing import LOWEST
 from seriesmill.schemas import DOUBLE, INT, LONG, MINUTE, SECOND, STRING, struct
 
 ORDER = ["ts_ns", "seq"]
@@ -90,6 +92,86 @@ def lay_out_stream(
     )
 
 
+class PendingRows:
+    """Rows of one key that the watermark has not reached, as sorted runs in blocks, each block one packed value.
+
+    A run holds at most `RUN` rows. Taking rows merges the runs that have begun by then, one block of each in memory.
+    """
+
+    RUN, BLOCK = 1 << 18, 1 << 12
+    ROW = np.dtype([("ts_ns", "<i8"), ("seq", "<i8"), ("value", "<f8")])
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.runs = handle.getMapState("pending_runs", struct(run=LONG), struct(block=LONG, end=LONG, first=LONG))
+        self.blocks = handle.getMapState("pending_blocks", struct(run=LONG, block=LONG), struct(rows=T.BinaryType()))
+
+    def add(self, frames: Iterator[pd.DataFrame]) -> None:
+        held, size = [], 0
+        for pdf in frames:
+            rows = np.empty(len(pdf), self.ROW)
+            for name in self.ROW.names:
+                rows[name] = pdf[name].to_numpy()
+            held.append(rows)
+            size += len(rows)
+            if size >= self.RUN:
+                self._add_run(np.concatenate(held))
+                held, size = [], 0
+        if size:
+            self._add_run(np.concatenate(held))
+
+    def _sorted(self, rows: np.ndarray) -> np.ndarray:
+        return np.lexsort((rows["value"], rows["seq"], rows["ts_ns"]))
+
+    def _add_run(self, rows: np.ndarray) -> None:
+        rows = rows[self._sorted(rows)]
+        run = max((k[0] for k in self.runs.keys()), default=-1) + 1
+        starts = range(0, len(rows), self.BLOCK)
+        for n, at in enumerate(starts):
+            self.blocks.updateValue((run, n), (rows[at : at + self.BLOCK].tobytes(),))
+        self.runs.updateValue((run,), (0, len(starts), int(rows["ts_ns"][0])))
+
+    def first(self) -> int | None:
+        return min((v[2] for v in self.runs.values()), default=None)
+
+    def take(self, mark: int) -> Iterator[np.ndarray]:
+        """The rows before a time, in order and part by part; they are forgotten."""
+        ends, at, heads = {}, {}, {}
+        for (run,), (block, end, first) in list(self.runs.iterator()):
+            if first < mark:
+                ends[run], at[run], heads[run] = end, block, self._block(run, block)
+        while heads:
+            # Up to the earliest last row of a block that is followed by another: nothing before it is still to come.
+            names = list(heads)
+            rows = np.concatenate([heads[r] for r in names])
+            of = np.repeat(np.arange(len(names)), [len(heads[r]) for r in names])
+            order = self._sorted(rows)
+            rank = np.empty(len(order), dtype=np.int64)
+            rank[order] = np.arange(len(order))
+            last = np.cumsum([len(heads[r]) for r in names]) - 1
+            goes_on = [rank[e] for r, e in zip(names, last) if at[r] + 1 < ends[r]]
+            rows = rows[order[: min(goes_on, default=len(order) - 1) + 1]]
+            rows = rows[: np.searchsorted(rows["ts_ns"], mark)]
+            taken = np.bincount(of[order[: len(rows)]], minlength=len(names))
+            yield rows
+            for r, n in zip(names, taken.tolist()):
+                heads[r] = heads[r][n:]
+                while not len(heads[r]) and at[r] < ends[r]:
+                    self.blocks.removeKey((r, at[r]))
+                    at[r] += 1
+                    if at[r] < ends[r]:
+                        heads[r] = self._block(r, at[r])
+                if not len(heads[r]):
+                    self.runs.removeKey((r,))
+                    del heads[r]
+                elif heads[r]["ts_ns"][0] >= mark:
+                    self.blocks.updateValue((r, at[r]), (heads[r].tobytes(),))
+                    self.runs.updateValue((r,), (at[r], ends[r], int(heads[r]["ts_ns"][0])))
+                    del heads[r]
+
+    def _block(self, run: int, block: int) -> np.ndarray:
+        return np.frombuffer(bytes(self.blocks.getValue((run, block))[0]), self.ROW)
+
+
 class BinProcessor(StatefulProcessor):
     """Time-weighted bins of one series, closed as the watermark passes their end.
 
@@ -103,15 +185,14 @@ class BinProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", struct(ts_ns=LONG, seq=LONG, value=DOUBLE))
+        self.pending = PendingRows(handle)
         self.open = handle.getValueState(
             "open",
             struct(bin=LONG, count=LONG, min=DOUBLE, max=DOUBLE, weighted=DOUBLE, weight=DOUBLE, ts_ns=LONG, at=LONG, value=DOUBLE),
         )
 
     def handleInputRows(self, key, rows, timerValues):
-        new = [tuple(r) for pdf in rows for r in pdf[["ts_ns", "seq", "value"]].itertuples(index=False)]
-        self.pending.appendList(new)
+        self.pending.add(rows)
         yield from self._settle(key, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -120,25 +201,22 @@ class BinProcessor(StatefulProcessor):
     def _settle(self, key, timerValues):
         """Fold what the watermark has passed, then close the bins that ended before it."""
         mark = timerValues.getCurrentWatermarkInMs() * 1_000_000
-        waiting = sorted(self.pending.get()) if self.pending.exists() else []
-        ready = [r for r in waiting if r[0] < mark]
-        if ready:
-            rest = waiting[len(ready) :]
-            self.pending.put(rest) if rest else self.pending.clear()
-            waiting = rest
         bin_ = list(self.open.get()) if self.open.exists() else None
-        closed = []
-        for ts, _, value in ready:
-            if bin_ is not None:
-                bin_ = self._carry(bin_, ts, closed)
-            b = ts // self.bin
-            if bin_ is None or bin_[0] != b:
+        for rows in self.pending.take(mark):
+            closed = []
+            for ts, value in zip(rows["ts_ns"].tolist(), rows["value"].tolist()):
                 if bin_ is not None:
-                    closed.append(self._row(bin_))
-                bin_ = [b, 0, value, value, 0.0, 0.0, ts, ts, value]
-            bin_[1] += 1
-            bin_[2], bin_[3] = min(bin_[2], value), max(bin_[3], value)
-            bin_[6], bin_[7], bin_[8] = ts, ts, value
+                    bin_ = self._carry(bin_, ts, closed)
+                b = ts // self.bin
+                if bin_ is None or bin_[0] != b:
+                    if bin_ is not None:
+                        closed.append(self._row(bin_))
+                    bin_ = [b, 0, value, value, 0.0, 0.0, ts, ts, value]
+                bin_[1] += 1
+                bin_[2], bin_[3] = min(bin_[2], value), max(bin_[3], value)
+                bin_[6], bin_[7], bin_[8] = ts, ts, value
+            yield from self._frame(key, closed)
+        closed = []
         if bin_ is not None:
             bin_ = self._carry(bin_, min(mark, bin_[6] + self.max_carry), closed)
             ended = (bin_[0] + 1) * self.bin <= mark
@@ -149,10 +227,12 @@ class BinProcessor(StatefulProcessor):
             self.open.clear()
         else:
             self.open.update(tuple(bin_))
-        self._set_timer(bin_, waiting)
+        self._set_timer(bin_, self.pending.first())
+        yield from self._frame(key, closed)
+
+    def _frame(self, key, closed):
         if closed:
-            names = [self.key, "bin", "count", "min", "max", "avg"]
-            yield pd.DataFrame([(key[0], *r) for r in closed], columns=names)
+            yield pd.DataFrame([(key[0], *r) for r in closed], columns=[self.key, "bin", "count", "min", "max", "avg"])
 
     def _carry(self, bin_, until, closed):
         """Hold the value until a time, at most for the carry limit, closing the bins it fills."""
@@ -172,14 +252,14 @@ class BinProcessor(StatefulProcessor):
     def _row(self, b):
         return b[0], b[1], b[2], b[3], b[4] / b[5] if b[5] > 0 else b[8]
 
-    def _set_timer(self, bin_, waiting):
+    def _set_timer(self, bin_, first):
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
         due = []
         if bin_ is not None:
             due.append((bin_[0] + 1) * self.bin)
-        if waiting:
-            due.append(waiting[0][0] + 1_000_000)
+        if first is not None:
+            due.append(first + 1_000_000)
         if due:
             self.handle.registerTimer(min(due) // 1_000_000 + 1)
 
@@ -190,10 +270,14 @@ class BinProcessor(StatefulProcessor):
 def bin_stream(
     events: DataFrame, bin_ns: int = MINUTE, delay: str = "10 seconds", key: str = "series", *, max_carry_ns: int
 ) -> DataFrame:
-    """Time-weighted bins of a stream of events, each given once when the watermark passes its end."""
+    """Time-weighted bins of a stream of events, each given once when the watermark passes its end.
+
+    Rows without a time are left out.
+    """
     kind = events.schema[key].dataType
     schema = T.StructType([T.StructField(key, kind), *struct(bin=LONG, count=LONG, min=DOUBLE, max=DOUBLE, avg=DOUBLE).fields])
-    timed = events.select(key, "ts_ns", "seq", "value", timestamp_of().alias("event_time")).withWatermark("event_time", delay)
+    rows = events.select(key, "ts_ns", F.coalesce("seq", F.lit(LOWEST)).alias("seq"), "value").filter("ts_ns is not null")
+    timed = rows.withColumn("event_time", timestamp_of()).withWatermark("event_time", delay)
     return timed.groupBy(key).transformWithStateInPandas(BinProcessor(bin_ns, max_carry_ns, key), schema, "append", "eventTime")
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,39 @@ def test_bins_in_micro_batches(spark, event_files, tmp_path):
         assert have[k]["avg"] == pytest.approx(w["avg"], rel=1e-9)
 
 
+class Kept(dict):
+    """A state map without a stream."""
+
+    getValue, updateValue, removeKey, iterator = dict.get, dict.__setitem__, dict.__delitem__, dict.items
+
+
+class Handle:
+    def getMapState(self, *_):
+        return Kept()
+
+
+def test_pending_rows_are_merged_block_by_block():
+    """Rows come back in order and in parts that do not grow with their number; later ones stay."""
+    rng, most = random.Random(5), 0
+
+    class Small(folds.PendingRows):
+        RUN, BLOCK = 400, 16
+
+    pending, want = Small(Handle()), []
+    assert pending.first() is None and list(pending.take(10)) == []
+    for mark in (0, 300, 310, 900, 2000):
+        new = [(rng.randrange(min(mark, 1400), 1500), rng.choice([folds.LOWEST, rng.randrange(50)]), float(rng.randrange(3))) for _ in range(1500)]
+        pending.add(pd.DataFrame(new[i : i + 50], columns=["ts_ns", "seq", "value"]) for i in range(0, 1500, 50))
+        want = sorted(want + new)
+        parts = list(pending.take(mark))
+        most = max([most, *map(len, parts)])
+        got = [tuple(r) for p in parts for r in p.tolist()]
+        assert got == [r for r in want if r[0] < mark]
+        want = want[len(got) :]
+        assert pending.first() == (want[0][0] if want else None)
+    assert 0 < most <= 16 * 20 and not pending.runs and not pending.blocks
+
+
 TIGHT = SlicePolicy(max_rows=100)
 
 
