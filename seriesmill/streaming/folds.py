@@ -24,6 +24,7 @@ from seriesmill.operators.slicing import LOWEST
 from seriesmill.schemas import DOUBLE, INT, LONG, MINUTE, SECOND, STRING, struct
 
 ORDER = ["ts_ns", "seq"]
+BUCKET = "series_bucket"
 _PANDAS = {LONG: "Int64", T.BooleanType(): "boolean"}
 
 
@@ -31,6 +32,11 @@ def _ordered(rows: Iterator[pd.DataFrame], order: Sequence[str] = ORDER) -> pd.D
     return pd.concat(list(rows), ignore_index=True).sort_values(list(order), ignore_index=True)
 
 
+def _joined(parts: list[Any]) -> Any:
+    """One kernel output from those of several runs."""
+    return tuple(np.concatenate(p) for p in zip(*parts)) if isinstance(parts[0], tuple) else np.concatenate(parts)
+
+
 def _series(value: Any) -> Any:
     """A kernel output as a pandas column."""
     if isinstance(value, tuple):
@@ -44,28 +50,41 @@ def _series(value: Any) -> Any:
 
 
 class IngestProcessor(StatefulProcessor):
-    """Gate, partition roll and grid flag of one series; dropped rows leave only their reports.
+    """Gate, partition roll and grid flag of the series of one bucket; dropped rows leave only their reports.
 
-    The state of all three is one value, read and written once per series and micro-batch.
+    The state of all three is one value per series, read and written once per series and micro-batch. Only the
+    kernels run series by series: the rows of a bucket are sorted, and its results put together, at once.
     """
 
-    def __init__(self, gate: IntervalGate, layout: Chain, columns: list[str]):
-        self.gate, self.layout, self.columns = gate, layout, columns
+    def __init__(self, gate: IntervalGate, layout: Chain, columns: list[str], series: T.StructType):
+        self.gate, self.layout, self.columns, self.series = gate, layout, columns, series
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.store = handle.getValueState("layout", Chain(self.gate, *self.layout.steps).state)
+        self.store = handle.getMapState("layout", self.series, Chain(self.gate, *self.layout.steps).state)
+
+    def _run(self, kernel, states: dict, rows: pd.DataFrame) -> pd.DataFrame:
+        """The rows, which lie by series, with the kernel's columns; moves the states of their series on."""
+        names, cols = rows["series"].to_numpy(), {c: rows[c].to_numpy() for c in kernel.inputs}
+        starts = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+        outs = []
+        for at, end in zip(starts.tolist(), [*starts[1:].tolist(), len(names)]):
+            states[names[at]], out = kernel.run(states[names[at]], {c: v[at:end] for c, v in cols.items()})
+            outs.append(out)
+        return rows.assign(**{n: _series(_joined([out[n] for out in outs])) for n in outs[0]})
 
     def handleInputRows(self, key, rows, timerValues):
-        stored, size = self.store.get(), len(self.gate.state)
-        gate_state, layout_state = (self.gate.fresh(), self.layout.fresh()) if stored is None else (tuple(stored)[:size], tuple(stored)[size:])
-        events = _ordered(rows, (self.gate.ts, "seq"))
-        gate_state, out = self.gate.run(gate_state, {c: events[c].to_numpy() for c in self.gate.inputs})
-        events = events.assign(**{n: _series(v) for n, v in out.items()})
-        kept = events[out["admitted"]].sort_values(list(ORDER), ignore_index=True)
+        events, size = _ordered(rows, ("series", self.gate.ts, "seq")), len(self.gate.state)
+        gates, layouts = {}, {}
+        for name in events["series"].unique():
+            stored = self.store.getValue((name,))
+            gates[name] = self.gate.fresh() if stored is None else tuple(stored)[:size]
+            layouts[name] = self.layout.fresh() if stored is None else tuple(stored)[size:]
+        events = self._run(self.gate, gates, events)
+        kept = events[events["admitted"]].sort_values(["series", *ORDER], ignore_index=True)
         if len(kept):
-            layout_state, out = self.layout.run(layout_state, {c: kept[c].to_numpy() for c in self.layout.inputs})
-            yield kept.assign(**{n: _series(v) for n, v in out.items()})[self.columns]
-        self.store.update((*gate_state, *layout_state))
+            yield self._run(self.layout, layouts, kept)[self.columns]
+        for name, state in gates.items():
+            self.store.updateValue((name,), (*state, *layouts[name]))
         told = events[events["report"] & ~events["admitted"]]
         if len(told):
             yield told.assign(**{f.name: pd.Series([None] * len(told), index=told.index, dtype=_PANDAS[f.dataType]) for f in self.layout.outputs})[self.columns]
@@ -79,17 +98,24 @@ def lay_out_stream(
     gate: IntervalGate | None = None,
     roll: PartitionRoll | None = None,
     grid: GridChange | None = None,
+    buckets: int = 2048,
 ) -> DataFrame:
     """Admitted events with their layout, and the interval reports of dropped ones (`admitted` false).
 
     The gate sees the rows in the order of its own clock, the layout the admitted ones in time order.
     With the time of arrival as the clock (`IntervalGate(ts=...)`), rows that come late are admitted.
+    Series are dealt to buckets, whose rows of a micro-batch are handled together; null series have one of their
+    own. The number of buckets is part of the state: a checkpoint goes on with the one it began with.
     """
     gate, layout = gate or IntervalGate(), Chain(roll or PartitionRoll(), grid or GridChange())
-    schema = T.StructType([*events.schema.fields, *gate.outputs.fields, *layout.outputs.fields])
-    return events.groupBy("series").transformWithStateInPandas(
-        IngestProcessor(gate, layout, schema.names), schema, "append", "none"
-    )
+    series = events.schema["series"]
+    bucket = F.when(F.col("series").isNull(), -1).otherwise(F.pmod(F.xxhash64("series"), F.lit(buckets))).cast("long")
+    # A null would make numbers of a whole Arrow batch floats in pandas.
+    dealt = events.select(bucket.alias(BUCKET), "*").withColumn("series", F.coalesce("series", F.lit(0).cast(series.dataType)))
+    schema = T.StructType([T.StructField(BUCKET, LONG), *events.schema.fields, *gate.outputs.fields, *layout.outputs.fields])
+    processor = IngestProcessor(gate, layout, schema.names, T.StructType([series]))
+    laid_out = dealt.groupBy(BUCKET).transformWithStateInPandas(processor, schema, "append", "none")
+    return laid_out.withColumn("series", F.when(F.col(BUCKET) >= 0, F.col("series"))).drop(BUCKET)
 
 
 class PendingRows:

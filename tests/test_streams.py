@@ -100,6 +100,27 @@ def test_pending_rows_are_merged_block_by_block():
     assert 0 < most <= 16 * 20 and not pending.runs and not pending.blocks
 
 
+def test_ingest_of_many_series_in_a_bucket(spark, tmp_path):
+    """A bucket holds series of any id, null among them, and goes on with each one's state in the next micro-batch."""
+    rng = random.Random(8)
+    names = [None, 0, 1, *range(2**60, 2**60 + 40)]
+    rows = [(rng.choice(names), T0 + i * SECOND, i, i, "F64", [], rng.random()) for i in range(3000)]
+    for part in (rows[:1500], rows[1500:]):
+        rng.shuffle(part)
+        spark.createDataFrame(part, EVENTS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    kernels = dict(gate=IntervalGate(60 * SECOND), roll=PartitionRoll(9, 10 * MINUTE), grid=GridChange(SECOND, 300))
+    whole = layout.lay_out(spark.createDataFrame(rows, EVENTS), **kernels)
+    columns = ["series", "seq", "ts_msp", "ts_lsp", "msp_bump", "ts_msp_grid", "fvalue"]
+    want = whole.filter("admitted").withColumn("fvalue", F.col("value")).select(columns)
+    root = f"{tmp_path}/out"
+    stream = jobs.follow(spark, f"{tmp_path}/in", EVENTS, files_per_trigger=1)
+    jobs.ingest(stream, root, f"{root}/checkpoint", **kernels, buckets=2).awaitTermination()
+    stored = tables.read(spark, root, "events_scalar")
+    assert stored.select("batch").distinct().count() == 2 and stored.filter("series is null").count() > 0
+    assert stored.select(columns).exceptAll(want).count() == 0 and stored.count() == want.count()
+    assert tables.read(spark, root, "receive_interval").count() == whole.filter("report").count() > 0
+
+
 TIGHT = SlicePolicy(max_rows=100)
 
 
