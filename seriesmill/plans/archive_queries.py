@@ -289,12 +289,11 @@ def late_ingest(spark, sf_dir):
     """Two micro-batches, the second with the events between those of the first; gated by arrival."""
     root = scratch(spark)
     rows = events(spark, sf_dir).withColumn("recv_ts_ns", (F.col("seq") % 2) * 90 * DAY + F.col("ts_ns"))
-    for half in range(2):
-        rows.filter(F.col("seq") % 2 == half).coalesce(1).write.mode("append").parquet(f"{root}/in")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    arriving = jobs.follow(spark, f"{root}/in", rows.schema, files_per_trigger=1)
-    gate = IntervalGate(0, 0.05, REPORT, "recv_ts_ns")
-    jobs.ingest(arriving, f"{root}/out", f"{root}/checkpoint", gate=gate, roll=PartitionRoll(5, DAY, HOUR), grid=GridChange(UNIT, SPACING)).awaitTermination()
+    gate, layout = IntervalGate(0, 0.05, REPORT, "recv_ts_ns"), dict(roll=PartitionRoll(5, DAY, HOUR), grid=GridChange(UNIT, SPACING))
+    for half in range(2):
+        rows.filter(F.col("seq") % 2 == half).write.mode("append").parquet(f"{root}/in")
+        jobs.ingest(jobs.follow(spark, f"{root}/in", rows.schema), f"{root}/out", f"{root}/checkpoint", gate=gate, **layout).awaitTermination()
     return f"{root}/out"
 
 
