@@ -60,20 +60,35 @@ class HotKeys:
     def __bool__(self) -> bool:
         return self.table is not None
 
-    def _slice_of(self) -> Column:
-        """1 and the number of cuts at or before the row, by halving: steps from large to small are taken while the cut there is not past the row."""
+    def _passed(self, cut_t: str, cut_s: str, most: int) -> Column:
+        """How many of up to `most` cuts are at or before the row, by halving: steps from large to small are taken while the cut there is not past the row."""
         ts, tie = F.col(self.ts), F.coalesce(F.col(self.tie), F.lit(LOWEST)) if self.tie else F.lit(LOWEST)
 
         def go_on(at: Column, step: Column) -> Column:
-            t, s = F.get("_cut_t", at + step - 1), F.get("_cut_s", at + step - 1)
+            t, s = F.get(cut_t, at + step - 1), F.get(cut_s, at + step - 1)
             return F.when((t < ts) | ((t == ts) & (s <= tie)), at + step).otherwise(at)
 
-        return 1 + F.aggregate(F.array(*[F.lit(1 << i) for i in reversed(range(self.most_cuts.bit_length()))]), F.lit(0), go_on)
+        return F.aggregate(F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))]), F.lit(0), go_on)
 
     def tag(self, df: DataFrame) -> DataFrame:
-        """Add the slice number: 0 for every key of ordinary size, else 1 and up."""
-        joined = join_small(df, self.table, self.keys)
-        return joined.withColumn(SLICE, F.when(F.col("_cut_t").isNull(), 0).otherwise(self._slice_of())).drop("_cut_t", "_cut_s")
+        """Add the slice number: 0 for every key of ordinary size, else 1 and the number of cuts at or before the row.
+
+        A join copies all it finds into every row, so a row gets the first cuts of its key's blocks, about the
+        square root of their number, and then the cuts of its block alone.
+        """
+        side = max(1, math.isqrt(self.most_cuts))
+        firsts = F.sequence(F.lit(0), F.greatest(F.size("_cut_t") - 1, F.lit(0)), F.lit(side))
+        head = lambda c: F.transform(firsts, lambda i: F.get(c, i)).alias(f"_head{c}")
+        blocks = self.table.select(*self.keys, "_cut_t", "_cut_s", F.explode(firsts).alias("_first"))
+        cuts = [F.slice(c, F.col("_first") + 1, side).alias(c) for c in ("_cut_t", "_cut_s")]
+        blocks = blocks.select(*self.keys, F.expr(f"int(_first div {side} + 1)").alias("_block"), *cuts)
+        passed = self._passed("_head_cut_t", "_head_cut_s", -(-self.most_cuts // side))
+        joined = join_small(df, self.table.select(*self.keys, head("_cut_t"), head("_cut_s")), self.keys)
+        joined = joined.withColumn("_block", F.when(F.col("_head_cut_t").isNotNull(), passed)).drop("_head_cut_t", "_head_cut_s")
+        joined = join_small(joined, blocks, (*self.keys, "_block"))
+        # Before the first cut there is no block, and nothing to pass.
+        number = 1 + F.greatest(F.col("_block") - 1, F.lit(0)) * side + self._passed("_cut_t", "_cut_s", side)
+        return joined.withColumn(SLICE, F.when(F.col("_block").isNull(), 0).otherwise(number)).drop("_block", "_cut_t", "_cut_s")
 
     def only(self, tagged: DataFrame) -> DataFrame:
         """Rows of the keys that are cut up."""

@@ -6,7 +6,7 @@ from bisect import bisect_right
 import pytest
 from pyspark.sql import functions as F
 
-from seriesmill.operators import bins
+from seriesmill.operators import bins, slicing
 from seriesmill.operators.slicing import LOWEST, HotKeys, Ordered, SlicePolicy, find_hot, number_rows
 from seriesmill.schemas import MINUTE
 from seriesmill.streaming import sliced
@@ -114,6 +114,23 @@ def test_a_row_is_placed_without_a_pass_over_its_cuts(spark):
     assert "aggregate(" in plan and "filter(" not in plan.replace("Filter", "")
 
 
+def test_a_row_is_not_given_all_cuts_of_its_key(spark, monkeypatch):
+    """Keys of few and many cuts, a null key among them: slices of a sorted search, by arrays of about the square root of the cuts."""
+    rng = random.Random(5)
+    cuts = {k: sorted({(rng.randrange(2000), rng.choice([LOWEST, 3, 8])) for _ in range(n)}) for k, n in [("a", 1), ("b", 2), (None, 37), ("d", 1500)]}
+    most = max(len(c) for c in cuts.values())
+    table = spark.createDataFrame([(k, [t for t, _ in c], [s for _, s in c]) for k, c in cuts.items()], "series string, _cut_t array<long>, _cut_s array<long>")
+    rows = [(k, rng.randrange(-5, 2005) if rng.random() < 0.98 else None, rng.choice([None, *range(10)])) for k in [*cuts, "cold"] for _ in range(600)]
+    given, join = [], slicing.join_small
+    monkeypatch.setattr(slicing, "join_small", lambda df, small, *how: given.append(small) or join(df, small, *how))
+    hot = HotKeys(("series",), "ts_ns", "seq", table, sum(len(c) + 1 for c in cuts.values()), most)
+    for r in hot.tag(spark.createDataFrame(rows, "series string, ts_ns long, seq long")).collect():
+        place = (r["ts_ns"], LOWEST if r["seq"] is None else r["seq"])
+        assert r["_slice"] == (0 if r["series"] == "cold" else 1 if r["ts_ns"] is None else 1 + bisect_right(cuts[r["series"]], place))
+    sizes = [len(v) for small in given for r in small.collect() for v in r if isinstance(v, list)]
+    assert max(sizes) <= 2 * most**0.5
+
+
 def test_one_file_of_a_stream_is_dealt_over_the_cores(spark):
     rows = spark.range(1000).coalesce(1)
     dealt = sliced._dealt(rows)
