@@ -11,6 +11,10 @@
 
 A term that fills the corpus is an anchor only of phrases made of such terms alone. Its postings
 are dealt out by document and position, never by term, so no task gets a whole list.
+
+Postings and candidates grow with the corpus and are read back from written tables. Spark would
+broadcast those by the size of their files, in which repeated words take a small part of the room
+they take in memory, so their joins are merge joins by a hint.
 """
 
 from __future__ import annotations
@@ -92,7 +96,7 @@ def phrase_starts(index: DataFrame, anchors: DataFrame) -> DataFrame:
             & (F.col("term") == F.col("_term"))
             & (F.col("pos") == F.col("_at"))
         )
-        shared = rows.filter(F.col("term").isNotNull()).join(post, on, "semi")
+        shared = rows.filter(F.col("term").isNotNull()).join(post.hint("merge"), on, "semi")
         found = shared.unionByName(rows.filter(F.col("term").isNull())).select("doc", "digest", "phrase_id", "anchors", "start")
     return found.drop("anchors").distinct()
 
@@ -168,8 +172,8 @@ def benchmark_hits(
     )
     keys = candidates.select("doc", "digest")
     few = keys.count() <= 200_000
-    left = same_doc(words_of, F.broadcast(keys) if few else keys, "semi").dropDuplicates(["doc", "digest"])
-    checked = same_doc(left, candidates, "inner").withColumn(
+    left = same_doc(words_of, F.broadcast(keys) if few else keys.hint("merge"), "semi").dropDuplicates(["doc", "digest"])
+    checked = same_doc(left, candidates.hint("merge"), "inner").withColumn(
         "spans", F.filter("spans", lambda s: F.slice("w", s["start"] + 1, F.size(s["phrase"])) == s["phrase"])
     )
     hits = checked.select(

@@ -1,5 +1,6 @@
 """Text operators against brute force, with nulls, empty and long texts, ties, repeats and clashing names."""
 
+import re
 import zlib
 from collections import Counter
 
@@ -147,6 +148,24 @@ def test_benchmark(spark, docs, no_docs):
     assert all(r["n_hit"] == 0 for r in decontaminate.benchmark_hits(docs, nothing).collect())
 
 
+def test_benchmark_tables_are_not_broadcast(spark, docs):
+    """Files of postings and candidates are far smaller than their rows: a small file is no reason to send them to all."""
+    items = [(1, "word3 follows another3 in passage9. word4 follows another4 in passage12 word5 follows"), (2, "SINGLE"), (3, "the quick brown fox")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    joins = lambda df: re.findall(r"(\w+Join) (.*)", df._jdf.queryExecution().sparkPlan().toString())
+    got = decontaminate.benchmark_hits(docs, bench)
+    assert [kind for kind, on in joins(got) if "_digest" in on and "_item" not in on and "Inner" in on] == ["SortMergeJoin"]
+    want = [(k, n, h, tuple(found)) for (k, _), (n, h, found) in zip(DOCS, brute.benchmark_hits(DOCS, items))]
+    assert bag((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in got.collect()) == bag(want)
+
+    anchors = spark.createDataFrame([(7, "quick", 1, 1), (7, "brown", 2, 2), (8, "single", 0, 1)], "phrase_id long, term string, at int, rank int")
+    starts = decontaminate.phrase_starts(decontaminate.build_index(decontaminate.keyed(docs), anchors.select("term")), anchors)
+    assert [kind for kind, on in joins(starts) if "_at" in on] == ["SortMergeJoin"]
+    assert bag(starts.select("doc", "phrase_id", "start").collect()) == bag(
+        {(k, p, i - at) for k, t in DOCS for w in [brute.tokens(t)] for p, at, terms in ((7, 1, ["quick", "brown"]), (8, 0, ["single"])) for i in range(at, len(w)) if w[i : i + len(terms)] == terms}
+    )
+
+
 def test_url_rules(spark):
     rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.net", "/en/", "allow"), ("a.example.net", "/", "allow"), ("a.example.net", "/", "block"), ("org", "/fr/", "allow"), (None, "/", "block")]
     urls = [
